@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spendlens.functions import fixed_values as fv
 from spendlens.functions.columns import first_asc, first_desc, money_sum, percent, ratio
-from spendlens.operators.skew import COPIES, collapse, expand, salted_join
+from spendlens.operators.skew import COPIES, collapse, expand, spread_join
 
 BUDGET_PARTS = ("initial_amt", "supplementary_amt", "carryover_amt", "reserve_amt")
 
@@ -53,7 +53,7 @@ def spend_vs_budget_rows(budget: DataFrame, spend: DataFrame, project_id: int |
     """Every budget row of one project beside every payment row of it, with the share.
 
     Without an id, the project with the largest budget. Equal rows are folded
-    before the join and the payments of the project are spread over tasks.
+    before the join.
     """
     wanted = F.lit(project_id) if project_id is not None else top_budget_project(budget).select("project_id").scalar()
     budgets = collapse(
@@ -62,7 +62,7 @@ def spend_vs_budget_rows(budget: DataFrame, spend: DataFrame, project_id: int |
     payments = collapse(
         spend.where(F.col("project_id") == wanted), ["project_id", "block_no", "payee", "amount"], "spend_copies"
     )
-    pairs = salted_join(payments, budgets, ["project_id"]).withColumn(
+    pairs = spread_join(payments, budgets, ["project_id"]).withColumn(
         COPIES, F.col("budget_copies") * F.col("spend_copies")
     )
     return (
@@ -91,7 +91,7 @@ def spend_vs_budget_grouped(budget: DataFrame, spend: DataFrame, project_id: int
         .agg(money_sum("amount").alias("payee_spend"))
     )
     return (
-        salted_join(payees, budgets, ["project_id"])
+        spread_join(payees, budgets, ["project_id"])
         .select(
             "project_id",
             "project_name",

@@ -1,9 +1,8 @@
 """Project dossiers: all rows of all views for each project, nested, and back.
 
-A dossier row is one page of a project. A list longer than a page goes on in
-the next page, so a project with a third of all payments is many rows of
-bounded size, not one. Nothing is left out: the pages of a project together
-hold every record once per occurrence.
+A dossier row is one page of a project. A project with many records is spread
+over pages of a bounded size, not put in one row; its pages together hold every
+record as often as it occurs. Most projects have one page, page 0.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spendlens.functions import fixed_values as fv
-from spendlens.operators.skew import COPIES, collapse, numbered
+from spendlens.operators.skew import COPIES, collapse, spread_join
 
 PAGE_RECORDS = 1000
 KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -50,30 +49,47 @@ def project_dossier(
     page_records: int = PAGE_RECORDS,
     project_id: int | None = None,
 ) -> DataFrame:
-    """(project_id, project_name, ministry, page, views): ``views`` is a list of
-    (view_name, n_records, records); ``n_records`` counts this page."""
-    placed = numbered(
-        project_records(views, project_id), ["project_id", "view_name"], ["record"], "_first", weight=COPIES
-    )
+    """(project_id, project_name, ministry, page, views).
+
+    ``views`` lists (view_name, n_records, records, paged); ``paged`` tells that
+    the view goes on on other pages. A view with more than ``page_records``
+    records gets as many pages as it needs, and each record, or each thousandth
+    part of a record's many copies, goes to a page by its hash.
+    """
+    records = project_records(views, project_id)
     size = F.lit(page_records)
-    last = F.col("_first") + F.col(COPIES) - 1
-    paged = placed.withColumn(
-        "page", F.explode(F.sequence(F.floor(F.col("_first") / size), F.floor(last / size)))
-    ).withColumn(
-        "_here",
-        F.least(last, (F.col("page") + 1) * size - 1) - F.greatest(F.col("_first"), F.col("page") * size) + 1,
+    long_views = (
+        records.groupBy("project_id", "view_name")
+        .agg(F.sum(COPIES).alias("_n"))
+        .where(F.col("_n") > size)
+        .select("project_id", "view_name", F.ceil(F.col("_n") / size).alias("_pages"))
+    )
+    placed = spread_join(records, long_views, ["project_id", "view_name"], "left")
+    paged = F.col("_pages").isNotNull()
+    # copies of one record are cut into parts no larger than a page
+    parts = F.when(paged, F.sequence(F.lit(0).cast("long"), F.floor((F.col(COPIES) - 1) / size))).otherwise(
+        F.array(F.lit(0).cast("long"))
+    )
+    cut = (
+        placed.withColumn("_part", F.explode(parts))
+        .withColumn(
+            "page",
+            F.when(paged, F.pmod(F.xxhash64("record", "_part"), F.col("_pages"))).otherwise(F.lit(0).cast("long")),
+        )
+        .withColumn("_here", F.least(size.cast("long"), F.col(COPIES) - F.col("_part") * size))
+    )
+    repeated = F.transform(
+        F.sequence(F.lit(1), F.col("_here").cast("int")), lambda _: F.struct("view_name", "record", paged.alias("paged"))
     )
-    lists = paged.groupBy("project_id", "page", "view_name").agg(
-        F.sum("_here").alias("n_records"),
-        F.sort_array(
-            F.flatten(F.collect_list(F.array_repeat(F.col("record"), F.col("_here").cast("int"))))
-        ).alias("records"),
+    pages = cut.groupBy("project_id", "page").agg(
+        F.sort_array(F.flatten(F.collect_list(repeated))).alias("_records")
     )
-    pages = lists.groupBy("project_id", "page").agg(
-        F.sort_array(F.collect_list(F.struct("view_name", "n_records", "records"))).alias("views")
+    names = sorted(name for name, view in views.items() if "project_id" in view.columns)
+    entries = F.array(*[_view_entry(name) for name in names])
+    listed = pages.select(
+        "project_id", "page", F.filter(entries, lambda view: view["n_records"] > 0).alias("views")
     )
-    heads = first_org(org)
-    return pages.join(heads, "project_id", "left").select(
+    return spread_join(listed, first_org(org), ["project_id"], "left").select(
         "project_id",
         F.coalesce("project_name", F.lit(fv.UNKNOWN_PROJECT)).alias("project_name"),
         "ministry",
@@ -82,6 +98,17 @@ def project_dossier(
     )
 
 
+def _view_entry(name: str) -> Column:
+    """The records of one view out of the records of a page."""
+    chosen = F.filter("_records", lambda r: r["view_name"] == F.lit(name))
+    return F.struct(
+        F.lit(name).alias("view_name"),
+        F.size(chosen).alias("n_records"),
+        F.transform(chosen, lambda r: r["record"]).alias("records"),
+        F.exists(chosen, lambda r: r["paged"]).alias("paged"),
+    )
+
+
 def first_org(org: DataFrame) -> DataFrame:
     """Name and ministry of the first organisation row of each project."""
     order = [c for c in ("other_no",) if c in org.columns]
@@ -105,7 +132,7 @@ def dossier_json(dossier: DataFrame) -> DataFrame:
 
     def entry(view: Column) -> Column:
         records = view["records"]
-        single = (F.col("page") == 0) & (F.size(records) == 1)
+        single = (F.size(records) == 1) & ~view["paged"]
         value = F.when(single, records[0]).otherwise(
             F.concat(F.lit("["), F.array_join(records, ","), F.lit("]"))
         )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spendlens.functions import fixed_values as fv
 from spendlens.functions.columns import contains_any, first_asc, first_desc, identity_text, money_sum, percent
 from spendlens.operators.balance import top_budget_project
-from spendlens.operators.skew import COPIES, collapse, expand, salted_join
+from spendlens.operators.skew import COPIES, collapse, expand, spread_join
 
 
 def scan_limit(table: DataFrame, n: int = 100) -> DataFrame:
@@ -24,7 +24,7 @@ def rows_of_project(table: DataFrame, project_id: int) -> DataFrame:
 
 def rows_of_projects(table: DataFrame, ids: DataFrame) -> DataFrame:
     """All rows whose project is among ``ids``."""
-    return table.join(ids.select("project_id").distinct(), "project_id", "left_semi")
+    return spread_join(table, ids.select("project_id").distinct(), ["project_id"], "left_semi")
 
 
 def _keyword_projects(
@@ -47,7 +47,7 @@ def keyword_projects(
     ministries = collapse(org, ["project_id", "ministry"], "_org")
     projects = found.join(ministries, "project_id")
     amounts = collapse(budget.where(F.col("total_amt") > 0), ["project_id", "total_amt"], "_rows")
-    joined = salted_join(amounts, projects, ["project_id"]).withColumn(
+    joined = spread_join(amounts, projects, ["project_id"]).withColumn(
         COPIES, F.col("_found") * F.col("_org") * F.col("_rows")
     )
     return (
@@ -121,7 +121,7 @@ def contracts_with_names(detail: DataFrame, org: DataFrame) -> DataFrame:
         "_contracts",
     )
     names = collapse(org.where(F.col("project_name").isNotNull()), ["project_id", "project_name"], "_org")
-    joined = salted_join(contracts, names, ["project_id"])
+    joined = spread_join(contracts, names, ["project_id"])
     return joined.groupBy("project_name", "payee", "outline").agg(
         F.sum(F.col("_contracts") * F.col("_org")).alias(COPIES)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.functions.columns import first_asc, first_desc, money_sum, to_number
-from spendlens.operators.skew import COPIES, collapse, expand, salted_join
+from spendlens.operators.skew import COPIES, collapse, expand, spread_join
 
 
 def split_summary(spend: DataFrame) -> DataFrame:
@@ -46,8 +46,7 @@ def reconcile_detail_breakdown(
     """Contracts whose amount and breakdown sum differ by more than the tolerance.
 
     Corporate number and outline also match when both are missing. Equal
-    contract rows are folded first, and a contract key with very many different
-    amounts is spread over tasks.
+    contract rows are folded before the join.
     """
     exact, null_safe = ["project_id", "block_no", "payee"], ["corp_no", "outline"]
     keys = [*exact, *null_safe]
@@ -58,11 +57,11 @@ def reconcile_detail_breakdown(
         .agg(money_sum("amount").alias("breakdown_sum"))
     )
     gaps = (
-        salted_join(contracts, sums, exact, null_safe=null_safe)
+        spread_join(contracts, sums, exact, null_safe=null_safe)
         .withColumn("gap", F.col("amount") - F.col("breakdown_sum"))
         .where(F.abs("gap") > tolerance)
     )
-    return _named(gaps, org, spread=True).select(
+    return _named(gaps, org).select(
         "project_id",
         "project_name",
         "payee",
@@ -73,14 +72,11 @@ def reconcile_detail_breakdown(
     ).orderBy(F.abs("gap").desc_nulls_last(), *first_asc("project_id", "payee", "outline"), *first_desc("contract_amount"))
 
 
-def _named(rows: DataFrame, org: DataFrame, spread: bool = False) -> DataFrame:
+def _named(rows: DataFrame, org: DataFrame) -> DataFrame:
     """Left join the project name, one row per organisation row of the project."""
     names = collapse(org, ["project_id", "project_name"], "_org_copies")
-    if spread:
-        joined = salted_join(rows, names, ["project_id"], "left")
-    else:
-        joined = rows.join(names, "project_id", "left")
     times = F.coalesce("_org_copies", F.lit(1))
     if COPIES in rows.columns:
         times = times * F.col(COPIES)
+    joined = spread_join(rows, names, ["project_id"], "left")
     return expand(joined.withColumn(COPIES, times).drop("_org_copies"))

@@ -2,9 +2,7 @@
 
 * ``collapse`` folds identical rows into one row with a count before a shuffle
   (partial aggregation does it on the map side), ``expand`` unfolds them.
-* ``salted_join`` spreads the few keys that hold a large share of the rows over
-  many tasks. The keys come from a one-pass sketch; a wrong guess costs time,
-  never rows, because both sides salt by the same rule.
+* ``spread_join`` joins so that AQE can split the partition of a hot key.
 * ``numbered`` gives consecutive numbers within groups of any size, without
   ever sorting a whole group in one task.
 """
@@ -13,14 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from spendlens.functions.columns import identity_text
 
-HOT_SHARE = 64  # a key is hot when it holds at least 1/64 of the rows: 64 keys at most
-TRACKED_KEYS = 10_000  # counters of the sketch
 COPIES = "copies"
 CHUNK = 100_000  # copies unfolded from one row at a time
 NUMBER_BUCKET_DIGITS = 4  # 16**4 buckets by md5 prefix
@@ -41,66 +37,39 @@ def expand(df: DataFrame, copies: str = COPIES, index: str | None = None, spread
     chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / F.lit(CHUNK)))
     out = df.where(F.col(copies) > 0).withColumn("_chunk", F.explode(chunks))
     if spread:
-        out = out.repartition(*[F.col(c) for c in df.columns], F.col("_chunk"))
+        plain = [c for c, kind in df.dtypes if not kind.startswith(("array", "map", "struct"))]
+        out = out.repartition(*plain, "_chunk")
     first = F.col("_chunk") * F.lit(CHUNK)
     last = F.least(first + F.lit(CHUNK), F.col(copies)) - 1
     out = out.withColumn("_copy", F.explode(F.sequence(first, last))).drop("_chunk", copies)
     return out.withColumnRenamed("_copy", index) if index else out.drop("_copy")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row, one column: hashes of the keys with a share of 1/HOT_SHARE or more."""
-    sketch = df.select(F.xxhash64(*keys).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {HOT_SHARE}, {TRACKED_KEYS})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    return sketch.select(
-        F.expr(
-            f"coalesce(transform(filter(top, t -> t.count * {HOT_SHARE} >= n), t -> t.item), array())"
-        ).alias("hot")
-    )
-
-
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    null_safe: Sequence[str] = (),
-    salts: int | None = None,
+def spread_join(
+    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", null_safe: Sequence[str] = ()
 ) -> DataFrame:
-    """Equi-join in which a hot key of ``big`` is spread over ``salts`` tasks.
-
-    The salt is a hash of the whole row of ``big`` (so a re-run task repeats
-    it): rows of ``big`` should differ, see ``collapse``. Rows of ``small`` are
-    repeated for hot keys only. ``how`` is inner or left. Columns of
-    ``null_safe`` also match NULL with NULL.
+    """Equi-join of raw rows with a side that may already be arranged by the key.
+
+    AQE turns a side it measured as small into a broadcast, and splits the
+    skewed partitions of a larger join, but the latter only where both sides
+    come straight from a shuffle made for this join. A side that was grouped or
+    joined by the same key has no such shuffle, and a hot key of the other side
+    would stay in one task. The key's hash as a further join key makes Spark
+    shuffle both sides for this join. Columns of ``null_safe`` also match NULL
+    with NULL.
     """
     keys = [*on, *null_safe]
-    if salts is None:
-        salts = max(HOT_SHARE, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot = hot_keys(big, keys).scalar()
-
-    def is_hot() -> Column:
-        return F.array_contains(hot, F.xxhash64(*keys))
-
-    left = big.withColumn(
-        "_salt",
-        F.when(is_hot(), F.pmod(F.xxhash64(*big.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int"),
-    ).alias("l")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = small.withColumn(
-        "_salt", F.explode(F.when(is_hot(), every).otherwise(F.array(F.lit(0))))
-    ).alias("r")
-    condition = F.col("l._salt") == F.col("r._salt")
+    left = big.withColumn("_hash", F.xxhash64(*keys)).alias("l")
+    right = small.withColumn("_hash", F.xxhash64(*keys)).alias("r")
+    condition = F.col("l._hash") == F.col("r._hash")
     for key in on:
         condition = condition & (F.col(f"l.{key}") == F.col(f"r.{key}"))
     for key in null_safe:
         condition = condition & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
-    extra = [c for c in small.columns if c not in keys]
-    return left.join(right, condition, how).select(
-        *[F.col(f"l.{c}") for c in big.columns], *[F.col(f"r.{c}") for c in extra]
-    )
+    kept = [F.col(f"l.{c}") for c in big.columns]
+    if how != "left_semi":
+        kept += [F.col(f"r.{c}") for c in small.columns if c not in keys]
+    return left.join(right, condition, how).select(*kept)
 
 
 def numbered(

@@ -133,15 +133,14 @@ def _md5(*columns: str) -> str:
 
 
 AMOUNT_TEXT = "CAST(amount AS DECIMAL(38,6))"
-STORE = f"""{DOCUMENTS}, clean AS (
-    SELECT coalesce(project_id, 0) AS project_id, coalesce(project_name, '') AS project_name,
-        coalesce(purpose, '') AS purpose, coalesce(overview, '') AS overview, coalesce(outline, '') AS outline,
-        coalesce(payee, '') AS payee, coalesce(amount, 0) AS amount, document FROM documents_of),
-store AS (
+STORE = f"""{DOCUMENTS}, store AS (
     SELECT 'doc_' || (row_number() OVER (ORDER BY {_md5("project_id", "project_name", "purpose", "overview",
         "outline", "payee", AMOUNT_TEXT, "document")}, project_id, project_name, purpose, overview, outline,
-        payee, amount, document) - 1) AS doc_id, *
-    FROM clean)"""
+        payee, amount, document) - 1) AS doc_id,
+        coalesce(project_id, 0) AS project_id, coalesce(project_name, '') AS project_name,
+        coalesce(purpose, '') AS purpose, coalesce(overview, '') AS overview, coalesce(outline, '') AS outline,
+        coalesce(payee, '') AS payee, coalesce(amount, 0) AS amount, document
+    FROM documents_of)"""
 ANSWER = f"""{STORE}, question AS (SELECT '{r.QUESTION}' AS document),
 {_vectors("store", "doc_vectors")}, {_vectors("question", "question_vector")},
 answers AS (
