@@ -77,18 +77,29 @@ def project_dossier(
             F.when(paged, F.pmod(F.xxhash64("record", "_part"), F.col("_pages"))).otherwise(F.lit(0).cast("long")),
         )
         .withColumn("_here", F.least(size.cast("long"), F.col(COPIES) - F.col("_part") * size))
-    )
-    repeated = F.transform(
-        F.sequence(F.lit(1), F.col("_here").cast("int")), lambda _: F.struct("view_name", "record", paged.alias("paged"))
-    )
-    pages = cut.groupBy("project_id", "page").agg(
-        F.sort_array(F.flatten(F.collect_list(repeated))).alias("_records")
+        .withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_here"))))
     )
     names = sorted(name for name, view in views.items() if "project_id" in view.columns)
-    entries = F.array(*[_view_entry(name) for name in names])
-    listed = pages.select(
-        "project_id", "page", F.filter(entries, lambda view: view["n_records"] > 0).alias("views")
+    of_view = {name: F.col("view_name") == F.lit(name) for name in names}
+    pages = cut.groupBy("project_id", "page").agg(
+        F.sort_array(F.collect_list(F.struct("view_name", "record"))).alias("_records"),
+        *[F.count_if(here).cast("int").alias(f"_n{i}") for i, here in enumerate(of_view.values())],
+        *[F.coalesce(F.bool_or(here & paged), F.lit(False)).alias(f"_paged{i}") for i, here in enumerate(of_view.values())],
     )
+    # the list is sorted by view, so each view is one slice of it
+    entries, start = [], F.lit(1)
+    for i, name in enumerate(names):
+        count = F.col(f"_n{i}")
+        records_of = F.transform(F.slice("_records", start, count), lambda r: r["record"])
+        entry = F.struct(
+            F.lit(name).alias("view_name"),
+            count.alias("n_records"),
+            records_of.alias("records"),
+            F.col(f"_paged{i}").alias("paged"),
+        )
+        entries.append(F.when(count > 0, entry))
+        start = start + count
+    listed = pages.select("project_id", "page", F.array_compact(F.array(*entries)).alias("views"))
     return spread_join(listed, first_org(org), ["project_id"], "left").select(
         "project_id",
         F.coalesce("project_name", F.lit(fv.UNKNOWN_PROJECT)).alias("project_name"),
@@ -98,17 +109,6 @@ def project_dossier(
     )
 
 
-def _view_entry(name: str) -> Column:
-    """The records of one view out of the records of a page."""
-    chosen = F.filter("_records", lambda r: r["view_name"] == F.lit(name))
-    return F.struct(
-        F.lit(name).alias("view_name"),
-        F.size(chosen).alias("n_records"),
-        F.transform(chosen, lambda r: r["record"]).alias("records"),
-        F.exists(chosen, lambda r: r["paged"]).alias("paged"),
-    )
-
-
 def first_org(org: DataFrame) -> DataFrame:
     """Name and ministry of the first organisation row of each project."""
     order = [c for c in ("other_no",) if c in org.columns]

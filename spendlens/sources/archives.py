@@ -9,6 +9,7 @@ from there. A file that cannot be read becomes an error row.
 from __future__ import annotations
 
 import codecs
+import hashlib
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -51,41 +52,56 @@ def ingest(spark: SparkSession, folder: str, target: str, split_archive: str = f
     """Rebuild all tables under ``target`` from the archives in ``folder``.
 
     Writes one Parquet table per archive, the summary and detail tables of the
-    payment sheet, the catalog ``table_index`` and the error list
-    ``ingest_errors``. Returns the catalog.
+    payment sheet, the catalog ``table_index`` and the list ``ingest_errors`` of
+    archives left out. Returns the catalog.
     """
     target = target.rstrip("/")
     archives = list_archives(spark, folder)
-    staged_path = f"{target}/_cells"
-    cells = read_archives(archives).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
-    cells.partitionBy("path").parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-
-    staged.where(F.col("error").isNotNull()).select("path", "error").write.mode("overwrite").parquet(
-        f"{target}/ingest_errors"
-    )
-    # one header per archive: plan metadata, as many rows as there are files
-    headers = (
-        staged.where(F.col("error").isNull()).groupBy("path").agg(F.first("header").alias("header"))
+    staged = _staged_cells(archives, f"{target}/_cells")
+    # one row per archive: header, first error
+    outcome = staged.groupBy("path").agg(
+        F.first("header", ignorenulls=True).alias("header"), F.max("error").alias("error")
     )
-    readable = archives.join(headers.select("path"), "path", "left_semi")
-    catalog = table_catalog(readable, split_archive)
+    readable = archives.join(outcome.where(F.col("error").isNull()).select("path", "header"), "path")
+    named = table_catalog(readable.select("path", "file_name"), split_archive)
+    # of archives that claim the same table the first by name is taken
+    owners = named.groupBy("table_name").agg(F.min("file_name").alias("file_name"))
+    catalog = named.join(owners, ["table_name", "file_name"], "left_semi")
     catalog.write.mode("overwrite").parquet(f"{target}/table_index")
     stored = spark.read.parquet(f"{target}/table_index")
 
-    names = stored.join(archives.join(headers, "path"), "file_name").where(F.col("part") == "all")
-    for row in names.select("path", "header", "table_name", "file_name").toLocalIterator():
-        cells = staged.where(F.col("path") == row["path"]).where(F.col("cells").isNotNull())
+    failed = outcome.where(F.col("error").isNotNull()).select("path", "error")
+    shadowed = (
+        archives.join(readable.select("path"), "path", "left_semi")
+        .join(stored.select("file_name"), "file_name", "left_anti")
+        .select("path", F.lit("another archive has the same table name").alias("error"))
+    )
+    failed.unionByName(shadowed).write.mode("overwrite").parquet(f"{target}/ingest_errors")
+
+    # one job per table: every sheet has columns of its own
+    sheets = stored.where(F.col("part") == "all").join(readable, "file_name")
+    for row in sheets.select("path", "header", "table_name").toLocalIterator():
+        cells = staged.where(F.col("archive") == _archive_key(row["path"])).where(F.col("cells").isNotNull())
         table = typed_columns(cells, row["header"])
         table.write.mode("overwrite").parquet(f"{target}/{row['table_name']}")
     for row in stored.where(F.col("part") != "all").toLocalIterator():
-        _write_part(spark, target, row["table_name"], row["part"], row["file_name"], stored)
+        _write_part(spark, target, row["table_name"], row["part"])
     return stored
 
 
-def _write_part(
-    spark: SparkSession, target: str, table_name: str, part: str, file_name: str, catalog: DataFrame
-) -> None:
+def _staged_cells(archives: DataFrame, path: str) -> DataFrame:
+    """The parsed archives as a written table, one folder per archive."""
+    cells = read_archives(archives).withColumn("archive", F.concat(F.lit("a"), F.md5("path")))
+    writer = cells.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+    writer.partitionBy("archive").parquet(path)
+    return archives.sparkSession.read.parquet(path)
+
+
+def _archive_key(path: str) -> str:
+    return "a" + hashlib.md5(path.encode()).hexdigest()
+
+
+def _write_part(spark: SparkSession, target: str, table_name: str, part: str) -> None:
     suffix = fv.SUMMARY_TABLE_SUFFIX if part == "summary" else fv.DETAIL_TABLE_SUFFIX
     whole = spark.read.parquet(f"{target}/{table_name.removesuffix(suffix)}")
     amount = next(c for c, short in fv.SPEND_COLUMNS.items() if short == "amount")
