@@ -13,8 +13,10 @@ import hashlib
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import quote
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +35,7 @@ CELLS = "path string, header array<string>, cells array<string>, error string"
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
     """(path, file_name) of every ZIP file in the folder; contents are not read."""
     files = spark.read.format("binaryFile").load(folder.rstrip("/") + "/*.zip").select("path")
-    # names in a path are percent-encoded, and a literal + must stay one
-    encoded = F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B"))
-    return files.withColumn("file_name", F.coalesce(F.try_url_decode(encoded), encoded))
+    return files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -152,10 +152,11 @@ def _encoding(archive: zipfile.ZipFile, member: str) -> str:
 
 
 def _rows(path: str, header: list[str] | None, cells: list, error: str | None) -> pd.DataFrame:
+    """Rows of one batch; the header stands in the first row only."""
     return pd.DataFrame(
         {
             "path": [path] * len(cells),
-            "header": [header] * len(cells),
+            "header": [header] + [None] * (len(cells) - 1),
             "cells": cells,
             "error": [error] * len(cells),
         }
@@ -165,9 +166,7 @@ def _rows(path: str, header: list[str] | None, cells: list, error: str | None) -
 @contextmanager
 def _open(path: str):
     """A seekable file on local disk or on any store Arrow can reach."""
-    from pyarrow import fs
-
-    uri = path.replace("s3a://", "s3://", 1)
+    uri = quote(path.replace("s3a://", "s3://", 1), safe=":/@")
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri.removeprefix("file:")
     filesystem, name = fs.FileSystem.from_uri(uri)
