@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spendlens.functions import fixed_values as fv
 from spendlens.functions.columns import first_asc, first_desc, money_sum, percent, ratio
-from spendlens.operators.skew import COPIES, collapse, expand, spread_join
+from spendlens.operators.skew import COPIES, collapse, expand, expand_sorted, spread_join
 
 BUDGET_PARTS = ("initial_amt", "supplementary_amt", "carryover_amt", "reserve_amt")
 
@@ -49,34 +49,44 @@ def top_budget_project(budget: DataFrame) -> DataFrame:
     )
 
 
-def spend_vs_budget_rows(budget: DataFrame, spend: DataFrame, project_id: int | None = None) -> DataFrame:
-    """Every budget row of one project beside every payment row of it, with the share.
+def spend_vs_budget_rows(budget: DataFrame, spend: DataFrame) -> DataFrame:
+    """Every payment row beside the budget of its project: rows, sum, share of the sum.
 
-    Without an id, the project with the largest budget. Equal rows are folded
-    before the join.
+    For all projects at once each payment meets one budget row, not all of
+    them; ``spend_vs_budget_pairs`` shows the pairs of one project.
     """
-    wanted = F.lit(project_id) if project_id is not None else top_budget_project(budget).select("project_id").scalar()
+    budgets = (
+        budget.where(F.col("total_amt").isNotNull())
+        .groupBy("project_id")
+        .agg(F.count(F.lit(1)).alias("budget_rows"), money_sum("total_amt").alias("budget_total"))
+    )
+    payments = collapse(spend, ["project_id", "project_name", "block_no", "payee", "amount"])
+    joined = spread_join(payments, budgets, ["project_id"]).withColumn(
+        "budget_pct", percent(F.col("amount"), F.col("budget_total"))
+    )
+    return expand_sorted(
+        joined, [*first_desc("amount"), *first_asc("project_id", "project_name", "block_no", "payee")]
+    )
+
+
+def spend_vs_budget_pairs(budget: DataFrame, spend: DataFrame, project_id: int) -> DataFrame:
+    """Every budget row of one project beside every payment row of it, with the share."""
     budgets = collapse(
-        budget.where(F.col("project_id") == wanted), ["project_id", "project_name", "total_amt"], "budget_copies"
+        budget.where(F.col("project_id") == project_id), ["project_id", "project_name", "total_amt"], "budget_copies"
     )
     payments = collapse(
-        spend.where(F.col("project_id") == wanted), ["project_id", "block_no", "payee", "amount"], "spend_copies"
+        spend.where(F.col("project_id") == project_id), ["project_id", "block_no", "payee", "amount"], "spend_copies"
     )
-    pairs = spread_join(payments, budgets, ["project_id"]).withColumn(
-        COPIES, F.col("budget_copies") * F.col("spend_copies")
-    )
-    return (
-        expand(pairs)
-        .select(
-            "project_name",
-            "total_amt",
-            "block_no",
-            "payee",
-            "amount",
-            percent(F.col("amount"), F.col("total_amt")).alias("budget_pct"),
-        )
-        .orderBy(*first_desc("amount"), *first_asc("total_amt", "block_no", "payee"))
+    pairs = spread_join(payments, budgets, ["project_id"]).select(
+        "project_name",
+        "total_amt",
+        "block_no",
+        "payee",
+        "amount",
+        percent(F.col("amount"), F.col("total_amt")).alias("budget_pct"),
+        (F.col("budget_copies") * F.col("spend_copies")).alias(COPIES),
     )
+    return expand_sorted(pairs, [*first_desc("amount"), *first_asc("total_amt", "block_no", "payee")])
 
 
 def spend_vs_budget_grouped(budget: DataFrame, spend: DataFrame, project_id: int | None = None) -> DataFrame:

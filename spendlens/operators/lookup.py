@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spendlens.functions import fixed_values as fv
 from spendlens.functions.columns import contains_any, first_asc, first_desc, identity_text, money_sum, percent
 from spendlens.operators.balance import top_budget_project
-from spendlens.operators.skew import COPIES, collapse, expand, spread_join
+from spendlens.operators.skew import COPIES, collapse, expand, expand_sorted, spread_join
 
 
 def scan_limit(table: DataFrame, n: int = 100) -> DataFrame:
@@ -47,14 +47,14 @@ def keyword_projects(
     ministries = collapse(org, ["project_id", "ministry"], "_org")
     projects = found.join(ministries, "project_id")
     amounts = collapse(budget.where(F.col("total_amt") > 0), ["project_id", "total_amt"], "_rows")
-    joined = spread_join(amounts, projects, ["project_id"]).withColumn(
-        COPIES, F.col("_found") * F.col("_org") * F.col("_rows")
-    )
-    return (
-        expand(joined)
-        .select("project_id", "project_name", "ministry", F.col("total_amt").alias("budget_amt"))
-        .orderBy(*first_desc("budget_amt"), *first_asc("project_id", "ministry"))
+    joined = spread_join(amounts, projects, ["project_id"]).select(
+        "project_id",
+        "project_name",
+        "ministry",
+        F.col("total_amt").alias("budget_amt"),
+        (F.col("_found") * F.col("_org") * F.col("_rows")).alias(COPIES),
     )
+    return expand_sorted(joined, [*first_desc("budget_amt"), *first_asc("project_id", "ministry")])
 
 
 def keyword_total(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.functions.columns import first_asc, first_desc, money_sum, to_number
-from spendlens.operators.skew import COPIES, collapse, expand, spread_join
+from spendlens.operators.skew import COPIES, collapse, expand_sorted, spread_join
 
 
 def split_summary(spend: DataFrame) -> DataFrame:
@@ -35,9 +35,10 @@ def reconcile_summary_detail(
         .withColumn("gap", F.col("summary_total") - F.col("detail_sum"))
         .where(F.abs("gap") > tolerance)
     )
-    return _named(gaps, org).select(
-        "project_id", "project_name", "block_no", "summary_total", "detail_sum", "gap"
-    ).orderBy(F.abs("gap").desc_nulls_last(), *first_asc("project_id", "block_no"))
+    named = _named(gaps, org).select(
+        "project_id", "project_name", "block_no", "summary_total", "detail_sum", "gap", COPIES
+    )
+    return expand_sorted(named, [F.abs("gap").desc_nulls_last(), *first_asc("project_id", "block_no")])
 
 
 def reconcile_detail_breakdown(
@@ -61,7 +62,7 @@ def reconcile_detail_breakdown(
         .withColumn("gap", F.col("amount") - F.col("breakdown_sum"))
         .where(F.abs("gap") > tolerance)
     )
-    return _named(gaps, org).select(
+    named = _named(gaps, org).select(
         "project_id",
         "project_name",
         "payee",
@@ -69,14 +70,17 @@ def reconcile_detail_breakdown(
         F.col("amount").alias("contract_amount"),
         "breakdown_sum",
         "gap",
-    ).orderBy(F.abs("gap").desc_nulls_last(), *first_asc("project_id", "payee", "outline"), *first_desc("contract_amount"))
+        COPIES,
+    )
+    order = first_asc("project_id", "payee", "outline")
+    return expand_sorted(named, [F.abs("gap").desc_nulls_last(), *order, *first_desc("contract_amount")])
 
 
 def _named(rows: DataFrame, org: DataFrame) -> DataFrame:
-    """Left join the project name, one row per organisation row of the project."""
+    """Left join the project names; ``copies`` counts one row per organisation row of the project."""
     names = collapse(org, ["project_id", "project_name"], "_org_copies")
     times = F.coalesce("_org_copies", F.lit(1))
     if COPIES in rows.columns:
         times = times * F.col(COPIES)
     joined = spread_join(rows, names, ["project_id"], "left")
-    return expand(joined.withColumn(COPIES, times).drop("_org_copies"))
+    return joined.withColumn(COPIES, times).drop("_org_copies")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -45,6 +45,12 @@ def expand(df: DataFrame, copies: str = COPIES, index: str | None = None, spread
     return out.withColumnRenamed("_copy", index) if index else out.drop("_copy")
 
 
+def expand_sorted(df: DataFrame, order: Sequence[Column], copies: str = COPIES) -> DataFrame:
+    """``expand`` in a global order. The copy number is the last sort key, so the
+    sort can cut a long run of copies into several partitions."""
+    return expand(df, copies, index="_no", spread=True).orderBy(*order, "_no").drop("_no")
+
+
 def spread_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", null_safe: Sequence[str] = ()
 ) -> DataFrame:

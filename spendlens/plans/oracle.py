@@ -1,7 +1,7 @@
 """The same results in plain SQL, for a check by another engine.
 
-Written from what each analysis means, row by row, without the folding, salting
-and numbering by which the operators avoid hot keys.
+Written from what each analysis means, row by row, without the folding and
+numbering by which the operators avoid hot keys.
 """
 
 from __future__ import annotations
@@ -288,11 +288,11 @@ def oracle_sql() -> dict[str, str]:
         "total_budget": f"SELECT {_sum('total_amt')} AS total_budget FROM fx_budget",
         "total_spend": f"SELECT {_sum('amount')} AS total_spend FROM fx_breakdown WHERE amount IS NOT NULL",
         "spend_vs_budget_rows": f"""
-            WITH {TOP_PROJECT}
-            SELECT b.project_name, b.total_amt, s.block_no, s.payee, s.amount,
-                s.amount / NULLIF(b.total_amt, 0) * 100 AS budget_pct
-            FROM fx_budget b JOIN fx_spend s ON b.project_id = s.project_id
-            WHERE b.project_id = (SELECT project_id FROM top_project)""",
+            WITH budgets AS (SELECT project_id, COUNT(*) AS budget_rows, {_sum("total_amt")} AS budget_total
+                FROM fx_budget WHERE total_amt IS NOT NULL GROUP BY project_id)
+            SELECT s.project_id, s.project_name, s.block_no, s.payee, s.amount, budget_rows, budget_total,
+                s.amount / NULLIF(budget_total, 0) * 100 AS budget_pct
+            FROM fx_spend s JOIN budgets b ON s.project_id = b.project_id""",
         "spend_vs_budget_grouped": f"""
             WITH budgets AS (SELECT project_id, project_name, {_sum("total_amt")} AS budget_total
                 FROM fx_budget WHERE total_amt IS NOT NULL GROUP BY project_id, project_name),

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from spendlens.functions.columns import to_number
 
 TRUE_FALSE = ("True", "TRUE", "true", "False", "FALSE", "false")
-BATCH_COLUMNS = 25  # columns examined in one generated aggregate
 
 
 def inferred_types(df: DataFrame) -> DataFrame:

@@ -61,12 +61,13 @@ def test_rate_match_puts_missing_gaps_last(spark):
     assert tuples(best, "project_id", "rate_gap") == [(1, 0.0), (2, 40.0)]
 
 
-def test_spend_vs_budget_of_one_project(spark):
+def test_spend_vs_budget(spark):
     lines = budget(spark, [(1, "a", 100.0), (1, "a", 0.0), (1, "a", 100.0), (2, "b", 1000.0)])
     payments = spend(spark, [{"project_id": 1, "payee": "p", "block_no": "A", "amount": x} for x in (50.0, 50.0)])
-    rows = tuples(balance.spend_vs_budget_rows(lines, payments, 1), "total_amt", "amount", "budget_pct")
-    assert Counter(rows) == Counter({(100.0, 50.0, 50.0): 4, (0.0, 50.0, None): 2})
-    assert balance.spend_vs_budget_rows(lines, payments).count() == 0  # project 2 has the largest budget
+    pairs = tuples(balance.spend_vs_budget_pairs(lines, payments, 1), "total_amt", "amount", "budget_pct")
+    assert Counter(pairs) == Counter({(100.0, 50.0, 50.0): 4, (0.0, 50.0, None): 2})
+    rows = tuples(balance.spend_vs_budget_rows(lines, payments), "amount", "budget_rows", "budget_total", "budget_pct")
+    assert rows == [(50.0, 3, 200.0, 25.0)] * 2
     grouped = balance.spend_vs_budget_grouped(lines, payments, 1)
     assert tuples(grouped, "budget_total", "payee_spend", "budget_pct") == [(200.0, 100.0, 50.0)]
 
