@@ -32,7 +32,6 @@ def agent_flow(budget: DataFrame, spend: DataFrame, block_edges: DataFrame) -> D
         .select("project_id", "top.payee", "top.payee_spend")
     )
     budgets = budget.groupBy("project_id").agg(money_sum("total_amt").alias("budget_total"))
-    blocks = per_block.select("project_id", "payee", "block_no")
     roles = (
         spend.where(F.col("amount").isNull() & F.col("role").isNotNull())
         .groupBy("project_id", "block_no")
@@ -45,7 +44,7 @@ def agent_flow(budget: DataFrame, spend: DataFrame, block_edges: DataFrame) -> D
     )
     return (
         top.join(budgets, "project_id")
-        .join(blocks, ["project_id", "payee"])
+        .join(per_block, ["project_id", "payee"])
         .join(roles, ["project_id", "block_no"], "left")
         .join(edges, ["project_id", "block_no"], "left")
         .select(
@@ -55,6 +54,7 @@ def agent_flow(budget: DataFrame, spend: DataFrame, block_edges: DataFrame) -> D
             "budget_total",
             percent(F.col("payee_spend"), F.col("budget_total")).alias("budget_pct"),
             "block_no",
+            "block_spend",
             "role",
             "dst_block",
         )

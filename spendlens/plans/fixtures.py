@@ -96,19 +96,25 @@ VIEWS = {
 }
 
 
-def load(spark: SparkSession, sf_dir: str, *names: str) -> tuple[DataFrame, ...] | DataFrame:
-    """The named views (or given tables) over the Parquet files in ``sf_dir``."""
-    frames = tuple(_frame(spark, sf_dir, name) for name in names)
-    return frames if len(frames) > 1 else frames[0]
-
-
-def _frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    if name in BASE_TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    inputs = [t for t in (*BASE_TABLES, *VIEWS) if t != name and _mentions(VIEWS[name], t)]
-    # the frames are passed by name, so no temp view of the session is touched
-    text = re.sub(r"\b(FROM|JOIN)\s+(\w+)", r"\1 {\2}", VIEWS[name])
-    return spark.sql(text, **{t: _frame(spark, sf_dir, t) for t in inputs})
+def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    """The named views (or given tables) over the Parquet files in ``sf_dir``.
+
+    Views that build on the same table share one reading of it.
+    """
+    frames: dict[str, DataFrame] = {}
+    return [_frame(spark, sf_dir, name, frames) for name in names]
+
+
+def _frame(spark: SparkSession, sf_dir: str, name: str, frames: dict[str, DataFrame]) -> DataFrame:
+    if name not in frames:
+        if name in BASE_TABLES:
+            frames[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            inputs = [t for t in (*BASE_TABLES, *VIEWS) if t != name and _mentions(VIEWS[name], t)]
+            # the frames are passed by name, so no temp view of the session is touched
+            text = re.sub(r"\b(FROM|JOIN)\s+(\w+)", r"\1 {\2}", VIEWS[name])
+            frames[name] = spark.sql(text, **{t: _frame(spark, sf_dir, t, frames) for t in inputs})
+    return frames[name]
 
 
 def sql_with_views(sql: str) -> str:

@@ -405,12 +405,13 @@ def oracle_sql() -> dict[str, str]:
             top AS (SELECT * FROM payees QUALIFY row_number()
                 OVER (PARTITION BY project_id ORDER BY payee_spend DESC, payee DESC) = 1),
             budgets AS (SELECT project_id, {_sum("total_amt")} AS budget_total FROM fx_budget GROUP BY project_id),
-            blocks AS (SELECT DISTINCT project_id, payee, block_no FROM paid),
+            blocks AS (SELECT project_id, payee, block_no, {_sum("amount")} AS block_spend FROM paid
+                GROUP BY project_id, payee, block_no),
             roles AS (SELECT project_id, block_no, MAX(role) AS role FROM fx_spend
                 WHERE amount IS NULL AND role IS NOT NULL GROUP BY project_id, block_no),
             edges AS (SELECT DISTINCT project_id, src_block, dst_block FROM fx_block_edges WHERE src_block IS NOT NULL)
             SELECT t.project_id, t.payee, payee_spend, budget_total,
-                payee_spend / NULLIF(budget_total, 0) * 100 AS budget_pct, k.block_no, role, dst_block
+                payee_spend / NULLIF(budget_total, 0) * 100 AS budget_pct, k.block_no, block_spend, role, dst_block
             FROM top t JOIN budgets b ON t.project_id = b.project_id
                 JOIN blocks k ON t.project_id = k.project_id AND t.payee = k.payee
                 LEFT JOIN roles r ON k.project_id = r.project_id AND k.block_no = r.block_no
@@ -419,7 +420,8 @@ def oracle_sql() -> dict[str, str]:
         "embed_documents": f"""WITH {DOCUMENTS}, {_vectors("documents_of", "vectors")}
             SELECT document, {VECTOR_TEXT} AS vector, 'trigram-{DIM}' AS embedder FROM vectors""",
         "vector_store_rows": f"""WITH {STORE}, {_vectors("store", "vectors")}
-            SELECT s.doc_id, {VECTOR_TEXT} AS vector, s.document, project_id, project_name, purpose, overview, outline,
+            SELECT s.doc_id, len(embedding) AS dim, CAST(embedding[1] AS DOUBLE) AS first_value,
+                CAST(embedding[{DIM}] AS DOUBLE) AS last_value, s.document, project_id, project_name, purpose, overview, outline,
                 payee, amount, 'trigram-{DIM}' AS embedder
             FROM store s JOIN vectors v ON s.document = v.document""",
         "knn_top10": f"WITH {HITS} SELECT vec_id, label, round(distance, 6) AS distance FROM hits",

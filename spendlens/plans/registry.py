@@ -52,7 +52,7 @@ REPORT_SQL = """
 
 def archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File names of archives, one per part."""
-    part = load(spark, sf_dir, "part")
+    [part] = load(spark, sf_dir, "part")
     return part.select(
         F.concat(
             F.col("p_partkey").cast("string"), F.lit("-"), F.col("p_size").cast("string"),
@@ -82,8 +82,7 @@ def _on(function: Callable[..., DataFrame], *inputs: str, **params) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_settings(spark)
-        frames = [load(spark, sf_dir, name) for name in inputs]
-        return function(*frames, **params)
+        return function(*load(spark, sf_dir, *inputs), **params)
 
     return query
 
@@ -126,8 +125,14 @@ def _store(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
 
 
 def _store_rows(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
+    """Store rows with the vector shown by its size and ends; embed_documents shows whole vectors."""
     store = _store(detail, org, overview)
-    return store.withColumn("embedding", _vector_text()).withColumnRenamed("embedding", "vector")
+    shown = {
+        "dim": F.size("embedding").cast("long"),
+        "first_value": F.element_at("embedding", 1).cast("double"),
+        "last_value": F.element_at("embedding", -1).cast("double"),
+    }
+    return store.withColumns(shown).drop("embedding")
 
 
 def _answer(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:

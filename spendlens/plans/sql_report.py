@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from pathlib import Path
 from typing import Any
@@ -11,6 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from spendlens.sources.sinks import write_csv
 
 DOUBLE_QUOTES = "spark.sql.ansi.doubleQuotedIdentifiers"
+STRING_OR_COMMENT = r"""'(?:[^']|'')*'|"(?:[^"]|"")*"|`[^`]*`|--[^\n]*|/\*.*?\*/"""
+BARE_NAME = "([A-Za-z_\u00a1-\u2fff\u3001-\U0010ffff][\\w$\u00a1-\u2fff\u3001-\U0010ffff]*)"
+
+
+def quote_names(text: str) -> str:
+    """Put double quotes around bare names with letters outside ASCII, which Spark SQL asks for."""
+
+    def quoted(match: re.Match[str]) -> str:
+        word = match.group()
+        return word if match.group(1) is None or word.isascii() else f'"{word}"'
+
+    return re.sub(STRING_OR_COMMENT + "|" + BARE_NAME, quoted, text, flags=re.S)
 
 
 def run_sql(
@@ -21,16 +34,16 @@ def run_sql(
 ) -> DataFrame:
     """The result of a SQL text over the registered views, lazily.
 
-    Names may stand in double quotes. ``:name`` in the text takes its value
-    from ``args``; values are bound, never put into the text. ``views`` are
-    registered first.
+    Names may stand in double quotes, and names in other scripts also without.
+    ``:name`` in the text takes its value from ``args``; values are bound, never
+    put into the text. ``views`` are registered first.
     """
     for name, view in (views or {}).items():
         view.createOrReplaceTempView("`" + name.replace("`", "``") + "`")
     before = spark.conf.get(DOUBLE_QUOTES)
     spark.conf.set(DOUBLE_QUOTES, "true")
     try:
-        return spark.sql(text.strip().rstrip(";"), args=dict(args or {}))
+        return spark.sql(quote_names(text), args=dict(args or {}))
     finally:
         spark.conf.set(DOUBLE_QUOTES, before)
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings. AQE sizes the shuffles, turns a side into a broadcast
@@ -34,17 +31,3 @@ def build_session(app: str = "spendlens", master: str | None = None, **conf: str
     for key, value in {**RUNTIME_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def work_folder(spark: SparkSession) -> str:
-    """The shared folder for written intermediate tables.
-
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"spendlens-{os.getpid()}-")

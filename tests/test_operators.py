@@ -159,7 +159,7 @@ def test_agent_flow_follows_the_block_of_the_top_payee(spark):
     )
     edges = spark.createDataFrame([(1, "B", "A", False), (1, "A", None, True)], "project_id long, dst_block string, src_block string, from_ministry boolean")
     rows = tuples(flows.agent_flow(budget(spark, [(1, "a", 120.0)]), payments, edges))
-    assert rows == [(1, "agent", 60.0, 120.0, 50.0, "A", "office", "B")]
+    assert rows == [(1, "agent", 60.0, 120.0, 50.0, "A", 60.0, "office", "B")]
 
 
 # --- dossiers -----------------------------------------------------------------

@@ -20,9 +20,9 @@ SPEND_CSV = """予算事業ID,事業名,府省庁,支出先ブロック番号,
 2,学校,文科省,A,,社団,,給食,"1,000"
 2,学校,文科省,A,,社団,,給食,5
 """
-BUDGET_CSV = """予算事業ID,事業名,予算年度,計（歳出予算現額合計）,開始年度不明
-1,道路,2024,50,True
-2,学校,2024,700.5,False
+BUDGET_CSV = """予算事業ID,事業名,予算年度,計（歳出予算現額合計）,開始年度不明,翌年度への繰越し(合計),内容/ 目標
+1,道路,2024,50,True,,a
+2,学校,2024,700.5,False,1,b
 """
 
 
@@ -99,6 +99,14 @@ def test_operators_on_the_domain_views(spark, ingested):
     text = f'SELECT "予算事業ID", SUM("金額") AS "合計" FROM "{fv.SPEND_DETAIL_VIEW}" WHERE "予算事業ID" = :id GROUP BY 1;'
     assert tuples(run_sql(spark, text, {"id": 1})) == [(1, 90.0)]
     assert spark.conf.get("spark.sql.ansi.doubleQuotedIdentifiers") == "false"
+    # names without quotes, text in other scripts in strings and comments, a comment after the end
+    text = f"""
+    -- 事業ごとの予算と支出
+    WITH 予算額 AS (SELECT 予算事業ID, 事業名, SUM("計（歳出予算現額合計）") AS 合計 FROM "{fv.BUDGET_VIEW}" GROUP BY 予算事業ID, 事業名)
+    SELECT b.事業名, b.合計 AS 予算, e."金額" AS 支出 FROM 予算額 AS b JOIN {fv.SPEND_DETAIL_VIEW} AS e
+    ON b.予算事業ID = e.予算事業ID /* 結合 */ WHERE b.事業名 LIKE '%道路%' ORDER BY 支出 DESC; -- 終わり"""
+    result = run_sql(spark, text)
+    assert result.columns == ["事業名", "予算", "支出"] and tuples(result) == [("道路", 50.0, 90.0)]
 
 
 def test_verify_reports_missing_tables(spark, ingested):
