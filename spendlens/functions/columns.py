@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(20,4)"
+NUMBER_PATTERN = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
 
 
 def money_sum(column: str | Column) -> Column:
@@ -65,7 +66,7 @@ def identity_text(df: DataFrame, columns: Sequence[str], extra: Sequence[Column]
 def to_number(column: str | Column) -> Column:
     """Text to double; anything that is not a plain decimal number gives NULL."""
     text = F.trim(_col(column).cast("string"))
-    plain = text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+    plain = text.rlike("^" + NUMBER_PATTERN + "$")
     return F.when(plain, text.try_cast("double"))
 
 

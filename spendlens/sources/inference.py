@@ -8,42 +8,53 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.functions.columns import to_number
+from spendlens.functions.columns import NUMBER_PATTERN, to_number
 
 TRUE_FALSE = ("True", "TRUE", "true", "False", "FALSE", "false")
 
+# what a text cell can be, one bit each
+MISSING, WHOLE, NUMBER, TRUTH, TEXT = 1, 2, 4, 8, 16
+
 
 def inferred_types(df: DataFrame) -> DataFrame:
-    """(position, column_name, column_type, notnull): one row per text column.
+    """(position, column_name, column_type, notnull, pk): one row per text column.
 
     One pass. A column is BIGINT when every row is a whole number, DOUBLE when
     all values are numbers (also whole numbers with gaps, and columns without
     any value), BOOLEAN when all values are true or false, else VARCHAR.
     """
-    flags = []
-    for position, name in enumerate(df.columns):
-        text = F.col(f"`{name}`")
-        flags.append(
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(name).alias("column_name"),
-                F.coalesce(F.count(F.lit(1)), F.lit(0)).alias("n"),
-                F.count(text).alias("present"),
-                F.count(_whole(text)).alias("whole"),
-                F.count(to_number(text)).alias("numbers"),
-                F.count(F.when(text.isin(*TRUE_FALSE), 1)).alias("booleans"),
-            )
-        )
-    row = df.agg(F.array(*flags).alias("columns")).select(F.explode("columns").alias("c")).select("c.*")
-    present = F.col("present")
-    kind = (
-        F.when((F.col("n") > 0) & (F.col("whole") == F.col("n")), "BIGINT")
-        .when(F.col("numbers") == present, "DOUBLE")
-        .when(F.col("booleans") == present, "BOOLEAN")
+    seen = [
+        F.struct(F.lit(position).alias("position"), F.lit(name).alias("column_name"), _kinds(name).alias("kinds"))
+        for position, name in enumerate(df.columns)
+    ]
+    rows = df.agg(F.array(*seen).alias("columns")).select(F.explode("columns").alias("c")).select("c.*")
+    kinds = F.col("kinds")
+    column_type = (
+        F.when(kinds == WHOLE, "BIGINT")
+        .when(kinds.bitwiseAND(F.lit(TRUTH | TEXT)) == 0, "DOUBLE")
+        .when(kinds.bitwiseAND(F.lit(WHOLE | NUMBER | TEXT)) == 0, "BOOLEAN")
         .otherwise("VARCHAR")
     )
-    return row.select(
-        "position", "column_name", kind.alias("column_type"), F.lit(False).alias("notnull"), F.lit(False).alias("pk")
+    return rows.select(
+        "position",
+        "column_name",
+        column_type.alias("column_type"),
+        F.lit(False).alias("notnull"),
+        F.lit(False).alias("pk"),
+    )
+
+
+def _kinds(name: str) -> Column:
+    """The bits of all kinds of cells in a column; one expression, as sheets have many columns."""
+    cell = "`" + name.replace("`", "``") + "`"
+    return F.expr(
+        rf"""coalesce(bit_or(CASE
+            WHEN {cell} IS NULL THEN {MISSING}
+            WHEN {cell} RLIKE r'^\s*[+-]?\d+\s*$'
+                AND (length({cell}) < 18 OR try_cast(trim({cell}) AS BIGINT) IS NOT NULL) THEN {WHOLE}
+            WHEN {cell} RLIKE r'^\s*{NUMBER_PATTERN}\s*$' THEN {NUMBER}
+            WHEN {cell} IN {TRUE_FALSE} THEN {TRUTH}
+            ELSE {TEXT} END), 0)"""
     )
 
 
@@ -57,10 +68,6 @@ def typed_columns(cells: DataFrame, header: Sequence[str]) -> DataFrame:
     return text.select(*[_convert(name, types[name]).alias(name) for name in header])
 
 
-def _whole(text: Column) -> Column:
-    return F.when(F.trim(text).rlike(r"^[+-]?\d+$"), F.trim(text).try_cast("bigint"))
-
-
 def _convert(name: str, kind: str) -> Column:
     text = F.col(f"`{name}`")
     if kind == "BIGINT":
