@@ -33,14 +33,17 @@ def project_records(views: Mapping[str, DataFrame], project_id: int | None = Non
             continue
         if project_id is not None:
             view = view.where(F.col("project_id") == project_id)
+        # equal rows are folded as typed rows, which are smaller than their text
+        rows = collapse(view.where(F.col("project_id").isNotNull()), view.columns, "_copies")
         parts.append(
-            view.where(F.col("project_id").isNotNull()).select(
+            rows.select(
                 F.col("project_id").cast("long").alias("project_id"),
                 F.lit(name).alias("view_name"),
                 F.to_json(F.struct(*view.columns), KEEP_NULLS).alias("record"),
+                F.col("_copies").alias(COPIES),
             )
         )
-    return collapse(reduce(DataFrame.unionByName, parts), ["project_id", "view_name", "record"])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def project_dossier(

@@ -114,16 +114,15 @@ def ministry_summary(org: DataFrame, overview: DataFrame, budget: DataFrame) ->
 
 
 def contracts_with_names(detail: DataFrame, org: DataFrame) -> DataFrame:
-    """(project name, payee, outline), no part missing, with the number of rows."""
+    """(project id, project name, payee, outline), no name missing, with the number of rows."""
     contracts = collapse(
         detail.where(F.col("outline").isNotNull() & F.col("payee").isNotNull()),
         ["project_id", "payee", "outline"],
         "_contracts",
     )
     names = collapse(org.where(F.col("project_name").isNotNull()), ["project_id", "project_name"], "_org")
-    joined = spread_join(contracts, names, ["project_id"])
-    return joined.groupBy("project_name", "payee", "outline").agg(
-        F.sum(F.col("_contracts") * F.col("_org")).alias(COPIES)
+    return spread_join(contracts, names, ["project_id"]).select(
+        "project_id", "project_name", "payee", "outline", (F.col("_contracts") * F.col("_org")).alias(COPIES)
     )
 
 
@@ -139,7 +138,7 @@ def sample_rows(folded: DataFrame, n: int, seed: int) -> DataFrame:
 
 
 def text_sample(detail: DataFrame, org: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
-    return sample_rows(contracts_with_names(detail, org), n, seed)
+    return sample_rows(contracts_with_names(detail, org), n, seed).drop("project_id")
 
 
 def related_projects(related: DataFrame, budget: DataFrame, project_id: int | None = None) -> DataFrame:

@@ -371,10 +371,11 @@ def oracle_sql() -> dict[str, str]:
             FROM fx_org g LEFT JOIN fx_overview o ON g.project_id = o.project_id
                 LEFT JOIN fx_budget b ON g.project_id = b.project_id
             WHERE b.total_amt > 0 GROUP BY g.ministry""",
-        "text_sample": "WITH rows_of AS (SELECT o.project_name, d.payee, d.outline FROM fx_spend_detail d "
+        "text_sample": "WITH rows_of AS (SELECT d.project_id, o.project_name, d.payee, d.outline FROM fx_spend_detail d "
         "LEFT JOIN fx_org o ON d.project_id = o.project_id WHERE d.outline IS NOT NULL "
-        "AND o.project_name IS NOT NULL AND d.payee IS NOT NULL) "
-        + _sample("rows_of", ("project_name", "payee", "outline"), 100),
+        "AND o.project_name IS NOT NULL AND d.payee IS NOT NULL) SELECT project_name, payee, outline FROM ("
+        + _sample("rows_of", ("project_id", "project_name", "payee", "outline"), 100)
+        + ")",
         "related_projects": _lookup("fx_related"),
         "related_counts": f"""WITH {OVER} SELECT relation, COUNT(*) AS n FROM fx_related
             WHERE relation IS NOT NULL AND project_id IN (SELECT project_id FROM over_budget) GROUP BY relation""",
