@@ -1,0 +1,43 @@
+"""Plans: no products of tables, filters and columns reach the scans, Python only where it must be."""
+
+import pytest
+
+import __spark_entry__ as entry
+from spendlens.operators import balance, lookup
+from spendlens.plans.fixtures import load
+from tests.conftest import SF_DIR
+
+QUERIES = entry.queries()
+PYTHON = {"embed_documents", "vector_store_rows", "ask_documents", "ask_top_payees"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_no_products_and_no_needless_python(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+    python = any(node in text for node in ("EvalPython", "MapInPandas", "MapInArrow", "ArrowEval"))
+    assert python == (name in PYTHON)
+
+
+def written(spark, tmp_path, df):
+    df.write.parquet(str(tmp_path / "t"))
+    return spark.read.parquet(str(tmp_path / "t"))
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    [spend] = load(spark, SF_DIR, "fx_spend")
+    stored = written(spark, tmp_path, spend)
+    totals = plan(balance.spend_by_project(stored))
+    assert "ReadSchema: struct<project_id:bigint,amount:double>" in totals
+    assert "IsNotNull(amount)" in totals
+    rows = plan(lookup.rows_of_project(stored, 7))
+    assert "EqualTo(project_id,7)" in rows
+
+
+def test_top_k_keeps_no_total_order(spark):
+    text = plan(balance.rate_gap_top(*load(spark, SF_DIR, "fx_budget", "fx_spend")))
+    assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
