@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. AQE sizes the shuffles, turns a side into a broadcast
 # only after its real size is known, and splits skewed join partitions even
@@ -31,3 +33,19 @@ def build_session(app: str = "spendlens", master: str | None = None, **conf: str
     for key, value in {**RUNTIME_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows, computed once and kept in the shared folder named by spark.checkpoint.dir.
+
+    Only a local session without that setting gets a folder of its own.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()

@@ -121,15 +121,19 @@ def test_reconcile_keeps_every_row_of_a_hot_contract(spark, split_skew):
     assert got == want
 
 
-def test_lookup_of_a_hot_project_is_split(spark, split_skew):
+def test_lookup_filters_by_few_ids_and_joins_many(spark, split_skew, monkeypatch):
     rows, payments, budgets, _ = hot_world(spark)
     ids = balance.within_budget_ids(budgets, payments)
-    found = lookup.rows_of_projects(payments, ids)
     wanted = {p for (p,) in tuples(ids)}
-    assert found.count() == sum(r["project_id"] in wanted for r in rows)
-    hot = lookup.rows_of_projects(payments, payments.groupBy("project_id").count())
-    assert "skew=true" in executed_plan(hot)
-    assert hot.count() == len(rows)
+    few = lookup.rows_of_projects(payments, ids)
+    assert few.count() == sum(r["project_id"] in wanted for r in rows)
+    assert "BroadcastHashJoin" in executed_plan(few)
+    monkeypatch.setattr(lookup, "BROADCAST_IDS", 10)
+    many = lookup.rows_of_projects(payments, payments.groupBy("project_id").count())
+    assert "skew=true" in executed_plan(many)
+    assert many.count() == len(rows)
+    lazy = lookup.rows_of_projects(payments, ids, count_ids=False)
+    assert lazy.count() == few.count()
 
 
 def test_keyword_rows_of_a_hot_project(spark, split_skew):
