@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import IntegralType, NumericType
 
 from spendlens.functions.columns import identity_text
 
@@ -62,11 +63,12 @@ def spread_join(
     joined by the same key has no such shuffle, and a hot key of the other side
     would stay in one task. The key's hash as a further join key makes Spark
     shuffle both sides for this join. Columns of ``null_safe`` also match NULL
-    with NULL.
+    with NULL. Number columns of different types are compared as Spark does.
     """
     keys = [*on, *null_safe]
-    left = big.withColumn("_hash", F.xxhash64(*keys)).alias("l")
-    right = small.withColumn("_hash", F.xxhash64(*keys)).alias("r")
+    hashed = F.xxhash64(*[_hash_input(key, big, small) for key in keys])
+    left = big.withColumn("_hash", hashed).alias("l")
+    right = small.withColumn("_hash", hashed).alias("r")
     condition = F.col("l._hash") == F.col("r._hash")
     for key in on:
         condition = condition & (F.col(f"l.{key}") == F.col(f"r.{key}"))
@@ -78,6 +80,18 @@ def spread_join(
     return left.join(right, condition, how).select(*kept)
 
 
+def _hash_input(key: str, left: DataFrame, right: DataFrame) -> Column:
+    """The key in one type for both sides; a sheet may hold whole numbers as doubles."""
+    kinds = {type(df.schema[key].dataType) for df in (left, right)}
+    if len(kinds) == 1:
+        return F.col(key)
+    if all(issubclass(kind, IntegralType) for kind in kinds):
+        return F.col(key).cast("long")
+    if all(issubclass(kind, NumericType) for kind in kinds):
+        return F.col(key).cast("double")
+    raise TypeError(f"{key} has types that do not compare: {sorted(k.__name__ for k in kinds)}")
+
+
 def numbered(
     df: DataFrame, group: Sequence[str], identity: Sequence[str], name: str, weight: str | None = None
 ) -> DataFrame:

@@ -82,6 +82,15 @@ def test_spread_join_matches_null_only_where_told(spark):
     assert tuples(skew.spread_join(left, right, ["a"], null_safe=["b"])) == [(1, None, 10)]
 
 
+def test_spread_join_across_number_types(spark):
+    left = spark.createDataFrame([(1, 5.0, "a"), (2, None, "b"), (3, 7.5, "c")], "k int, corp double, v string")
+    right = spark.createDataFrame([(1, 5, 10), (2, None, 20), (3, 7, 30)], "k long, corp long, w int")
+    joined = skew.spread_join(left, right, ["k"], null_safe=["corp"])
+    assert sorted(tuples(joined, "v", "w")) == [("a", 10), ("b", 20)]
+    with pytest.raises(TypeError):
+        skew.spread_join(left, right.withColumn("k", F.col("k").cast("string")), ["k"])
+
+
 def hot_world(spark):
     """One project holds a third of all payments, a third of those are copies."""
     rows = []
