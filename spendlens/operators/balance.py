@@ -8,7 +8,9 @@ comparison (inner join).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.functions import fixed_values as fv
@@ -150,7 +152,7 @@ def over_budget_cause(budget: DataFrame, spend: DataFrame, obligation: DataFrame
     issues = _over_budget(budget_by_project(budget), spend)
     obliged = obligation.select("project_id").distinct().withColumn("has_obligation", F.lit(True))
     negative = (
-        budget.where(F.least(*[F.coalesce(F.col(part), F.lit(0.0)) for part in BUDGET_PARTS]) < 0)
+        budget.where(reduce(Column.__or__, [F.col(part) < 0 for part in BUDGET_PARTS]))
         .select("project_id")
         .distinct()
         .withColumn("has_negative_part", F.lit(True))

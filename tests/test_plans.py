@@ -38,6 +38,12 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "EqualTo(project_id,7)" in rows
 
 
+def test_negative_parts_reach_the_scan(spark, tmp_path):
+    budget, spend, obligation = load(spark, SF_DIR, "fx_budget", "fx_spend", "fx_obligation")
+    text = plan(balance.over_budget_cause(written(spark, tmp_path, budget), spend, obligation))
+    assert "LessThan(carryover_amt,0.0)" in text and "Or(" in text
+
+
 def test_top_k_keeps_no_total_order(spark):
     text = plan(balance.rate_gap_top(*load(spark, SF_DIR, "fx_budget", "fx_spend")))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
