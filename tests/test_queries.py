@@ -6,11 +6,12 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from spendlens.plans import oracle, registry
 from spendlens.plans.fixtures import VIEWS
 from tests.conftest import SF_DIR
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 MAY_BE_EMPTY = {"related_to_top_project"}
 
 
