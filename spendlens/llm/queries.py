@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spendlens.llm import near_dedup
+from spendlens.llm import near_dedup, token_output
 
 QUERIES = {
+    "op8_token_output": token_output.query,
     "op9_minhash_near_dedup": near_dedup.query,
 }
 
