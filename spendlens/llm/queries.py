@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from spendlens.llm import near_dedup, token_output
+from spendlens.llm import decontaminate, near_dedup, token_output, toxicity
 
 QUERIES = {
+    "op3_toxicity": toxicity.query,
+    "op2_decontamination": decontaminate.query,
     "op8_token_output": token_output.query,
     "op9_minhash_near_dedup": near_dedup.query,
 }
 
 ORACLE_SQL = {
+    "op2_decontamination": decontaminate.SQL,
     "op9_minhash_near_dedup": near_dedup.SQL,
 }
