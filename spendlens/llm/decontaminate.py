@@ -173,6 +173,27 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The rows without a hit, with their own columns."""
+    clean = docs
+    for shard in _shards(benchmark):
+        clean = clean.where(~_hit_by(docs.sparkSession, shard, size)("text"))
+    return clean
+
+
+def _hit_by(spark: SparkSession, items: list[tuple[int, bytes]], size: int):
+    """A test of texts for any window of the items."""
+    held = spark.sparkContext.broadcast(items)
+
+    @F.arrow_udf("boolean")
+    def hit(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        found = automaton(held.value, size)
+        for batch in batches:
+            yield pa.array([bool(scan(t, found)[1]) for t in common.texts(batch)], pa.bool_())
+
+    return hit
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_settings(spark)
     return report(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark"))

@@ -310,8 +310,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that stay: one row of each group of near-duplicates, and rows without doc_id."""
     kept_ids = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.join(kept_ids, F.col("doc_id") == F.col("_kept"), "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    stay = docs.where("doc_id IS NOT NULL").join(kept_ids, F.col("doc_id") == F.col("_kept"), "left_semi")
+    return stay.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spendlens.llm import decontaminate, near_dedup, token_output, toxicity
+from spendlens.llm import decontaminate, mixing, near_dedup, token_output, toxicity
 
 QUERIES = {
+    "op4_mixing": mixing.query,
     "op3_toxicity": toxicity.query,
     "op2_decontamination": decontaminate.query,
     "op8_token_output": token_output.query,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_mixing": mixing.sql(),
     "op2_decontamination": decontaminate.SQL,
     "op9_minhash_near_dedup": near_dedup.SQL,
 }
