@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from spendlens.llm import decontaminate, mixing, near_dedup, token_output, toxicity
+from spendlens.llm import decontaminate, language, mixing, near_dedup, simhash, token_output, toxicity
 
 QUERIES = {
+    "op7_language": language.query,
+    "op5_simhash": simhash.query,
     "op4_mixing": mixing.query,
     "op3_toxicity": toxicity.query,
     "op2_decontamination": decontaminate.query,
