@@ -9,8 +9,8 @@ taken. Two documents at the threshold of 0.75 share a prefix of two in some tree
 = 0.999998.
 
 Equal word sequences are folded before the forest. Candidates that a region's own spanning forest needs are
-confirmed on the full sets; afterwards all remaining candidates between different components are confirmed as well,
-so nothing is left out to save work.
+confirmed on the full sets. Afterwards all remaining candidates between different components are confirmed as well: the
+sets of their documents, not their pairs, are brought together by region, and a region compares its own.
 
 Cases: a null or empty text has no shingles and is linked with nothing, itself its component. Rows without doc_id
 come back with a null component and are kept. Repeated rows are one document and come back as often. Extra columns
@@ -102,7 +102,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     return common.through_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _sketch_batches, SKETCH)
 
 
-ACTIVE = "region long, place long, doc long, signature binary"
+ACTIVE = "region long, doc long, signature binary"
 
 
 def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -149,14 +149,15 @@ def _active_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     del table
     order = np.lexsort((docs, *(levels[:, k] for k in reversed(range(LEVELS))), tree))
     docs, tree, levels, signature = docs[order], tree[order], levels[order], signature[order]
-    out: list[tuple[int, int, int, bytes]] = []
+    out: list[tuple[int, int, bytes]] = []
     for a, b in _regions(tree, levels):
         near = _close(signature[a:b], signature[a:b])
         np.fill_diagonal(near, False)
         some = np.flatnonzero(near.any(axis=1))
         if len(some):
-            name = int(common.mix(np.asarray([(int(tree[a]) << 58) ^ int(docs[a]) ^ (int(docs[b - 1]) << 20)]).astype(np.uint64)).view(np.int64)[0])
-            out.extend((name, int(a + i), int(docs[a + i]), signature[a + i].tobytes()) for i in some)
+            ends = np.asarray([tree[a], docs[a], docs[b - 1]], dtype=np.int64).view(np.uint64)
+            name = int(common.mix(ends + np.arange(1, 4, dtype=np.uint64) * np.uint64(2**61 - 1)).sum().view(np.int64))
+            out.extend((name, int(docs[a + i]), signature[a + i].tobytes()) for i in some)
         if len(out) > 20_000:
             yield _active_batch(out)
             out = []
@@ -164,11 +165,10 @@ def _active_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield _active_batch(out)
 
 
-def _active_batch(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-    region, place, doc, signature = zip(*rows)
+def _active_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    region, doc, signature = zip(*rows)
     return pa.RecordBatch.from_arrays(
-        [pa.array(region, pa.int64()), pa.array(place, pa.int64()), pa.array(doc, pa.int64()), pa.array(signature, pa.binary())],
-        names=["region", "place", "doc", "signature"],
+        [pa.array(region, pa.int64()), pa.array(doc, pa.int64()), pa.array(signature, pa.binary())], names=["region", "doc", "signature"]
     )
 
 
@@ -187,40 +187,80 @@ def forest(reps: DataFrame, partitions: int) -> DataFrame:
 PAIRS = "a long, b long"
 
 
-def _spanning_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _pairs(batches, spanning=True)
+def _by_region(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one region after the other, from rows sorted by region."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        region = batch.column("region").to_numpy()
+        cuts = [0, *(np.flatnonzero(region[1:] != region[:-1]) + 1).tolist(), len(region)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a == b:
+                continue
+            if held and held[0].column("region")[0].as_py() != int(region[a]):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
 
 
-def _remaining_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _pairs(batches, spanning=False)
+def _bits(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, TREES * LEVELS)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch], spanning: bool) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of regions: what joins each region's candidates, or all between different components."""
-    batches = [b for b in batches if b.num_rows]
-    if not batches:
-        return
-    table = pa.Table.from_batches(batches)
-    region, doc, part = (table.column(n).to_numpy() for n in ("region", "doc", "component"))
-    signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, TREES * LEVELS)
-    order = np.lexsort((doc, region))
-    region, doc, part, signature = region[order], doc[order], part[order], signature[order]
-    ends = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1], [True]]))
+def _spanning_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The candidates that hold each region's documents together."""
     found: set[tuple[int, int]] = set()
-    for a, b in zip(ends[:-1], ends[1:]):
-        if spanning:
-            found.update((int(doc[a + i]), int(doc[a + j])) for i, j in _spanning(signature[a:b]))
-        elif (part[a:b] != part[a]).any():
-            near = _close(signature[a:b], signature[a:b]) & (part[a:b, None] != part[None, a:b])
-            i, j = np.nonzero(np.triu(near, 1))
-            found.update(zip(doc[a + i].tolist(), doc[a + j].tolist()))
-        if len(found) > 200_000:
+    for table in _by_region(batches):
+        doc = table.column("doc").to_pylist()
+        found.update((doc[i], doc[j]) for i, j in _spanning(_bits(table)))
+        if len(found) > 100_000:
             yield _pair_batch(found)
             found = set()
     if found:
         yield _pair_batch(found)
 
 
+def _open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents that have a candidate in another component."""
+    for table in _by_region(batches):
+        part, bits = table.column("component").to_numpy(), _bits(table)
+        if (part != part[0]).any():
+            near = _close(bits, bits) & (part[:, None] != part[None, :])
+            yield from table.filter(pa.array(near.any(axis=1))).to_batches()
+
+
+def _settled_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components, from all candidates of a region. A pair is looked at in one region only."""
+    for table in _by_region(batches):
+        doc, part, bits = table.column("doc").to_pylist(), table.column("component").to_numpy(), _bits(table)
+        sets = [np.frombuffer(v, np.uint64) for v in table.column("set").to_pylist()]
+        regions = [set(v) for v in table.column("regions").to_pylist()]
+        here = table.column("region")[0].as_py()
+        group = {int(c): int(c) for c in part}
+
+        def root(c: int) -> int:
+            while group[c] != c:
+                c = group[c]
+            return c
+
+        found: set[tuple[int, int]] = set()
+        near = np.triu(_close(bits, bits) & (part[:, None] != part[None, :]), 1)
+        for i, j in zip(*np.nonzero(near)):
+            x, y = root(int(part[i])), root(int(part[j]))
+            if x != y and min(regions[i] & regions[j]) == here and _linked(sets[i], sets[j]):
+                found.add((doc[i], doc[j]))
+                group[max(x, y)] = min(x, y)
+        if found:
+            yield _pair_batch(found)
+
+
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return DENOMINATOR * shared >= NUMERATOR * (len(both) - shared)
+
+
 def _pair_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*((min(p), max(p)) for p in pairs))
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -254,28 +294,29 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yes = []
-        for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(x) + len(y)
-            shared = both - len(np.union1d(x, y))
-            yes.append(DENOMINATOR * shared >= NUMERATOR * (both - shared))
+        yes = [
+            _linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+            for x, y in zip(batch.column("set_a"), batch.column("set_b"))
+        ]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(yes, pa.bool_()))
 
 
+def sets_of(needed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The full sets of the documents in ``needed`` (column doc), made again from their texts."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(needed, "doc", "left_semi")
+    return common.kept(common.through_arrow(texts, _set_batches, "doc long, set binary").dropDuplicates(["doc"]))
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough; sets are made again from the texts of paired documents only."""
-    needed = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    sets = common.through_arrow(texts.join(needed, "doc", "left_semi"), _set_batches, "doc long, set binary")
-    sets = kept_sets(sets)
+    """The pairs whose full sets are similar enough."""
+    sets = sets_of(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), docs)
     left = pairs.join(sets.select(F.col("doc").alias("a"), F.col("set").alias("set_a")), "a")
     both = left.join(sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b")), "b")
     return common.through_arrow(both.select("a", "b", "set_a", "set_b"), _confirm_batches, PAIRS)
 
 
-def kept_sets(sets: DataFrame) -> DataFrame:
-    return common.kept(sets.dropDuplicates(["doc"]))
+def _regionwise(rows: DataFrame, partitions: int) -> DataFrame:
+    return rows.repartition(partitions, "region").sortWithinPartitions("region", "doc")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -288,16 +329,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc"), F.any_value("keys").alias("keys"), F.any_value("signature").alias("signature")
     )
     active = common.kept(forest(classes, max(partitions, TREES)))
-    first = active.withColumn("component", F.col("doc")).repartition(partitions, "region")
-    pairs = common.kept(first.mapInArrow(_spanning_batches, PAIRS).distinct())
+    pairs = common.kept(_regionwise(active, partitions).mapInArrow(_spanning_batches, PAIRS).distinct())
     links = common.kept(confirmed(pairs, docs))
     parts = components(links)
     named = active.join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left")
-    named = named.withColumn("component", F.coalesce("component", "doc")).repartition(partitions, "region")
-    rest = named.mapInArrow(_remaining_batches, PAIRS).distinct().join(pairs, ["a", "b"], "left_anti")
-    rest = common.kept(rest)
-    if not rest.isEmpty():
-        parts = components(links.union(confirmed(rest, docs)))
+    named = _regionwise(named.withColumn("component", F.coalesce("component", "doc")), partitions)
+    opened = common.kept(named.mapInArrow(_open_batches, f"{ACTIVE}, component long"))
+    if not opened.isEmpty():
+        sets = sets_of(opened.select("doc").distinct(), docs)
+        regions = opened.groupBy("doc").agg(F.collect_set("region").alias("regions"))  # two for each tree at most
+        rows = _regionwise(opened.join(regions, "doc").join(sets, "doc"), partitions)
+        parts = components(links.union(rows.mapInArrow(_settled_batches, PAIRS)))
     ids = classes.select("seq_a", "seq_b", "doc").join(parts.withColumnRenamed("node", "doc"), "doc", "left")
     found = ids.select("seq_a", "seq_b", F.coalesce("component", "doc").alias("component"))
     empty = F.col("n_shingles") == 0

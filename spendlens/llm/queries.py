@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spendlens.llm import decontaminate, language, mixing, near_dedup, simhash, token_output, toxicity
+from spendlens.llm import decontaminate, extract, language, mixing, near_dedup, simhash, token_output, toxicity
 
 QUERIES = {
+    "op6_html_extraction": extract.query,
     "op7_language": language.query,
     "op5_simhash": simhash.query,
     "op4_mixing": mixing.query,
