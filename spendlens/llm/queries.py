@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spendlens.llm import decontaminate, extract, language, mixing, near_dedup, simhash, token_output, toxicity
+from spendlens.llm import decontaminate, extract, language, licences, mixing, near_dedup, simhash, token_output, toxicity
 
 QUERIES = {
+    "op1_licence_scan": licences.query,
     "op6_html_extraction": extract.query,
     "op7_language": language.query,
     "op5_simhash": simhash.query,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_licence_scan": licences.sql(),
     "op4_mixing": mixing.sql(),
     "op2_decontamination": decontaminate.SQL,
     "op9_minhash_near_dedup": near_dedup.SQL,
