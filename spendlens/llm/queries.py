@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spendlens.llm import decontaminate, extract, language, licences, mixing, near_dedup, simhash, token_output, toxicity
+from spendlens.llm import decontaminate, extract, language, licences, mixing, near_dedup, simhash, token_counts, token_output, toxicity
 
 QUERIES = {
+    "op10_token_counts": token_counts.query,
     "op1_licence_scan": licences.query,
     "op6_html_extraction": extract.query,
     "op7_language": language.query,
