@@ -6,8 +6,10 @@ classes of ASCII separators work on bytes as they do on code points.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from spendlens.session import checkpointed
-
 SLICE_BYTES = 1 << 20  # text handled at once by the vectorised steps
 BATCH_BYTES = 8 << 20  # of one Arrow batch
 
@@ -41,19 +41,32 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """The rows, computed once: a table in the folder that executors share, whose size Spark knows."""
+    """The rows, computed once: a table in the folder that executors share, whose size Spark knows.
+
+    What comes after reads the table, so a lost executor costs no more than its own tasks.
+    """
     folder = shared_folder(df.sparkSession, "kept")
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="kept-")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that driver and executors share."""
-    kept_dir = spark.sparkContext.getCheckpointDir()
-    if kept_dir is None:
-        checkpointed(spark.range(0))
-        kept_dir = spark.sparkContext.getCheckpointDir()
-    return f"{kept_dir}/{name}-{uuid.uuid4().hex}"
+    """A new folder below spark.checkpoint.dir, which driver and executors share.
+
+    Only a local session without that setting gets a folder of its own.
+    """
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = _local_folder()
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def through_arrow(

@@ -14,11 +14,12 @@ ignored. Without batches the totals are empty.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from spendlens.llm import common
 from spendlens.llm.tokens import VOCABULARY, encoder
@@ -28,15 +29,15 @@ WORDS = "words/1"
 PIECES = "byte_bpe_50k/1"
 COUNTS = "doc_id long, source string, lang string, tokenizer string, digest binary, n_tokens long"
 SIDE = "struct<source:string,lang:string,n_tokens:bigint>"
-TOTALS = StructType.fromDDL("source string, lang string, tokenizer string, documents long, tokens long")
+TOTALS = StructType([
+    *(StructField(name, StringType()) for name in ("source", "lang", "tokenizer")), *(StructField(name, LongType()) for name in ("documents", "tokens")),
+])
 
 
 def counted(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """For each row and tokenizer version the number of tokens, and a digest of the text."""
 
     def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from hashlib import blake2b
-
         encode = encoder(vocabulary).encode
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]

@@ -1,0 +1,65 @@
+"""Raked margins, calibrated draws, and the native plan."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from spendlens.llm import mixing
+from tests.llm.small import as_dict, documents, prose, with_clash
+
+
+def table(spark, n=600):
+    rows = []
+    for i in range(n):
+        source, lang = ("big" if i % 3 else f"s{i % 5}"), ("en" if i % 4 else "fr")
+        text = prose(i, 10 + i % 60) + (" licence" if i % 7 == 0 else "")
+        rows.append((i, text, lang, source))
+    return documents(spark, rows)
+
+
+def test_margins_reach_their_targets(spark):
+    docs = mixing.described(table(spark))
+    cells = docs.groupBy("_source", "_lang", "_topic").agg(F.sum("_n").alias("_n")).cache()
+    factors = mixing.rake(cells, powers={"source": 0.5, "lang": 0.0, "topic": 1.0}, sweeps=40)
+    mixed = cells.join(factors, ["_source", "_lang", "_topic"]).withColumn("w", F.col("_n") * F.col("_factor")).cache()
+    total = mixed.agg(F.sum("w")).first()[0]
+    langs = {r[0]: r[1] / total for r in mixed.groupBy("_lang").agg(F.sum("w")).collect()}
+    assert langs == {"en": pytest.approx(0.5, abs=1e-6), "fr": pytest.approx(0.5, abs=1e-6)}
+    natural = {r[0]: r[1] for r in cells.groupBy("_topic").agg(F.sum("_n")).collect()}
+    whole = sum(natural.values())
+    for topic, w in mixed.groupBy("_topic").agg(F.sum("w")).collect():
+        assert w / total == pytest.approx(natural[topic] / whole, abs=1e-6)
+
+
+def test_given_targets(spark):
+    docs = mixing.described(table(spark))
+    cells = docs.groupBy("_source", "_lang", "_topic").agg(F.sum("_n").alias("_n")).cache()
+    given = {"lang": spark.createDataFrame([("en", 3.0), ("xx", 1.0)], "value string, share double")}
+    factors = mixing.rake(cells, given, sweeps=20).collect()
+    assert all(r["_factor"] == 0 for r in factors if r["_lang"] == "fr")
+    assert all(r["_factor"] > 0 for r in factors if r["_lang"] == "en")
+
+
+def test_draws_follow_probabilities_and_repeat(spark):
+    docs = table(spark, 3000)
+    rows = mixing.sampled(docs).cache()
+    expected, drawn = rows.agg(F.sum("_probability"), F.sum(F.col("_drawn").cast("int"))).first()
+    assert drawn == pytest.approx(expected, rel=0.1)
+    assert rows.agg(F.max("_probability")).first()[0] == pytest.approx(1.0)
+    first = {r["doc_id"] for r in mixing.keep_drawn(docs).collect()}
+    assert first == {r["doc_id"] for r in mixing.keep_drawn(docs.repartition(7)).collect()}
+    assert mixing.keep_drawn(docs).columns == docs.columns
+
+
+def test_cases(spark):
+    rows = [(1, None, None, None), (2, "", "en", "s"), (2, "", "en", "s"), (None, "a b c", None, "s"), (3, "w " * 100_000, "en", None)]
+    got = mixing.report(with_clash(documents(spark, rows))).collect()
+    assert sorted(r["n_tokens"] for r in got) == [0, 0, 0, 3, 100_000]
+    assert all(r["probability"] == 0 and not r["drawn"] for r in got if r["n_tokens"] == 0)
+    assert mixing.report(documents(spark, [])).count() == 0
+    assert mixing.report(documents(spark, [(1, "", "en", "s")])).count() == 1
+
+
+def test_no_python_in_the_plan(spark):
+    plan = mixing.report(table(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+    assert as_dict(mixing.report(table(spark, 30)))[0]["topic"] == "licence"

@@ -1,0 +1,92 @@
+"""Near-duplicates against brute force, and cases."""
+
+import random
+
+from spendlens.llm import near_dedup
+from spendlens.llm.components import components
+from tests.llm.small import as_dict, documents, prose, with_clash
+
+
+def words(text):
+    return (text or "").encode().lower().decode().split()
+
+
+def shingles(text):
+    w = words(text)
+    if not w:
+        return set()
+    return {tuple(w)} if len(w) < 5 else {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def brute(rows):
+    sets = {d: shingles(t) for d, t in rows}
+    parent = {d: d for d in sets}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            x, y = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                p, q = sorted((root(a), root(b)))
+                parent[q] = p
+    return {d: (len(sets[d]), root(d)) for d in sets}
+
+
+def edited(text, n, seed):
+    draw, w = random.Random(seed), text.split()
+    for _ in range(n):
+        w[draw.randrange(len(w))] = f"x{draw.randrange(10**6)}"
+    return " ".join(w)
+
+
+def test_against_brute_force(spark):
+    rows, n = [], 0
+    for group in range(12):
+        base = prose(group, 40 + 60 * group)
+        for k in range(8):
+            rows.append((n, edited(base, k * (1 + group // 3), 100 * group + k)))
+            n += 1
+    passage = prose(99, 80)  # a passage many documents share links none of them
+    rows += [(1000 + k, f"{prose(500 + k, 200)} {passage}") for k in range(40)]
+    rows += [(2000, None), (2001, ""), (2002, "  \n"), (2003, "two words"), (2004, "Two  WORDS"), (2005, "one"), (2006, "a b c d e")]
+    rows += [(2007, rows[0][1].upper()), (2008, prose(7, 30_000))]
+    got = as_dict(near_dedup.near_duplicates(with_clash(documents(spark, rows))))
+    assert {d: (r["n_shingles"], r["component_id"]) for d, r in got.items()} == brute(rows)
+    assert all(r["kept"] == (d == r["component_id"]) for d, r in got.items())
+
+
+def test_large_group_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "REGION", 16)
+    base = prose(1, 200)
+    rows = [(i, edited(base, i % 7, i)) for i in range(150)] + [(500 + i, prose(50 + i, 100)) for i in range(50)]
+    got = as_dict(near_dedup.near_duplicates(documents(spark, rows)))
+    assert {d: r["component_id"] for d, r in got.items()} == {d: c for d, (_, c) in brute(rows).items()}
+
+
+def test_repeated_rows_and_missing_ids(spark):
+    text = prose(3, 50)
+    docs = documents(spark, [(5, text), (5, text), (9, text), (None, text), (None, None)])
+    got = sorted((r["doc_id"] is None, r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(docs).collect())
+    assert got[:3] == [(False, 5, 5, True), (False, 5, 5, True), (False, 9, 5, False)]
+    assert [g[2:] for g in got[3:]] == [(None, True), (None, True)]
+    stay = near_dedup.keep_one_of_each(docs)
+    assert stay.columns == docs.columns
+    assert sorted(r["doc_id"] for r in stay.where("doc_id IS NOT NULL").collect()) == [5]
+    assert stay.where("doc_id IS NULL").count() == 2
+
+
+def test_empty_table(spark):
+    assert near_dedup.near_duplicates(documents(spark, [])).count() == 0
+    assert near_dedup.keep_one_of_each(documents(spark, [])).count() == 0
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 200), (None, 3)]
+    got = {r[0]: r[1] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(40)}}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

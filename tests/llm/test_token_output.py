@@ -1,0 +1,93 @@
+"""Token-id files: the format, the round trip, and ids as the library gives them."""
+
+import io
+import os
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from spendlens.llm import common, token_file, token_output
+from spendlens.llm.tokens import VOCABULARY, encoder
+from tests.llm.small import documents, prose, with_clash
+
+TEXTS = [
+    "Plain words, of a text.\nSecond line", "  two  spaces ", "tab\there", "end of line\n", "\n\n\nlines\n\n", "", None, " ",
+    "Ünïcode “quotes” — 東京 über réêou 1234's don't 'S", "nbsp here  wide", "x <|endoftext|> y", "a\r\nb", "²³ ½ a²b \x1c z",
+    prose(1, 3000),
+]
+
+
+def test_pieces_encode_as_whole_texts():
+    e = encoder(VOCABULARY)
+    for _ in range(2):  # the second time from memory
+        for text in filter(None, TEXTS):
+            assert e.encode(text) == e.whole(text), text[:40]
+
+
+def test_file_reads_back_frame_by_frame():
+    docs = [(i, os.urandom(4 * (i * 37 % 5000))) for i in range(600)] + [(599, b""), (token_file.NO_ID, b"1234")]
+    out = io.BytesIO()
+    assert token_file.write(out, docs) == (len(docs), sum(len(t) // 4 for _, t in docs))
+    reader = token_file.Reader(out)
+    assert len(reader.frames) > 3
+    assert list(reader.documents()) == docs
+    assert reader.find(599) == [docs[599][1], b""]
+    assert reader.find(10**6) == []
+
+
+def test_reader_unpacks_only_what_it_looks_for(monkeypatch):
+    out = io.BytesIO()
+    token_file.write(out, [(i, os.urandom(40_000)) for i in range(300)])
+    reader, read = token_file.Reader(out), []
+    frame = reader.frame
+    monkeypatch.setattr(reader, "frame", lambda i: read.append(i) or frame(i))
+    assert len(reader.find(17)) == 1
+    assert len(read) == 1 < len(reader.frames)
+
+
+def test_damage_is_found():
+    out = io.BytesIO()
+    token_file.write(out, [(1, b"abcd" * 1000)])
+    raw = bytearray(out.getvalue())
+    raw[-token_file.FOOTER_BYTES - 1] ^= 1  # the checksum of the only frame
+    with pytest.raises(ValueError, match="damaged"):
+        list(token_file.Reader(io.BytesIO(bytes(raw))).documents())
+    with pytest.raises(ValueError, match="seek table"):
+        token_file.Reader(io.BytesIO(b"x" * 100))
+
+
+def test_empty_file():
+    out = io.BytesIO()
+    assert token_file.write(out, []) == (0, 0)
+    assert list(token_file.Reader(out).documents()) == []
+
+
+def test_round_trip(spark):
+    docs = with_clash(documents(spark, [(10 - i, t) for i, t in enumerate(TEXTS)] + [(10, TEXTS[0]), (None, "no id")]))
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["start"], r["n_tokens"], r["ids_crc32"]) for r in token_output.round_trip(docs).collect())
+    library = Tokenizer.from_file(VOCABULARY)
+    rows = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "") for r in docs.collect()))
+    want, start = [], 0
+    for known, doc_id, text in rows:
+        ids = np.asarray([*library.encode(text, add_special_tokens=False).ids, 0], dtype="<u4")
+        want.append((known, doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert got == want
+
+
+def test_round_trip_of_nothing(spark):
+    assert token_output.round_trip(documents(spark, [])).count() == 0
+
+
+def test_files_hold_ranges_in_order(spark):
+    docs = documents(spark, [prose(i, 20) for i in range(200)])
+    files = token_output.write_files(docs, common.shared_folder(spark, "test")).orderBy("part").collect()
+    ids = []
+    for f in files:
+        store, place = token_output._open(f["path"])
+        with store.open_input_file(place) as source:
+            ids += [d for d, _ in token_file.Reader(source).documents()]
+    assert ids == list(range(200))
+    assert sum(f["n_docs"] for f in files) == 200
