@@ -4,8 +4,8 @@ Every text is a set of shingles of five words. A document's signature has TREES
 forest sorts all documents by its own LEVELS minima in order, so that documents with a long common prefix are
 neighbours. A region of a tree is a run of documents with a common prefix: it starts at MIN_DEPTH and goes deeper
 where more than REGION documents share that prefix (adaptive depth). Within a region all pairs whose signatures
-agree well enough are candidates; if a region at full depth still holds more, overlapping windows of its order are
-taken. Two documents at the threshold of 0.75 share a prefix of two in some tree with probability 1 - (1 - 0.75^2)^16
+agree well enough are candidates. A region that is too large is also cut into parts of its order, each beside the
+region's hubs: the documents nearest to the most frequent values, as the text is that all others are copies of. Two documents at the threshold of 0.75 share a prefix of two in some tree with probability 1 - (1 - 0.75^2)^16
 = 0.999998.
 
 Equal word sequences are folded before the forest. Candidates that a region's own spanning forest needs are
@@ -34,7 +34,9 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100  # similarity of at least 75 / 100
 TREES, LEVELS = 16, 8
 MIN_DEPTH = 2
-REGION = 1024
+REGION = 2048
+HUBS = 32  # most central documents of a larger region, set beside every part of it
+BITMAP_WORDS = 1 << 17  # of 64 bits
 CLOSE = 0.6  # share of equal minima from which a pair is a candidate: four standard errors below 0.75
 
 _rng = np.random.default_rng(75)
@@ -114,10 +116,17 @@ def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _regions(tree: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of sorted rows with a common prefix, deeper where more than REGION rows share one.
+def _hubs(signature: np.ndarray) -> np.ndarray:
+    """The rows that agree best with the most frequent value of each place: what the others are copies of."""
+    usual = np.asarray([np.bincount(signature[:, k], minlength=256).argmax() for k in range(signature.shape[1])], dtype=np.uint8)
+    return np.argsort(-(signature == usual).sum(axis=1), kind="stable")[:HUBS]
 
-    ``keys`` has one column per level. A run at full depth that is still larger comes as overlapping windows.
+
+def _regions(tree: np.ndarray, keys: np.ndarray, signature: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of runs with a common prefix, deeper where more than REGION rows share one.
+
+    ``keys`` has one column per level. A run that is too large is looked at in parts, each beside the run's hubs, and
+    at the next level; at full depth the parts overlap by half.
     """
     ends = np.flatnonzero(np.concatenate([[True], tree[1:] != tree[:-1], [True]])) if len(tree) else np.empty(0, int)
     todo = [(int(a), int(b), 0) for a, b in zip(ends[:-1], ends[1:])]
@@ -126,11 +135,14 @@ def _regions(tree: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, int]]:
         if b - a < 2:
             continue
         if depth >= MIN_DEPTH and b - a <= REGION:
-            yield a, b
-        elif depth == LEVELS:
-            for start in range(a, b - REGION // 2, REGION // 2):
-                yield start, min(start + REGION, b)
-        else:
+            yield np.arange(a, b)
+            continue
+        if depth >= MIN_DEPTH:
+            hubs = a + _hubs(signature[a:b])
+            step = REGION if depth < LEVELS else REGION // 2
+            for start in range(a, b, step):
+                yield np.union1d(hubs, np.arange(start, min(start + REGION, b)))
+        if depth < LEVELS:
             level = keys[a:b, depth]
             cut = a + np.flatnonzero(np.concatenate([[True], level[1:] != level[:-1], [True]]))
             many = np.flatnonzero(np.diff(cut) > 1)
@@ -150,14 +162,14 @@ def _active_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     order = np.lexsort((docs, *(levels[:, k] for k in reversed(range(LEVELS))), tree))
     docs, tree, levels, signature = docs[order], tree[order], levels[order], signature[order]
     out: list[tuple[int, int, bytes]] = []
-    for a, b in _regions(tree, levels):
-        near = _close(signature[a:b], signature[a:b])
+    for rows in _regions(tree, levels, signature):
+        near = _close(signature[rows], signature[rows])
         np.fill_diagonal(near, False)
-        some = np.flatnonzero(near.any(axis=1))
+        some = rows[near.any(axis=1)]
         if len(some):
-            ends = np.asarray([tree[a], docs[a], docs[b - 1]], dtype=np.int64).view(np.uint64)
+            ends = np.asarray([tree[rows[0]], docs[rows[0]] + 2**40 * len(rows), docs[rows[-1]]], dtype=np.int64).view(np.uint64)
             name = int(common.mix(ends + np.arange(1, 4, dtype=np.uint64) * np.uint64(2**61 - 1)).sum().view(np.int64))
-            out.extend((name, int(docs[a + i]), signature[a + i].tobytes()) for i in some)
+            out.extend((name, int(docs[i]), signature[i].tobytes()) for i in some)
         if len(out) > 20_000:
             yield _active_batch(out)
             out = []
@@ -301,9 +313,20 @@ def _confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(yes, pa.bool_()))
 
 
+def likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose doc may be among ``wanted``: a bitmap of fixed size, so that few others reach a shuffle."""
+    place = F.pmod(F.xxhash64("doc"), F.lit(BITMAP_WORDS))
+    bit = F.pmod(F.shiftright(F.xxhash64("doc"), 40), F.lit(64)).cast("int")
+    words = wanted.groupBy(place.alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    every = rows.sparkSession.range(BITMAP_WORDS).join(words, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("bits"))
+    bitmap = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "bits"))), lambda w: w["bits"]).alias("bitmap"))
+    return rows.where(F.getbit(F.get(bitmap.scalar(), place.cast("int")), bit) == 1)
+
+
 def sets_of(needed: DataFrame, docs: DataFrame) -> DataFrame:
     """The full sets of the documents in ``needed`` (column doc), made again from their texts."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(needed, "doc", "left_semi")
+    needed = common.kept(needed)
+    texts = likely(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), needed).join(needed, "doc", "left_semi")
     return common.kept(common.through_arrow(texts, _set_batches, "doc long, set binary").dropDuplicates(["doc"]))
 
 
@@ -333,11 +356,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = common.kept(confirmed(pairs, docs))
     parts = components(links)
     named = active.join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left")
-    named = _regionwise(named.withColumn("component", F.coalesce("component", "doc")), partitions)
+    named = named.select("region", "doc", "signature", F.coalesce("component", "doc").alias("component"))
+    named = _regionwise(named, partitions)
     opened = common.kept(named.mapInArrow(_open_batches, f"{ACTIVE}, component long"))
     if not opened.isEmpty():
         sets = sets_of(opened.select("doc").distinct(), docs)
-        regions = opened.groupBy("doc").agg(F.collect_set("region").alias("regions"))  # two for each tree at most
+        regions = opened.groupBy("doc").agg(F.collect_set("region").alias("regions"))  # a few for each tree and level
         rows = _regionwise(opened.join(regions, "doc").join(sets, "doc"), partitions)
         parts = components(links.union(rows.mapInArrow(_settled_batches, PAIRS)))
     ids = classes.select("seq_a", "seq_b", "doc").join(parts.withColumnRenamed("node", "doc"), "doc", "left")
