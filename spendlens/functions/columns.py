@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(20,4)"
+MONEY = "decimal(38,10)"  # sums up to 1e28 with ten decimals, whatever the order of the rows
 NUMBER_PATTERN = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
 
 

@@ -189,7 +189,7 @@ def execution_rates(budget: DataFrame, org: DataFrame) -> DataFrame:
     )
     ministries = collapse(org, ["project_id", "ministry"])
     joined = totals.join(ministries, "project_id", "left").withColumn(COPIES, F.coalesce(COPIES, F.lit(1)))
-    return expand(joined).select(
+    return expand(joined, spread=True).select(
         "project_id",
         "project_name",
         "ministry",

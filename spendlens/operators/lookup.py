@@ -11,9 +11,6 @@ from spendlens.functions import fixed_values as fv
 from spendlens.functions.columns import contains_any, first_asc, first_desc, identity_text, money_sum, percent
 from spendlens.operators.balance import top_budget_project
 from spendlens.operators.skew import COPIES, collapse, expand, expand_sorted, spread_join
-from spendlens.session import checkpointed
-
-BROADCAST_IDS = 1_000_000  # 8 bytes each
 
 
 def scan_limit(table: DataFrame, n: int = 100) -> DataFrame:
@@ -25,20 +22,9 @@ def rows_of_project(table: DataFrame, project_id: int) -> DataFrame:
     return table.where(F.col("project_id") == F.lit(project_id))
 
 
-def rows_of_projects(table: DataFrame, ids: DataFrame, count_ids: bool = True) -> DataFrame:
-    """All rows whose project is among ``ids``.
-
-    The distinct ids are computed and counted first: up to BROADCAST_IDS of them
-    go to every task, so that the table is only filtered; more are joined by
-    shuffle. ``count_ids=False`` leaves that choice to Spark and stays lazy, for
-    ids that are few by construction.
-    """
-    wanted = ids.select("project_id").distinct()
-    if count_ids:
-        wanted = checkpointed(wanted)
-        if wanted.count() <= BROADCAST_IDS:
-            return table.join(F.broadcast(wanted), "project_id", "left_semi")
-    return spread_join(table, wanted, ["project_id"], "left_semi")
+def rows_of_projects(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """All rows whose project is among ``ids``, however many these are, with the table's own columns."""
+    return spread_join(table, ids.select("project_id").distinct(), ["project_id"], "left_semi")
 
 
 def _keyword_projects(
@@ -161,7 +147,7 @@ def related_projects(related: DataFrame, budget: DataFrame, project_id: int | No
     """Related rows of the given project, or of the one with the largest budget."""
     if project_id is not None:
         return rows_of_project(related, project_id)
-    return rows_of_projects(related, top_budget_project(budget), count_ids=False)
+    return rows_of_projects(related, top_budget_project(budget))
 
 
 def value_counts(df: DataFrame, column: str, count: str = "n") -> DataFrame:
@@ -181,7 +167,7 @@ def unique_values(df: DataFrame, column: str) -> DataFrame:
 def top_payees(detail: DataFrame, ids: DataFrame, n: int = 3) -> DataFrame:
     """The n payees that got most within the given few projects."""
     return (
-        rows_of_projects(detail, ids, count_ids=False)
+        rows_of_projects(detail, ids)
         .groupBy("payee")
         .agg(money_sum("amount").alias("spend_total"))
         .orderBy(*first_desc("spend_total"), *first_asc("payee"))

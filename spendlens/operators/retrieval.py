@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,22 +12,25 @@ from spendlens.operators.documents import Embedder, TrigramEmbedder
 from spendlens.operators.lookup import top_payees
 
 TOP = 10
-MAX_TERMS = 256
 
 
 def squared_distance(vector: Column, query: Sequence[float]) -> Column:
-    """Squared Euclidean distance to a fixed vector.
+    """Squared Euclidean distance to a fixed vector, NULL for a missing one.
 
-    Up to MAX_TERMS dimensions it is plain arithmetic inside generated code,
-    several times faster than the array functions used beyond that.
+    A stored vector of another length is an error: it was made by something else.
     """
     numbers = [float(q) for q in query]
-    if len(numbers) > MAX_TERMS:
-        fixed = F.array(*[F.lit(q) for q in numbers])
-        gaps = F.zip_with(vector, fixed, lambda a, b: a.cast("double") - b)
-        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap * gap)
-    gaps = [F.get(vector, F.lit(i)).cast("double") - F.lit(q) for i, q in enumerate(numbers)]
-    return reduce(Column.__add__, [gap * gap for gap in gaps])
+    fixed = F.array(*[F.lit(q) for q in numbers])
+    gaps = F.zip_with(vector, fixed, lambda a, b: a.cast("double") - b)
+    total = F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap * gap)
+    message = F.concat(
+        F.lit(f"the question has {len(numbers)} dimensions, a stored vector "), F.size(vector).cast("string")
+    )
+    return (
+        F.when(vector.isNull(), F.lit(None))
+        .when(F.size(vector) == len(numbers), total)
+        .otherwise(F.raise_error(message).cast("double"))
+    )
 
 
 def query_vector(store: DataFrame, id_column: str, value: int | str, vector: str = "embedding") -> list[float]:
@@ -44,10 +46,9 @@ def nearest(
 ) -> DataFrame:
     """The k rows nearest to the query: every task keeps its own k, one task merges them.
 
-    Distances are compared to nine decimals, equal ones by id.
+    Equal distances are ordered by id.
     """
-    distance = F.round(squared_distance(F.col(vector), query), 9)
-    return store.withColumn("distance", distance).orderBy(*first_asc("distance", id_column)).limit(k)
+    return store.withColumn("distance", squared_distance(F.col(vector), query)).orderBy(*first_asc("distance", id_column)).limit(k)
 
 
 def ask(store: DataFrame, question: str, embedder: Embedder | None = None, k: int = TOP) -> DataFrame:
@@ -61,11 +62,9 @@ def ask(store: DataFrame, question: str, embedder: Embedder | None = None, k: in
     return nearest(store.withColumn("embedding", checked), query, "doc_id", k)
 
 
-def context(hits: DataFrame, id_column: str, text_column: str, order: Sequence[str]) -> DataFrame:
-    """One row: sorted distinct ids of the hits and their texts as a bullet list.
-
-    Meant for the few rows of ``nearest``; the list is as long as the hits.
-    """
+def context(hits: DataFrame, id_column: str, text_column: str, order: Sequence[str], k: int = TOP) -> DataFrame:
+    """One row: sorted distinct ids of the first k hits and their texts as a bullet list."""
+    hits = hits.orderBy(*first_asc(*order)).limit(k)
     ordered = F.sort_array(F.collect_list(F.struct(*order, F.col(text_column).alias("_text"))))
     bullets = F.transform(ordered, lambda hit: F.concat(F.lit("- "), hit["_text"]))
     return hits.agg(

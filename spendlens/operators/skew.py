@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.types import IntegralType, NumericType
+from pyspark.sql.types import DataType, DoubleType, FloatType, NumericType
 
 from spendlens.functions.columns import identity_text
 
@@ -31,10 +31,17 @@ def collapse(df: DataFrame, columns: Sequence[str], copies: str = COPIES) -> Dat
 def expand(df: DataFrame, copies: str = COPIES, index: str | None = None, spread: bool = False) -> DataFrame:
     """``copies`` rows for each row, optionally with their number from 0.
 
-    Works chunk by chunk so that no array grows with the number of copies.
-    ``spread`` sends the chunks to different tasks; worth a shuffle when a few
-    rows stand for a large part of the table.
+    Works chunk by chunk so that no array grows with the number of copies. With
+    ``spread`` the chunks of rows that have more than one go to different tasks;
+    all other rows are unfolded where they are.
     """
+    if spread:
+        few = expand(df.where(F.col(copies) <= CHUNK), copies, index)
+        return few.unionByName(_expand(df.where(F.col(copies) > CHUNK), copies, index, spread=True))
+    return _expand(df, copies, index, spread=False)
+
+
+def _expand(df: DataFrame, copies: str, index: str | None, spread: bool) -> DataFrame:
     chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / F.lit(CHUNK)))
     out = df.where(F.col(copies) > 0).withColumn("_chunk", F.explode(chunks))
     if spread:
@@ -81,19 +88,31 @@ def spread_join(
 
 
 def _hash_input(key: str, left: DataFrame, right: DataFrame) -> Column:
-    """The key in one type for both sides; a sheet may hold whole numbers as doubles."""
-    kinds = {type(df.schema[key].dataType) for df in (left, right)}
-    if len(kinds) == 1:
-        return F.col(key)
-    if all(issubclass(kind, IntegralType) for kind in kinds):
-        return F.col(key).cast("long")
-    if all(issubclass(kind, NumericType) for kind in kinds):
-        return F.col(key).cast("double")
-    raise TypeError(f"{key} has types that do not compare: {sorted(k.__name__ for k in kinds)}")
+    """The key in the type that Spark compares both sides in, with one zero."""
+    kinds = [df.schema[key].dataType for df in (left, right)]
+    column = F.col(key)
+    if kinds[0] != kinds[1]:
+        if not all(isinstance(kind, NumericType) for kind in kinds):
+            raise TypeError(f"{key} has types that do not compare: {sorted(k.simpleString() for k in kinds)}")
+        column = column.cast(_common_type(left.sparkSession, *kinds))
+    if any(isinstance(kind, (DoubleType, FloatType)) for kind in kinds):
+        column = column + F.lit(0).cast("byte")  # -0.0 equals 0.0 but has other bits
+    return column
+
+
+def _common_type(spark: SparkSession, a: DataType, b: DataType) -> DataType:
+    """The type both sides are cast to by a comparison; only analysed, never run."""
+    nulls = f"coalesce(CAST(NULL AS {a.simpleString()}), CAST(NULL AS {b.simpleString()}))"
+    return spark.range(0).select(F.expr(nulls).alias("k")).schema["k"].dataType
 
 
 def numbered(
-    df: DataFrame, group: Sequence[str], identity: Sequence[str], name: str, weight: str | None = None
+    df: DataFrame,
+    group: Sequence[str],
+    identity: Sequence[str],
+    name: str,
+    weight: str | None = None,
+    digits: int = NUMBER_BUCKET_DIGITS,
 ) -> DataFrame:
     """Add ``name``: position from 0 within the group, in md5 order of ``identity``.
 
@@ -106,7 +125,7 @@ def numbered(
     keyed = (
         df.withColumn("_md5", F.md5(identity_text(df, identity)))
         .withColumn("_size", size)
-        .withColumn("_bucket", F.substring("_md5", 1, NUMBER_BUCKET_DIGITS))
+        .withColumn("_bucket", F.substring("_md5", 1, digits))
     )
     cell = [*group, "_bucket"]
     totals = keyed.groupBy(*cell).agg(F.sum("_size").alias("_total"))

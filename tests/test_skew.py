@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendlens.operators import balance, lookup, reconcile, skew
+from spendlens.operators.skew import spread_join
 from tests.helpers import budget, org, overview, spend, tuples
 
 LOW_SKEW_LIMITS = {
@@ -130,19 +131,39 @@ def test_reconcile_keeps_every_row_of_a_hot_contract(spark, split_skew):
     assert got == want
 
 
-def test_lookup_filters_by_few_ids_and_joins_many(spark, split_skew, monkeypatch):
+def test_lookup_is_one_lazy_join_for_any_number_of_ids(spark, split_skew):
     rows, payments, budgets, _ = hot_world(spark)
     ids = balance.within_budget_ids(budgets, payments)
     wanted = {p for (p,) in tuples(ids)}
-    few = lookup.rows_of_projects(payments, ids)
-    assert few.count() == sum(r["project_id"] in wanted for r in rows)
-    assert "BroadcastHashJoin" in executed_plan(few)
-    monkeypatch.setattr(lookup, "BROADCAST_IDS", 10)
-    many = lookup.rows_of_projects(payments, payments.groupBy("project_id").count())
+    last = payments.select(*[c for c in payments.columns if c != "project_id"], "project_id")
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    few = lookup.rows_of_projects(last, ids)
+    many = lookup.rows_of_projects(last, payments.groupBy("project_id").count())
+    as_doubles = lookup.rows_of_projects(last, ids.select(F.col("project_id").cast("double")))
+    assert spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs() == jobs
+    assert few.columns == many.columns == last.columns
+    assert few.count() == as_doubles.count() == sum(r["project_id"] in wanted for r in rows)
     assert "skew=true" in executed_plan(many)
     assert many.count() == len(rows)
-    lazy = lookup.rows_of_projects(payments, ids, count_ids=False)
-    assert lazy.count() == few.count()
+
+
+NUMBER_TYPES = (
+    "tinyint", "int", "bigint", "float", "double", "decimal(5,2)", "decimal(12,4)", "decimal(20,0)", "decimal(38,10)",
+)
+
+
+@pytest.mark.parametrize("left", NUMBER_TYPES)
+def test_spread_join_compares_number_types_as_a_plain_join(spark, left):
+    values = [("0",), ("-0",), ("1",), ("1.5",), ("2.25",), ("100",), ("-7",), (None,)]
+    texts = spark.createDataFrame(values, "t string").withColumn("d", F.col("t").cast("double"))
+    for right in NUMBER_TYPES:
+        a = texts.select(F.col("d").cast(left).alias("k"), F.col("t").alias("a"))
+        b = texts.select(F.col("d").cast(right).alias("k"), F.col("t").alias("b"))
+        for safe in (False, True):
+            same = F.col("l.k").eqNullSafe(F.col("r.k")) if safe else F.col("l.k") == F.col("r.k")
+            want = Counter(tuples(a.alias("l").join(b.alias("r"), same).select("a", "b")))
+            keys = {"on": [], "null_safe": ["k"]} if safe else {"on": ["k"]}
+            assert Counter(tuples(spread_join(a, b, **keys), "a", "b")) == want, (left, right, safe)
 
 
 def test_keyword_rows_of_a_hot_project(spark, split_skew):
