@@ -1,8 +1,9 @@
 """Project dossiers: all rows of all views for each project, nested, and back.
 
-A dossier row is one page of a project. A project with many records is spread
-over pages of a bounded size, not put in one row; its pages together hold every
-record as often as it occurs. Most projects have one page, page 0.
+A dossier row is one page of one view of a project, for small projects as for
+large ones. Pages hold up to a given number of records and are full but for the
+last, so no row grows with its project; together they hold every record as often
+as it occurs.
 """
 
 from __future__ import annotations
@@ -15,35 +16,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spendlens.functions import fixed_values as fv
-from spendlens.operators.skew import COPIES, collapse, spread_join
+from spendlens.operators.skew import COPIES, collapse, numbered, spread_join
 
 PAGE_RECORDS = 1000
+NUMBER_DIGITS = 2  # a view of a project is numbered in up to 16**2 parts
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def project_records(views: Mapping[str, DataFrame], project_id: int | None = None) -> DataFrame:
-    """(project_id, view_name, record, copies): one row per distinct record of a view.
+def project_records(
+    views: Mapping[str, DataFrame], project_id: int | None = None, id_column: str = "project_id"
+) -> DataFrame:
+    """(project_id, view_name, record, copies): one row per distinct record of a view, with all its columns.
 
-    Views without a project id are left out.
+    Views without the id column are left out.
     """
     parts = []
     for name in sorted(views):
         view = views[name]
-        if "project_id" not in view.columns:
+        if id_column not in view.columns:
             continue
-        if project_id is not None:
-            view = view.where(F.col("project_id") == project_id)
-        # equal rows are folded as typed rows, which are smaller than their text
-        rows = collapse(view.where(F.col("project_id").isNotNull()), view.columns, "_copies")
+        key = F.col(f"`{id_column}`")
+        rows = view.where(key.isNotNull() if project_id is None else key == F.lit(project_id))
+        record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in view.columns]), KEEP_NULLS)
         parts.append(
-            rows.select(
-                F.col("project_id").cast("long").alias("project_id"),
-                F.lit(name).alias("view_name"),
-                F.to_json(F.struct(*view.columns), KEEP_NULLS).alias("record"),
-                F.col("_copies").alias(COPIES),
-            )
+            rows.select(key.cast("long").alias("project_id"), F.lit(name).alias("view_name"), record.alias("record"))
         )
-    return reduce(DataFrame.unionByName, parts)
+    if not parts:
+        raise ValueError(f"no view has the column {id_column}")
+    return collapse(reduce(DataFrame.unionByName, parts), ["project_id", "view_name", "record"])
 
 
 def project_dossier(
@@ -51,64 +51,36 @@ def project_dossier(
     org: DataFrame,
     page_records: int = PAGE_RECORDS,
     project_id: int | None = None,
+    id_column: str = "project_id",
 ) -> DataFrame:
-    """(project_id, project_name, ministry, page, views).
+    """(project_id, project_name, ministry, view_name, page, records), pages counted from 0 without gaps.
 
-    ``views`` lists (view_name, n_records, records, paged); ``paged`` tells that
-    the view goes on on other pages. A view with more than ``page_records``
-    records gets as many pages as it needs, and each record, or each thousandth
-    part of a record's many copies, goes to a page by its hash.
+    Every record has a number within its view and project, fixed by its md5; the
+    number divided by ``page_records`` is its page. Copies follow each other and
+    are unfolded inside their pages.
     """
-    records = project_records(views, project_id)
-    size = F.lit(page_records)
-    long_views = (
-        records.groupBy("project_id", "view_name")
-        .agg(F.sum(COPIES).alias("_n"))
-        .where(F.col("_n") > size)
-        .select("project_id", "view_name", F.ceil(F.col("_n") / size).alias("_pages"))
-    )
-    placed = spread_join(records, long_views, ["project_id", "view_name"], "left")
-    paged = F.col("_pages").isNotNull()
-    # copies of one record are cut into parts no larger than a page
-    parts = F.when(paged, F.sequence(F.lit(0).cast("long"), F.floor((F.col(COPIES) - 1) / size))).otherwise(
-        F.array(F.lit(0).cast("long"))
-    )
-    cut = (
-        placed.withColumn("_part", F.explode(parts))
-        .withColumn(
-            "page",
-            F.when(paged, F.pmod(F.xxhash64("record", "_part"), F.col("_pages"))).otherwise(F.lit(0).cast("long")),
-        )
-        .withColumn("_here", F.least(size.cast("long"), F.col(COPIES) - F.col("_part") * size))
-        .withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_here"))))
+    if page_records < 2:
+        raise ValueError("a page holds two records or more")
+    records = project_records(views, project_id, id_column)
+    placed = numbered(
+        records, ["project_id", "view_name"], ["record"], "_first", weight=COPIES, digits=NUMBER_DIGITS
     )
-    names = sorted(name for name, view in views.items() if "project_id" in view.columns)
-    of_view = {name: F.col("view_name") == F.lit(name) for name in names}
-    pages = cut.groupBy("project_id", "page").agg(
-        F.sort_array(F.collect_list(F.struct("view_name", "record"))).alias("_records"),
-        *[F.count_if(here).cast("int").alias(f"_n{i}") for i, here in enumerate(of_view.values())],
-        *[F.coalesce(F.bool_or(here & paged), F.lit(False)).alias(f"_paged{i}") for i, here in enumerate(of_view.values())],
-    )
-    # the list is sorted by view, so each view is one slice of it
-    entries, start = [], F.lit(1)
-    for i, name in enumerate(names):
-        count = F.col(f"_n{i}")
-        records_of = F.transform(F.slice("_records", start, count), lambda r: r["record"])
-        entry = F.struct(
-            F.lit(name).alias("view_name"),
-            count.alias("n_records"),
-            records_of.alias("records"),
-            F.col(f"_paged{i}").alias("paged"),
-        )
-        entries.append(F.when(count > 0, entry))
-        start = start + count
-    listed = pages.select("project_id", "page", F.array_compact(F.array(*entries)).alias("views"))
+    size = F.lit(page_records).cast("long")
+    last = F.col("_first") + F.col(COPIES) - 1
+    cut = placed.withColumn("page", F.explode(F.sequence(F.floor(F.col("_first") / size), F.floor(last / size))))
+    start = F.greatest(F.col("_first"), F.col("page") * size)
+    end = F.least(last, (F.col("page") + 1) * size - 1)
+    one = F.struct(start.alias("number"), "record", (end - start + 1).cast("int").alias("times"))
+    pages = cut.groupBy("project_id", "view_name", "page").agg(F.array_sort(F.collect_list(one)).alias("_records"))
+    unfolded = F.flatten(F.transform("_records", lambda r: F.array_repeat(r["record"], r["times"])))
+    listed = pages.select("project_id", "view_name", "page", unfolded.alias("records"))
     return spread_join(listed, first_org(org), ["project_id"], "left").select(
         "project_id",
         F.coalesce("project_name", F.lit(fv.UNKNOWN_PROJECT)).alias("project_name"),
         "ministry",
+        "view_name",
         "page",
-        "views",
+        "records",
     )
 
 
@@ -124,27 +96,16 @@ def first_org(org: DataFrame) -> DataFrame:
 
 
 def dossier_json(dossier: DataFrame) -> DataFrame:
-    """One JSON object per page: a single record is an object, several are a list.
-
-    A list that goes on in later pages is a list on each of them.
-    """
+    """One JSON object per page: the only record of a view is an object, several are a list."""
     first = F.concat(
         _json_text("予算事業ID"), F.lit(":"), F.col("project_id").cast("string"), F.lit(","),
         _json_text("事業名"), F.lit(":"), _quoted(F.col("project_name")),
     )
-
-    def entry(view: Column) -> Column:
-        records = view["records"]
-        single = (F.size(records) == 1) & ~view["paged"]
-        value = F.when(single, records[0]).otherwise(
-            F.concat(F.lit("["), F.array_join(records, ","), F.lit("]"))
-        )
-        return F.concat(_quoted(view["view_name"]), F.lit(":"), value)
-
-    body = F.array_join(F.transform("views", entry), ",")
-    return dossier.select(
-        "project_id", "page", F.concat(F.lit("{"), first, F.lit(","), body, F.lit("}")).alias("dossier")
-    )
+    single = (F.size("records") == 1) & (F.col("page") == 0)
+    several = F.concat(F.lit("["), F.array_join("records", ","), F.lit("]"))
+    value = F.when(single, F.get("records", F.lit(0))).otherwise(several)
+    body = F.concat(F.lit("{"), first, F.lit(","), _quoted(F.col("view_name")), F.lit(":"), value, F.lit("}"))
+    return dossier.select("project_id", "view_name", "page", body.alias("dossier"))
 
 
 def _json_text(text: str) -> Column:
@@ -158,18 +119,20 @@ def _quoted(column: Column) -> Column:
 
 def dossier_counts(dossier: DataFrame) -> DataFrame:
     """Records per project and view, counted inside the nested dossiers."""
-    return (
-        dossier.select("project_id", "project_name", F.explode("views").alias("v"))
-        .groupBy("project_id", "project_name", F.col("v.view_name").alias("view_name"))
-        .agg(F.sum(F.size("v.records")).cast("long").alias("records"))
+    return dossier.groupBy("project_id", "project_name", "view_name").agg(
+        F.sum(F.size("records")).cast("long").alias("records")
     )
 
 
 def dossier_flatten(dossier: DataFrame, view_name: str, schema: StructType) -> DataFrame:
-    """One row per record of a view, with the ministry of the first organisation row."""
-    records = (
-        dossier.select("ministry", F.explode("views").alias("v"))
-        .where(F.col("v.view_name") == view_name)
-        .select(F.col("ministry").alias("lead_ministry"), F.explode("v.records").alias("record"))
+    """One row per record of a view of stored dossiers, with the ministry of the first organisation row."""
+    records = dossier.where(F.col("view_name") == view_name).select(
+        F.col("ministry").alias("lead_ministry"), F.explode("records").alias("record")
     )
     return records.select(F.from_json("record", schema).alias("r"), "lead_ministry").select("r.*", "lead_ministry")
+
+
+def with_lead_ministry(view: DataFrame, org: DataFrame) -> DataFrame:
+    """The rows of a view as ``dossier_flatten`` gives them, straight from the view."""
+    lead = first_org(org).select("project_id", F.col("ministry").alias("lead_ministry"))
+    return spread_join(view, lead, ["project_id"], "left")

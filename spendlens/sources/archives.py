@@ -73,10 +73,10 @@ def ingest(spark: SparkSession, folder: str, target: str, split_archive: str = f
     stored = spark.read.parquet(f"{target}/table_index")
 
     failed = outcome.where(F.col("error").isNotNull()).select("path", "error")
-    shadowed = (
-        archives.join(readable.select("path"), "path", "left_semi")
-        .join(stored.select("file_name"), "file_name", "left_anti")
-        .select("path", F.lit("another archive has the same table name").alias("error"))
+    # a derived table counts like an archive of its own
+    lost = named.join(stored.select("table_name", "file_name"), ["table_name", "file_name"], "left_anti")
+    shadowed = readable.join(lost, "file_name").select(
+        "path", F.concat(F.lit("another archive has the same table name: "), "table_name").alias("error")
     )
     failed.unionByName(shadowed).write.mode("overwrite").parquet(f"{target}/ingest_errors")
 
@@ -92,9 +92,20 @@ def ingest(spark: SparkSession, folder: str, target: str, split_archive: str = f
         list(pool.map(write_table, sheets.select("path", "header", "table_name").toLocalIterator()))
     for row in stored.where(F.col("part") != "all").toLocalIterator():
         _write_part(spark, target, row["table_name"], row["part"])
+    _drop_leftovers(spark, target, {row["table_name"] for row in stored.select("table_name").toLocalIterator()})
     return stored
 
 
+def _drop_leftovers(spark: SparkSession, target: str, tables: set[str]) -> None:
+    """Remove the staged cells, and tables of archives that are no longer there."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(target)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.listStatus(root):
+        name = status.getPath().getName()
+        if name == "_cells" or (name.startswith(fv.TABLE_PREFIX) and name not in tables):
+            store.delete(status.getPath(), True)
+
+
 def _staged_cells(archives: DataFrame, path: str) -> DataFrame:
     """The parsed archives as a written table, one folder per archive."""
     cells = read_archives(archives).withColumn("archive", F.concat(F.lit("a"), F.md5("path")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,21 +27,47 @@ def archive_names(archives: DataFrame) -> DataFrame:
     """Add ``table_name`` and ``view_name`` to archives with a ``file_name``.
 
     5-1_XX_2024_a_b.zip gives table tbl_5_1 and view a_b. Further archives with
-    the same view name get _2, _3 ...; the order among them is fixed by md5.
+    the same view name get _2, _3 ... as far as no archive is called so itself;
+    the order among them is fixed by md5.
     """
     stem = F.regexp_replace(F.element_at(F.split("file_name", "/"), -1), r"\.zip$", "")
     parts = F.split(stem, "_")
     named = archives.withColumn(
         "table_name", F.concat(F.lit(fv.TABLE_PREFIX), F.translate(parts[0], "-", "_"))
     ).withColumn("view_name", F.array_join(F.slice(parts, 4, F.greatest(F.size(parts), F.lit(1))), "_"))
-    # the second round parts a numbered name from a file that is called so itself
-    return _unique_names(_unique_names(named))
+    return _unique_names(named, ["file_name"])
 
 
-def _unique_names(archives: DataFrame) -> DataFrame:
-    counted = numbered(archives, ["view_name"], ["file_name"], "_before")
-    suffix = F.when(F.col("_before") > 0, F.concat(F.lit("_"), (F.col("_before") + 1).cast("string")))
-    return counted.withColumn("view_name", F.concat("view_name", F.coalesce(suffix, F.lit("")))).drop("_before")
+def _unique_names(rows: DataFrame, identity: Sequence[str], keeps: Column | None = None) -> DataFrame:
+    """Make ``view_name`` unique: of equal names one stays, the others get the next free numbers.
+
+    Rows for which ``keeps`` holds come first. A name with a number added can
+    only meet names that end in that number, and those numbers are passed over,
+    so one round is enough.
+    """
+    group = ["view_name", "_later"]
+    flagged = rows.withColumn("_later", F.lit(0) if keeps is None else F.when(keeps, 0).otherwise(1))
+    counted = numbered(flagged, group, identity, "_before")
+    firsts = flagged.groupBy("view_name").agg(F.count_if(F.col("_later") == 0).alias("_firsts"))
+    ending = r"^(.*)_([1-9][0-9]*)$"
+    taken = (
+        rows.where(F.col("view_name").rlike(ending))
+        .select(
+            F.regexp_extract("view_name", ending, 1).alias("view_name"),
+            F.regexp_extract("view_name", ending, 2).try_cast("long").alias("_number"),
+        )
+        .groupBy("view_name")
+        .agg(F.array_sort(F.collect_set("_number")).alias("_taken"))
+    )
+    joined = counted.join(firsts, "view_name").join(taken, "view_name", "left")
+    place = F.col("_before") + 1 + F.when(F.col("_later") == 1, F.col("_firsts")).otherwise(0)
+    number = F.aggregate(
+        F.filter(F.coalesce("_taken", F.array().cast("array<long>")), lambda n: n >= 2),
+        place.cast("long"),
+        lambda free, n: F.when(n <= free, free + 1).otherwise(free),
+    )
+    name = F.when(place == 1, F.col("view_name")).otherwise(F.concat("view_name", F.lit("_"), number.cast("string")))
+    return joined.select(*[name.alias(c) if c == "view_name" else F.col(c) for c in rows.columns])
 
 
 def table_catalog(archives: DataFrame, split_archive: str = fv.SPLIT_ARCHIVE) -> DataFrame:
@@ -62,12 +88,14 @@ def table_catalog(archives: DataFrame, split_archive: str = fv.SPLIT_ARCHIVE) ->
             F.when(F.col("part") == "summary", summary).when(F.col("part") == "detail", detail).otherwise(""),
         )
 
-    return rows.select(
+    all_names = rows.select(
         suffixed("table_name", fv.SUMMARY_TABLE_SUFFIX, fv.DETAIL_TABLE_SUFFIX).alias("table_name"),
         suffixed("view_name", fv.SUMMARY_VIEW_SUFFIX, fv.DETAIL_VIEW_SUFFIX).alias("view_name"),
         "file_name",
         "part",
     )
+    # a sheet may be called like a derived view: the sheet keeps its name
+    return _unique_names(all_names, ["file_name", "part"], keeps=F.col("part") == "all")
 
 
 def register_views(spark: SparkSession, target: str) -> list[str]:
@@ -76,6 +104,8 @@ def register_views(spark: SparkSession, target: str) -> list[str]:
     names = []
     catalog = spark.read.parquet(f"{target}/table_index").orderBy("view_name")
     for row in catalog.select("table_name", "view_name").toLocalIterator():
+        if row["view_name"] in names:
+            raise ValueError(f"two tables have the view name {row['view_name']}")
         quoted = "`" + row["view_name"].replace("`", "``") + "`"
         spark.read.parquet(f"{target}/{row['table_name']}").createOrReplaceTempView(quoted)
         names.append(row["view_name"])
@@ -163,9 +193,9 @@ def schema_rows(spark: SparkSession, catalog: Mapping[str, tuple[str, str, DataF
     From the frames' schemas; reads no data.
     """
     rows = [
-        (key, view, file, f.name, TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString()), False, False)
+        (key, view, file, n, f.name, TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString()), False, False)
         for key, (view, file, df) in sorted(catalog.items())
-        for f in df.schema.fields
+        for n, f in enumerate(df.schema.fields)
     ]
     return spark.createDataFrame(rows, SCHEMA_ROWS)
 
@@ -175,6 +205,7 @@ SCHEMA_ROWS = T.StructType(
         T.StructField("table_key", T.StringType()),
         T.StructField("view_name", T.StringType()),
         T.StructField("original_filename", T.StringType()),
+        T.StructField("position", T.IntegerType()),
         T.StructField("column_name", T.StringType()),
         T.StructField("column_type", T.StringType()),
         T.StructField("notnull", T.BooleanType()),
@@ -196,12 +227,16 @@ def inferred_schema_rows(views: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def schema_document(rows: DataFrame) -> DataFrame:
-    """Schema rows nested per table, as the JSON schema document has them."""
-    return rows.groupBy("table_key", "view_name", "original_filename").agg(
-        F.collect_list(
-            F.struct(F.col("column_name").alias("name"), F.col("column_type").alias("type"), "notnull", "pk")
-        ).alias("columns")
-    )
+    """Schema rows nested per table in column order, as the JSON schema document has them.
+
+    The columns of ``rows`` beside those of a table's column tell the tables apart.
+    """
+    of_column = ("position", "column_name", "column_type", "notnull", "pk")
+    tables = [c for c in rows.columns if c not in of_column]
+    column = F.struct("position", F.col("column_name").alias("name"), F.col("column_type").alias("type"), "notnull", "pk")
+    nested = rows.groupBy(*tables).agg(F.array_sort(F.collect_list(column)).alias("columns"))
+    plain = F.transform("columns", lambda c: F.struct(*[c[n].alias(n) for n in ("name", "type", "notnull", "pk")]))
+    return nested.withColumn("columns", plain)
 
 
 def schema_csv_rows(documents: DataFrame) -> DataFrame:

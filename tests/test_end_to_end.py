@@ -1,17 +1,19 @@
 """Sheets in, results out: the views as zipped CSV sheets give the results of the views themselves."""
 
+import json
 import zipfile
 from collections import Counter
 
 import pytest
 
 from spendlens.functions import fixed_values as fv
-from spendlens.operators import balance, documents, flows, lookup, quality, reconcile
+from spendlens.operators import balance, documents, dossier, flows, lookup, quality, reconcile
 from spendlens.plans.fixtures import load
 from spendlens.sources import archives, catalog
 from tests.helpers import tuples
 
 SF_DIR = "/root/testdata/sf0.001"
+PROJECT_ID = next(full for full, short in fv.PROJECT_COLUMNS.items() if short == "project_id")
 SHEETS = {
     "2-1": "budget", "5-1": "spend", "1-1": "org", "1-2": "overview", "5-4": "obligation", "5-3": "breakdown",
     "1-5": "related", "6-1": "remarks",
@@ -73,3 +75,22 @@ def test_documents_of_sheets(worlds):
 def test_split_is_complete(worlds):
     _, sheets = worlds
     assert sheets["spend_summary"].count() + sheets["spend_detail"].count() == sheets["spend"].count()
+
+
+def test_dossier_of_ingested_sheets_has_every_column(spark, worlds):
+    _, sheets = worlds
+    names = [row.name for row in spark.catalog.listTables() if row.isTemporary]
+    views = {name: spark.table(f"`{name}`") for name in names if PROJECT_ID in spark.table(f"`{name}`").columns}
+    assert len(views) >= 9
+    project = sheets["spend"].where("project_id IS NOT NULL").select("project_id").first()[0]
+    pages = dossier.project_dossier(views, sheets["org"], project_id=project, id_column=PROJECT_ID)
+    seen = Counter()
+    for view, text in tuples(dossier.dossier_json(pages), "view_name", "dossier"):
+        page = json.loads(text)
+        records = page[view] if isinstance(page[view], list) else [page[view]]
+        assert page[PROJECT_ID] == project
+        assert all(set(r) == set(views[view].columns) for r in records)
+        seen[view] += len(records)
+    assert seen == {
+        name: n for name, view in views.items() if (n := view.where(f"`{PROJECT_ID}` = {project}").count())
+    }

@@ -177,40 +177,47 @@ def test_dossier_shapes(spark):
     views = dossier_views(spark)
     orgs = org(spark, [(1, "lead", "M", 0), (1, "later", "N", 1)])
     pages = dossier.project_dossier(views, orgs)
-    texts = {p: json.loads(t) for p, t in tuples(dossier.dossier_json(pages), "project_id", "dossier")}
-    assert texts[1] == {
-        "予算事業ID": 1,
-        "事業名": "lead",
-        "one": {"project_id": 1, "note": 'say "hi"\n', "empty": None},
-        "two": [{"project_id": 1, "amount": 1.5}, {"project_id": 1, "amount": 2.5}],
-    }
-    assert texts[2] == {"予算事業ID": 2, "事業名": fv.UNKNOWN_PROJECT, "two": {"project_id": 2, "amount": 3.5}}
+    texts = {(p, v): json.loads(t) for p, v, t in tuples(dossier.dossier_json(pages), "project_id", "view_name", "dossier")}
+    lead = {"予算事業ID": 1, "事業名": "lead"}
+    assert texts.pop((1, "one")) == {**lead, "one": {"project_id": 1, "note": 'say "hi"\n', "empty": None}}
+    two = texts.pop((1, "two"))
+    assert sorted(two.pop("two"), key=str) == [{"project_id": 1, "amount": 1.5}, {"project_id": 1, "amount": 2.5}]
+    assert two == lead
+    assert texts == {(2, "two"): {"予算事業ID": 2, "事業名": fv.UNKNOWN_PROJECT, "two": {"project_id": 2, "amount": 3.5}}}
     only = dossier.project_dossier(views, orgs, project_id=2)
     assert tuples(only, "project_id", "page") == [(2, 0)]
+    renamed = {name: view.withColumnRenamed("project_id", "予算事業ID") for name, view in views.items()}
+    other = dossier.project_dossier(renamed, orgs, id_column="予算事業ID")
+    assert sorted(tuples(dossier.dossier_counts(other))) == sorted(tuples(dossier.dossier_counts(pages)))
+    with pytest.raises(ValueError):
+        dossier.project_dossier(renamed, orgs)
 
 
 def test_dossier_flatten_works_for_one_and_many_records(spark):
     views = dossier_views(spark)
     orgs = org(spark, [(1, "lead", "M", 0), (1, "later", "N", 1)])
     flat = dossier.dossier_flatten(dossier.project_dossier(views, orgs), "two", views["two"].schema)
-    assert sorted(tuples(flat, "project_id", "amount", "lead_ministry"), key=str) == [
-        (1, 1.5, "M"), (1, 2.5, "M"), (2, 3.5, None),
-    ]
+    for rows in (flat, dossier.with_lead_ministry(views["two"], orgs)):
+        assert sorted(tuples(rows, "project_id", "amount", "lead_ministry"), key=str) == [
+            (1, 1.5, "M"), (1, 2.5, "M"), (2, 3.5, None),
+        ]
 
 
-def test_long_dossiers_go_on_over_pages(spark):
-    rows = [(1, float(i)) for i in range(95)] + [(1, 7.0)] * 60 + [(2, 1.0)]
+@pytest.mark.parametrize("copies", [60, 0, 345])
+def test_dossiers_have_full_pages_without_gaps(spark, copies):
+    rows = [(1, float(i)) for i in range(95)] + [(1, 7.0)] * copies + [(2, 1.0)] + [(3, 1.0)] * 10 + [(4, 1.0)] * 11
     views = {"v": spark.createDataFrame(rows, "project_id long, amount double")}
-    pages = dossier.project_dossier(views, org(spark, [(1, "a", "M", 0)]), page_records=10)
-    sizes = tuples(pages.select("project_id", "page", F.explode("views").alias("v")).select("project_id", "page", "v.n_records", "v.paged"))
-    assert len({p for project, p, *_ in sizes if project == 1}) > 8
-    assert all(paged == (project == 1) for project, _, _, paged in sizes)
-    assert max(n for _, _, n, _ in sizes) <= 60  # the pages are filled by hash
+    pages = dossier.project_dossier(views, org(spark, [(1, "a", "M", 0)]), page_records=10).cache()
+    sizes = {}
+    for project, page, n in tuples(pages.select("project_id", "page", F.size("records").alias("n"))):
+        sizes.setdefault(project, {})[page] = n
+    for project, n in Counter(p for p, _ in rows).items():
+        last = -(-n // 10) - 1
+        assert sizes[project] == {i: 10 if i < last else n - 10 * last for i in range(last + 1)}
     flat = dossier.dossier_flatten(pages, "v", views["v"].schema)
     assert Counter(tuples(flat, "project_id", "amount")) == Counter(rows)
-    for text, in tuples(dossier.dossier_json(pages).where("project_id = 1"), "dossier"):
-        assert isinstance(json.loads(text)["v"], list)
-    assert tuples(dossier.dossier_counts(pages).where("project_id = 1"), "records") == [(155,)]
+    for project, text in tuples(dossier.dossier_json(pages), "project_id", "dossier"):
+        assert isinstance(json.loads(text)["v"], dict if project == 2 else list)
 
 
 # --- documents and retrieval ---------------------------------------------------
@@ -388,3 +395,42 @@ def test_empty_frames(spark):
         audit.audit_score(audit.audit_selection(s)),
     ):
         assert df.count() == 0
+
+
+@pytest.mark.parametrize("dim", [2, 256, 257])
+def test_vectors_of_another_length_are_refused(spark, dim):
+    vectors = {0: [1.0] * dim, 1: [0.0] * dim, 2: None}
+    store = spark.createDataFrame(list(vectors.items()), "id long, embedding array<float>")
+    assert tuples(retrieval.nearest(store, [1.0] * dim, "id"), "id", "distance") == [(0, 0.0), (1, float(dim)), (2, None)]
+    for other in (dim - 1, dim + 1):
+        more = store.union(spark.createDataFrame([(3, [1.0] * other)], "id long, embedding array<float>"))
+        with pytest.raises(PySparkException, match="dimensions"):
+            retrieval.nearest(more, [1.0] * dim, "id").collect()
+
+
+def test_close_vectors_are_told_apart(spark):
+    store = spark.createDataFrame([(1, [1.0 + 2e-6]), (2, [1.0 + 1e-6])], "id long, embedding array<double>")
+    assert [i for (i,) in tuples(retrieval.nearest(store, [1.0], "id"), "id")] == [2, 1]
+
+
+def test_context_holds_k_hits(spark):
+    hits = spark.createDataFrame([(i, f"t{i}", float(i)) for i in range(30)], "id long, text string, distance double")
+    [(ids, text)] = tuples(retrieval.context(hits, "id", "text", ["distance"], k=3))
+    assert ids == [0, 1, 2] and text == "- t0\n- t1\n- t2"
+
+
+def test_money_is_summed_without_cuts(spark):
+    def total(values):
+        return spark.createDataFrame([(float(v),) for v in values], "v double").agg(c.money_sum("v")).first()[0]
+
+    assert total([0.00003] * 10) == 0.0003
+    assert total([1e16, 1.0, -1e16]) == 1.0
+    assert total([9.5e17, 0.25]) == 9.5e17 + 0.25
+    assert total([]) is None
+
+
+def test_keyword_queries_start_no_job_while_they_are_built(spark):
+    before = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    lines = budget(spark, [(1, "road", 5.0)])
+    lookup.keyword_projects(overview(spark, [(1, "road", "m", "p", "o")]), org(spark, [(1, "road", "m", 0)]), lines, ["road"], [])
+    assert spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs() == before

@@ -125,7 +125,14 @@ def test_schema_document_there_and_back(spark, tmp_path):
     sinks.write_json_lines(catalog.schema_document(rows), str(tmp_path / "schema"))
     back = catalog.schema_csv_rows(spark.read.json(str(tmp_path / "schema")))
     assert tuple(back.columns) == fv.SCHEMA_CSV_HEADER
-    assert sorted(tuples(back)) == sorted(tuples(rows))
+    assert tuples(back) == tuples(rows.drop("position"))
+
+
+def test_schema_document_keeps_the_order_of_columns(spark):
+    wide = spark.createDataFrame([], ", ".join(f"c{i} string" for i in range(40)))
+    rows = catalog.schema_rows(spark, {"tbl_1": ("view", "file.zip", wide)}).repartition(7, "column_name")
+    [nested] = catalog.schema_document(rows).collect()
+    assert [c["name"] for c in nested["columns"]] == [f"c{i}" for i in range(40)]
 
 
 def test_view_names_stay_unique(spark):
@@ -136,6 +143,16 @@ def test_view_names_stay_unique(spark):
     assert {t for _, t, _ in rows} == {f"tbl_{i}" for i in range(1, 6)}
 
 
+def test_view_names_stay_unique_over_the_whole_catalog(spark):
+    files = [f"{i}_x_y_{name}.zip" for i, name in enumerate(["a", "a", "a_2", "a_2", "a", "b", f"b{fv.SUMMARY_VIEW_SUFFIX}"])]
+    df = spark.createDataFrame([(f,) for f in files], "file_name string")
+    rows = tuples(catalog.table_catalog(df, "5_x_y_b.zip"), "file_name", "view_name", "part")
+    names = [v for _, v, _ in rows]
+    assert len(rows) == 9 and len(set(names)) == 9
+    assert {"a", "a_2", "a_2_2", "a_3", "a_4", "b", f"b{fv.SUMMARY_VIEW_SUFFIX}", f"b{fv.SUMMARY_VIEW_SUFFIX}_2"} <= set(names)
+    assert next(v for f, v, _ in rows if f == files[6]) == f"b{fv.SUMMARY_VIEW_SUFFIX}"
+
+
 def test_inference(spark):
     rows = [("1", "1", "True", None, "x", "1.5"), ("2", None, "false", None, "1", "-2e3")]
     df = spark.createDataFrame(rows, "i string, gap string, flag string, none string, text string, num string")
