@@ -77,6 +77,8 @@ VIEWS = {
     "fx_related": """
         SELECT user_id AS project_id, event_id AS related_id, event_type AS relation
         FROM events
+        UNION ALL SELECT o_custkey, o_orderkey, o_orderpriority
+        FROM orders
     """,
     "fx_spend_summary": """
         SELECT *

@@ -14,7 +14,8 @@ DIM = 64
 
 
 def _sum(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS DECIMAL(20,4))) AS DOUBLE)"
+    # by way of text, which holds a double as it prints; a direct cast multiplies it first
+    return f"CAST(SUM(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38,10))) AS DOUBLE)"
 
 
 BUDGET_TOTAL = f"""budget_total AS (
@@ -109,9 +110,9 @@ VECTOR_TEXT = (
 
 def _distance(left: str, right: str) -> str:
     return (
-        f"round(list_sum(["
+        f"list_sum(["
         f"(CAST({left}[i] AS DOUBLE) - CAST({right}[i] AS DOUBLE)) * "
-        f"(CAST({left}[i] AS DOUBLE) - CAST({right}[i] AS DOUBLE)) for i in range(1, {DIM + 1})]), 9)"
+        f"(CAST({left}[i] AS DOUBLE) - CAST({right}[i] AS DOUBLE)) for i in range(1, {DIM + 1})])"
     )
 
 
@@ -229,6 +230,23 @@ VIEW_COLUMNS = {
 VIEW_COLUMNS["fx_spend_summary"] = VIEW_COLUMNS["fx_spend_detail"] = VIEW_COLUMNS["fx_spend"]
 
 
+TEXT_COLUMNS = (
+    "project_name ministry block_no payee outline method role purpose account_class relation remark "
+    "dst_block src_block from_ministry"
+).split()
+
+
+def _view_sums(view: str) -> str:
+    sums = [
+        f"SUM(CAST('0x' || substr(md5(CAST({c} AS VARCHAR)), 1, 8) AS BIGINT))::BIGINT AS {c}_md5"
+        if c in TEXT_COLUMNS
+        else f"{_sum(c)} AS {c}_sum"
+        for c in VIEW_COLUMNS[view].split()
+        if c != "project_id"
+    ]
+    return f"SELECT project_id, '{view}' AS view_name, COUNT(*) AS records, {', '.join(sums)} FROM {view} GROUP BY project_id"
+
+
 def _inferred(view: str) -> str:
     number = "[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
     cells = []
@@ -270,7 +288,12 @@ def oracle_sql() -> dict[str, str]:
             named AS (SELECT file_name, 'tbl_' || replace(p[1], '-', '_') AS t, array_to_string(p[4:], '_') AS raw
                 FROM parts),
             counted AS (SELECT *, row_number() OVER (PARTITION BY raw ORDER BY md5(file_name), file_name) AS n FROM named),
-            final AS (SELECT file_name, t, raw || CASE WHEN n > 1 THEN '_' || n ELSE '' END AS v FROM counted)
+            taken AS (SELECT DISTINCT raw FROM named),
+            numbers AS (SELECT raw, k, row_number() OVER (PARTITION BY raw ORDER BY k) + 1 AS n
+                FROM (SELECT raw, unnest(range(2, 2 * m + 3)) AS k FROM (SELECT raw, count(*) AS m FROM named GROUP BY raw))
+                WHERE raw || '_' || k NOT IN (SELECT raw FROM taken)),
+            final AS (SELECT file_name, t, raw || CASE WHEN c.n > 1 THEN '_' || k ELSE '' END AS v
+                FROM counted c LEFT JOIN numbers USING (raw, n))
             SELECT t AS table_name, v AS view_name, file_name, 'all' AS part FROM final
             UNION ALL SELECT t || '{fv.SUMMARY_TABLE_SUFFIX}', v || '{fv.SUMMARY_VIEW_SUFFIX}', file_name, 'summary'
             FROM final WHERE file_name LIKE '%{r.SPLIT_ARCHIVE}'
@@ -285,6 +308,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "sample_of_views": " UNION ALL ".join(_first_rows(v) for v in sorted(VIEWS)[:3]),
         "schema_rows": " UNION ALL ".join(_inferred(v) for v in VIEWS),
+        "schema_document": 'SELECT view_name, position, column_name AS name, column_type AS type, "notnull", pk FROM ('
+        + " UNION ALL ".join(_inferred(v) for v in VIEWS)
+        + ")",
+        "lookup_project": f"SELECT * FROM fx_spend_detail WHERE project_id = {r.PROJECT}",
+        "audit_prompt": """SELECT project_id, 'Rate from 1 (unrelated) to 5 (same subject) how well the contract fits the project.' || chr(10)
+            || 'Project: ' || coalesce(project_name, '') || chr(10) || 'Contract: ' || coalesce(outline, '') || chr(10)
+            || 'Answer with JSON only: {"score": number, "reason": text}' AS prompt FROM fx_overview""",
         "total_budget": f"SELECT {_sum('total_amt')} AS total_budget FROM fx_budget",
         "total_spend": f"SELECT {_sum('amount')} AS total_spend FROM fx_breakdown WHERE amount IS NOT NULL",
         "spend_vs_budget_rows": f"""
@@ -389,10 +419,8 @@ def oracle_sql() -> dict[str, str]:
         "dq_counts": f"SELECT rule, COUNT(*) AS issues FROM ({DQ_REPORT}) GROUP BY rule",
         "project_dossier": "SELECT c.project_id, coalesce(o.project_name, '"
         + fv.UNKNOWN_PROJECT
-        + "') AS project_name, view_name, records FROM ("
-        + " UNION ALL ".join(
-            f"SELECT project_id, '{v}' AS view_name, COUNT(*) AS records FROM {v} GROUP BY project_id" for v in VIEWS
-        )
+        + "') AS project_name, c.* EXCLUDE (project_id) FROM ("
+        + " UNION ALL BY NAME ".join(_view_sums(v) for v in VIEWS)
         + ") c LEFT JOIN fx_org o ON c.project_id = o.project_id AND o.other_no = 0",
         "dossier_flatten": """
             SELECT s.*, o.ministry AS lead_ministry
@@ -421,8 +449,7 @@ def oracle_sql() -> dict[str, str]:
         "embed_documents": f"""WITH {DOCUMENTS}, {_vectors("documents_of", "vectors")}
             SELECT document, {VECTOR_TEXT} AS vector, 'trigram-{DIM}' AS embedder FROM vectors""",
         "vector_store_rows": f"""WITH {STORE}, {_vectors("store", "vectors")}
-            SELECT s.doc_id, len(embedding) AS dim, CAST(embedding[1] AS DOUBLE) AS first_value,
-                CAST(embedding[{DIM}] AS DOUBLE) AS last_value, s.document, project_id, project_name, purpose, overview, outline,
+            SELECT s.doc_id, {VECTOR_TEXT} AS vector, s.document, project_id, project_name, purpose, overview, outline,
                 payee, amount, 'trigram-{DIM}' AS embedder
             FROM store s JOIN vectors v ON s.document = v.document""",
         "knn_top10": f"WITH {HITS} SELECT vec_id, label, round(distance, 6) AS distance FROM hits",

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StructField, StructType
 
+from spendlens.functions.columns import money_sum
 from spendlens.operators import audit, balance, documents, dossier, flows, lookup, quality, reconcile, retrieval
 from spendlens.plans.fixtures import VIEWS, load
 from spendlens.plans.sql_report import run_sql
@@ -17,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # parameters of the queries on the given tables
 YEAR = 1998
+PROJECT = 10
 NAME_WORDS = ("99",)
 PURPOSE_WORDS = ("ring",)
 MIN_BUDGET = 1_000_000
@@ -125,14 +128,19 @@ def _store(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
 
 
 def _store_rows(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
-    """Store rows with the vector shown by its size and ends; embed_documents shows whole vectors."""
-    store = _store(detail, org, overview)
-    shown = {
-        "dim": F.size("embedding").cast("long"),
-        "first_value": F.element_at("embedding", 1).cast("double"),
-        "last_value": F.element_at("embedding", -1).cast("double"),
-    }
-    return store.withColumns(shown).drop("embedding")
+    """Store rows with the whole vector as text."""
+    return _store(detail, org, overview).withColumn("vector", _vector_text()).drop("embedding")
+
+
+def _schema_document(views: dict[str, DataFrame]) -> DataFrame:
+    """The nested schema document of the tables, one row per column in its order."""
+    nested = catalog.schema_document(catalog.inferred_schema_rows(views))
+    flat = nested.select("view_name", F.posexplode("columns").alias("position", "c"))
+    return flat.select("view_name", "position", "c.name", "c.type", "c.notnull", "c.pk")
+
+
+def _prompts(overview: DataFrame) -> DataFrame:
+    return overview.select("project_id", audit.audit_prompt().alias("prompt"))
 
 
 def _answer(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
@@ -171,13 +179,27 @@ def _split_text_amounts(split: Callable[[DataFrame], DataFrame]) -> Callable[[Da
 
 
 def _dossier(views: dict[str, DataFrame]) -> DataFrame:
-    return dossier.dossier_counts(dossier.project_dossier(views, views["fx_org"]))
+    """Records per project and view, and a sum over every column as read back from the nested records."""
+    pages = dossier.project_dossier(views, views["fx_org"])
+    kinds = {f.name: f.dataType for name in sorted(views) for f in views[name].schema.fields}
+    records = pages.select("project_id", "project_name", "view_name", F.explode("records").alias("record")).withColumn(
+        "r", F.from_json("record", StructType([StructField(c, kind) for c, kind in kinds.items()]))
+    )
+    sums = [
+        money_sum(F.col(f"r.{c}")).alias(f"{c}_sum") if isinstance(kind, NumericType) else _text_sum(F.col(f"r.{c}")).alias(f"{c}_md5")
+        for c, kind in kinds.items()
+        if c != "project_id"
+    ]
+    return records.groupBy("project_id", "project_name", "view_name").agg(F.count("*").alias("records"), *sums)
+
+
+def _text_sum(column: Column) -> Column:
+    """Sum of the first digits of the texts' md5."""
+    return F.sum(F.conv(F.substring(F.md5(column.cast("string")), 1, 8), 16, 10).cast("long"))
 
 
 def _flatten(views: dict[str, DataFrame]) -> DataFrame:
-    sheets = {"fx_spend": views["fx_spend"]}
-    pages = dossier.project_dossier(sheets, views["fx_org"])
-    return dossier.dossier_flatten(pages, "fx_spend", views["fx_spend"].schema)
+    return dossier.with_lead_ministry(views["fx_spend"], views["fx_org"])
 
 
 def _causes(budget: DataFrame, spend: DataFrame, obligation: DataFrame) -> DataFrame:
@@ -218,6 +240,7 @@ def queries() -> dict[str, Query]:
         "verify_counts": _over_views(catalog.row_counts),
         "sample_of_views": _over_views(catalog.sample_of_views),
         "schema_rows": _over_views(catalog.inferred_schema_rows),
+        "schema_document": _over_views(_schema_document),
         # balance
         "total_budget": _on(balance.total_budget, "fx_budget"),
         "total_spend": _on(balance.total_spend, "fx_breakdown"),
@@ -241,6 +264,7 @@ def queries() -> dict[str, Query]:
             reconcile.reconcile_detail_breakdown, "fx_spend_detail", "fx_breakdown", "fx_org"
         ),
         # lookups
+        "lookup_project": _on(lookup.rows_of_project, "fx_spend_detail", project_id=PROJECT),
         "lookup_detail": _on(_rows_of_over_budget, "fx_spend_detail", *balances),
         "lookup_obligation": _on(_rows_of_over_budget, "fx_obligation", *balances),
         "lookup_breakdown": _on(_rows_of_over_budget, "fx_breakdown", *balances),
@@ -288,6 +312,7 @@ def queries() -> dict[str, Query]:
         "audit_sample_ministry_top": _on(
             audit.audit_selection, "fx_spend_detail", ministry="MACHINERY", sort_by="amount", top_n=50
         ),
+        "audit_prompt": _on(_prompts, "fx_overview"),
         "audit_parse": _on(_parsed, "events"),
         "audit_score": _on(_score, "fx_spend_detail"),
         "scenario_report": _on(audit.scenario_report, "fx_spend_detail", scenarios=SCENARIOS),

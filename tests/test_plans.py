@@ -2,12 +2,12 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from spendlens.operators import balance, lookup
+from spendlens.plans import registry
 from spendlens.plans.fixtures import load
 from tests.conftest import SF_DIR
 
-QUERIES = entry.queries()
+QUERIES = registry.queries()
 PYTHON = {"embed_documents", "vector_store_rows", "ask_documents", "ask_top_payees"}
 
 

@@ -12,7 +12,6 @@ from tests.conftest import SF_DIR
 
 QUERIES = registry.queries()
 SQL = oracle.oracle_sql()
-MAY_BE_EMPTY = {"related_to_top_project"}
 
 
 def canonical(value):
@@ -43,7 +42,7 @@ def test_same_rows(spark, duck, name):
     assert sorted(df.columns) == sorted(columns)
     assert len(got) == len(want)
     assert got == want
-    assert got or name in MAY_BE_EMPTY
+    assert got
 
 
 def test_queries_take_whole_tables():
