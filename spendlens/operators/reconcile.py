@@ -46,12 +46,13 @@ def reconcile_detail_breakdown(
 ) -> DataFrame:
     """Contracts whose amount and breakdown sum differ by more than the tolerance.
 
-    Corporate number and outline also match when both are missing. Equal
-    contract rows are folded before the join.
+    Corporate number and outline also match when both are missing. The contract
+    rows are shuffled once, for the join; what is left after the tolerance is
+    folded before the names and the sort.
     """
     exact, null_safe = ["project_id", "block_no", "payee"], ["corp_no", "outline"]
     keys = [*exact, *null_safe]
-    contracts = collapse(detail.where(F.col("amount").isNotNull()), [*keys, "amount"])
+    contracts = detail.where(F.col("amount").isNotNull()).select(*keys, "amount")
     sums = (
         breakdown.where(F.col("amount").isNotNull())
         .groupBy(*keys)
@@ -62,7 +63,8 @@ def reconcile_detail_breakdown(
         .withColumn("gap", F.col("amount") - F.col("breakdown_sum"))
         .where(F.abs("gap") > tolerance)
     )
-    named = _named(gaps, org).select(
+    folded = collapse(gaps, ["project_id", "payee", "outline", "amount", "breakdown_sum", "gap"])
+    named = _named(folded, org).select(
         "project_id",
         "project_name",
         "payee",

@@ -36,16 +36,27 @@ def run_sql(
 
     Names may stand in double quotes, and names in other scripts also without.
     ``:name`` in the text takes its value from ``args``; values are bound, never
-    put into the text. ``views`` are registered first.
+    put into the text. ``views`` are known under their names to this text only;
+    views the session has under these names are as before afterwards.
     """
-    for name, view in (views or {}).items():
-        view.createOrReplaceTempView("`" + name.replace("`", "``") + "`")
     before = spark.conf.get(DOUBLE_QUOTES)
+    hidden = {}
     spark.conf.set(DOUBLE_QUOTES, "true")
     try:
+        for name, view in (views or {}).items():
+            hidden[name] = spark.table(_quoted(name)) if spark.catalog.tableExists(_quoted(name)) else None
+            view.createOrReplaceTempView(_quoted(name))
         return spark.sql(quote_names(text), args=dict(args or {}))
     finally:
         spark.conf.set(DOUBLE_QUOTES, before)
+        for name, earlier in hidden.items():
+            spark.catalog.dropTempView(name)
+            if earlier is not None:
+                earlier.createOrReplaceTempView(_quoted(name))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def run_sql_file(

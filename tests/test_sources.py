@@ -192,3 +192,12 @@ def test_sql_file_to_csv(spark, tmp_path):
     assert tuples(result) == [(3,)]
     text = next((tmp_path / "out").glob("*.csv")).read_text("utf-8-sig")
     assert text.splitlines() == ["数", "3"]
+
+
+def test_sql_leaves_no_views_behind(spark):
+    spark.range(5).createOrReplaceTempView("kept_view")
+    views = {"kept_view": spark.range(3), "名前 x": spark.range(7)}
+    result = run_sql(spark, 'SELECT (SELECT COUNT(*) FROM "kept_view") AS a, COUNT(*) AS b FROM "名前 x"', views=views)
+    assert not spark.catalog.tableExists("`名前 x`") and spark.table("kept_view").count() == 5
+    assert tuples(result) == [(3, 7)]
+    spark.catalog.dropTempView("kept_view")
