@@ -12,7 +12,7 @@ A page gives the blocks of the article's slot; menus, headers, footers, sidebars
 styles and reader comments are left out by their markup wherever they stand, fixed text only outside of a named
 article. Hosts with fewer pages than MIN_PAGES have no template: there the page's own markup decides.
 
-Cases: null and empty html give an empty text. Pages without a host share the empty one. Repeated rows are pages of
+Cases: null and empty html give an empty text. Pages without a host have no template. Repeated rows are pages of
 their own. Extra columns are ignored. An empty table gives an empty result.
 """
 
@@ -87,7 +87,8 @@ def templates(pages: DataFrame) -> DataFrame:
     sums = rows.groupBy("host", "token").agg(
         F.first("path").alias("path"), F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars")
     )
-    sizes = pages.groupBy(host_of().alias("host")).agg(F.count("*").alias("size")).where(F.col("size") >= MIN_PAGES)
+    sizes = pages.groupBy(host_of().alias("host")).agg(F.count("*").alias("size"))
+    sizes = sizes.where(F.col("size") >= MIN_PAGES).where("host <> ''")
     valid = sums.join(sizes, "host").where(2 * F.col("pages") >= F.col("size"))
     classes = valid.groupBy("host", "pages", "vector").agg(
         F.collect_list(F.when(F.col("path").isNotNull(), F.struct("path", "chars"))).alias("frame"),

@@ -142,8 +142,7 @@ def blocks(html: str) -> tuple[list[Block], list[str]]:
         path = f"{above[1]}/{label}" if tag in BLOCK else above[1]
         if tag in BLOCK:
             paths.append(path)
-        if not attributes.endswith("/") or tag in BLOCK:
-            stack.append((tag, path, main, aside))
-            links += tag == "a"
+        stack.append((tag, path, main, aside))
+        links += tag == "a"
     flush()
     return out, paths
