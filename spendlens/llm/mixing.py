@@ -73,7 +73,9 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame] | None = None, power
             rows = rows.join(natural, f"_{name}")
             rows = rows.withColumn(f"_t_{name}", F.col(f"_t_{name}") / natural.agg(F.sum(f"_t_{name}")).scalar())
     rows = rows.withColumn("_weight", F.col("_share"))
-    for _ in range(sweeps):
+    for k in range(sweeps):
+        if k and k % SWEEPS == 0:
+            rows = common.kept(rows)  # plans stay short
         for name in DIMENSIONS:
             margin = F.sum("_weight").over(Window.partitionBy(f"_{name}"))
             rows = rows.withColumn("_weight", F.when(margin > 0, F.col("_weight") * F.col(f"_t_{name}") / margin).otherwise(0.0))

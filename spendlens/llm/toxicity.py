@@ -172,7 +172,7 @@ class Lexicon:
         line = folded(text)
         out, done = [], 0
         for end, _ in found.iter(line):
-            if end < done:
+            if end <= done:
                 continue
             first = line.rfind(" . ", 0, end) + 1
             done = line.find(" . ", end)
