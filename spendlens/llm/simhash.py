@@ -33,7 +33,7 @@ BITS = 128
 TERM_WORDS = 3
 FEW_WORDS = 12
 RADIUS, KEYS = 3, 2
-BUCKET = 1024  # ids in one bucket of the order
+BUCKET = 128  # ids in one bucket of the order
 
 
 def fingerprints(values: list[bytes]) -> np.ndarray:
@@ -153,7 +153,7 @@ def next_buckets(buckets: DataFrame) -> DataFrame:
     groups = buckets.select("bucket", F.floor(F.col("bucket") / BUCKET).alias("g"))
     within = groups.withColumn("after", F.lead("bucket").over(Window.partitionBy("g").orderBy(F.desc("bucket"))))
     tops = groups.groupBy("g").agg(F.max("bucket").alias("top"))
-    order = Window.orderBy(F.desc("g"))  # one row per BUCKET * BUCKET ids
+    order = Window.orderBy(F.desc("g"))  # one row for BUCKET * BUCKET ids
     tops = tops.select("g", F.lead("top").over(order).alias("below"), F.first("top").over(order).alias("highest"))
     return within.join(tops, "g").select("bucket", F.coalesce("after", "below", "highest").alias("after"))
 
