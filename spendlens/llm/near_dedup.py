@@ -35,6 +35,7 @@ NUMERATOR, DENOMINATOR = 75, 100  # similarity of at least 75 / 100
 TREES, LEVELS = 16, 8
 MIN_DEPTH = 2
 REGION = 2048
+RANGE_ROWS = 200_000  # of an order in one task
 HUBS = 32  # most central documents of a larger region, set beside every part of it
 BITMAP_WORDS = 1 << 17  # of 64 bits
 CLOSE = 0.6  # share of equal minima from which a pair is a candidate: four standard errors below 0.75
@@ -345,13 +346,15 @@ def _regionwise(rows: DataFrame, partitions: int) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept (see the module for all cases)."""
     spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sketch = common.kept(sketches(docs))
+    # a task holds one range of one order at a time
+    ranges = -(-sketch.count() * TREES // RANGE_ROWS)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), TREES, ranges)
     some = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = some.groupBy("seq_a", "seq_b").agg(
         F.min("doc_id").alias("doc"), F.any_value("keys").alias("keys"), F.any_value("signature").alias("signature")
     )
-    active = common.kept(forest(classes, max(partitions, TREES)))
+    active = common.kept(forest(classes, partitions))
     pairs = common.kept(_regionwise(active, partitions).mapInArrow(_spanning_batches, PAIRS).distinct())
     links = common.kept(confirmed(pairs, docs))
     parts = components(links)
