@@ -94,11 +94,15 @@ FINDINGS = (
 )
 
 
-def _shards(benchmark: DataFrame) -> list[list[tuple[int, bytes]]]:
-    """The items in shards of bounded size; one at a time reaches the driver."""
+def _items(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """The distinct items and the number of shards they make."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), "text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // SHARD_BYTES)
+    return items, max(1, -(-total // SHARD_BYTES))
+
+
+def _shards(items: DataFrame, n: int) -> Iterator[list[tuple[int, bytes]]]:
+    """The items in shards of bounded size; one at a time reaches the driver."""
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         yield [(r[0], r[1].encode()) for r in part.toLocalIterator()]
@@ -106,9 +110,12 @@ def _shards(benchmark: DataFrame) -> list[list[tuple[int, bytes]]]:
 
 def find(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per row: doc_id, n_words, hit runs of words, their spans of characters, and the items found."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    results = [_scanned(rows, shard, size) for shard in _shards(benchmark)] or [_scanned(rows, [], size)]
-    if len(results) == 1:
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
+    items, n = _items(benchmark)
+    if n > 1:
+        rows = common.kept(rows)  # so that all jobs see the same numbers
+    results = [_scanned(rows, shard, size) for shard in _shards(items, n)]
+    if n == 1:
         return results[0].drop("row")
     both = results[0]
     for other in results[1:]:  # more than one automaton: their findings of a row are put together
@@ -147,7 +154,7 @@ def _scanned(rows: DataFrame, items: list[tuple[int, bytes]], size: int) -> Data
                 })
             yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
 
-    return common.through_arrow(_numbered(rows), batches_of, FINDINGS)
+    return common.through_arrow(rows, batches_of, FINDINGS)
 
 
 _ARROW = pa.schema([
@@ -157,11 +164,6 @@ _ARROW = pa.schema([
 ])
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """A number for each row; only used to join the findings of several automata."""
-    return rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-
-
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Digest per document: n_words, n_hit, n_items, items_sha256, contaminated."""
     found = find(docs, benchmark)
@@ -176,7 +178,7 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows without a hit, with their own columns."""
     clean = docs
-    for shard in _shards(benchmark):
+    for shard in _shards(*_items(benchmark)):
         clean = clean.where(~_hit_by(docs.sparkSession, shard, size)("text"))
     return clean
 
