@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SLICE_BYTES = 1 << 20  # text handled at once by the vectorised steps
+LONG_BYTES = 4 << 20  # a text beyond this is hashed in parts
 BATCH_BYTES = 8 << 20  # of one Arrow batch
 
 # separators of the two word classes the operators use
@@ -132,6 +133,9 @@ def word_hashes(values: list[bytes], inside: np.ndarray) -> tuple[np.ndarray, np
     ``inside`` says which folded bytes belong to words. A word's hash is a polynomial of its bytes, taken
     from running sums, so the work is a few array operations for any number of words.
     """
+    if len(values) == 1 and len(values[0]) > LONG_BYTES and len(parts := list(_parts(values[0], inside))) > 1:
+        hashes = np.concatenate([word_hashes([part], inside)[0] for part in parts])
+        return hashes, np.asarray([0, len(hashes)])
     blob = b"\x20".join([*values, b""]).translate(FOLD)
     if not blob:
         return np.empty(0, np.uint64), np.zeros(len(values) + 1, np.int64)
@@ -149,6 +153,17 @@ def word_hashes(values: list[bytes], inside: np.ndarray) -> tuple[np.ndarray, np
     return hashes, np.concatenate([[0], np.searchsorted(first, ends)])
 
 
+def _parts(value: bytes, inside: np.ndarray) -> Iterator[bytes]:
+    """A long text in parts of about LONG_BYTES / 2 that cut no word (a longer word stays whole)."""
+    start = 0
+    while start < len(value):
+        end = start + LONG_BYTES // 2
+        while end < len(value) and inside[FOLD[value[end]]]:
+            end += 1
+        yield value[start:end]
+        start = end
+
+
 def shingles(hashes: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``size`` words within each text; a shorter text is one run. Not yet distinct."""
     counts = np.diff(starts)
