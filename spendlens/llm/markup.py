@@ -12,7 +12,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -26,12 +26,27 @@ HOLDERS = frozenset("ul ol menu dl table tbody thead tfoot select".split())
 
 # elements and names that never hold the article
 ASIDE_TAGS = frozenset("nav footer aside form noscript button select dialog template svg head menu".split())
+# whole names of classes and ids
 ASIDE_NAMES = frozenset(
     "nav navbar navigation menu footer sidebar ad ads advert adverts advertisement banner sponsor sponsored promo cookie cookies "
     "consent notice notices alert popup modal newsletter subscribe social share sharing related recommended comment comments "
-    "respond replies breadcrumb breadcrumbs pagination pager widget skip login search".split()
+    "respond replies breadcrumb breadcrumbs pagination pager widget skip login search "
+    "site-nav main-nav top-nav page-nav primary-nav site-navigation main-navigation primary-navigation post-navigation nav-bar "
+    "nav-menu nav-links main-menu top-menu site-menu primary-menu menu-bar site-footer page-footer main-footer footer-links "
+    "footer-widgets site-sidebar main-sidebar page-sidebar primary-sidebar sidebar-widget widget-area ad-banner ad-slot ad-box "
+    "ad-unit ad-container ad-wrapper banner-ad google-ad cookie-notice cookie-banner cookie-bar cookie-consent cookies-notice "
+    "consent-banner newsletter-signup newsletter-form related-posts related-articles related-links recommended-posts share-bar "
+    "share-links share-buttons sharing-buttons social-links social-share social-icons comment-list comment-body comment-form "
+    "comment-respond comments-area comments-list comments-section disqus-thread skip-link login-form search-form search-box search-bar".split()
 )
-OUTSIDE_NAMES = frozenset("header masthead topbar toolbar".split())  # unless within the article
+# of these, what readers and advertisers add within an article; other ids there are anchors of its sections
+READER_NAMES = frozenset(
+    "comment comments respond replies comment-list comment-body comment-form comment-respond comments-area comments-list "
+    "comments-section disqus-thread".split()
+)
+WITHIN_IDS = READER_NAMES | frozenset("ad ads advert adverts advertisement ad-banner ad-slot ad-box ad-unit ad-container banner-ad".split())
+ANCHORS = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th tr a span caption figure blockquote pre".split())  # their ids name a topic
+OUTSIDE_NAMES = frozenset("header masthead topbar toolbar site-header page-header main-header".split())  # unless within the article
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 
@@ -46,25 +61,47 @@ class Block:
     linked: int
 
 
+def _names(value: str) -> set[str]:
+    """Whole names in lower case, words joined by hyphens, without a number at the end."""
+    return {re.sub(r"-?\d+$", "", _HUMP.sub("-", n).replace("_", "-").lower()) for n in value.split()}
+
+
 @lru_cache(maxsize=10_000)
-def _kind(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
-    """Name for paths; whether the element is an article, stands beside it, or does so only outside of one."""
+def _kind(tag: str, attributes: str, within: bool) -> tuple[str, bool, bool, bool, bool]:
+    """Name for paths; whether the element is an article, stands beside it by its tag or role, does so by its names,
+    or only outside of an article. Names of the page and of an article itself say nothing, but for a reader's comment
+    within an article."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     marks = " ".join(found.get(k, "") for k in ("class", "id"))
-    names = {n.lower() for n in _NAME.findall(marks)}
+    classes, ids = _names(found.get("class", "")), _names(found.get("id", ""))
     role = found.get("role", "").lower()
-    aside = tag in ASIDE_TAGS or bool(names & ASIDE_NAMES) or role in ASIDE_ROLES
-    outside = tag == "header" or bool(names & OUTSIDE_NAMES)
-    main = not aside and (tag in ("article", "main") or role in ("main", "article"))
+    main = tag in ("article", "main") or role in ("main", "article")
+    if tag in ("html", "body") or main:
+        classes, ids = (classes & READER_NAMES, set()) if within and tag != "main" else (set(), set())
+    elif tag in ANCHORS:
+        ids = set()
+    elif within or tag == "section" or "section" in classes:
+        ids = ids & WITHIN_IDS
+    aside = (tag in ASIDE_TAGS and tag != "form") or role in ASIDE_ROLES
+    named = tag == "form" or bool((classes | ids) & ASIDE_NAMES)
+    outside = tag == "header" or bool((classes | ids) & OUTSIDE_NAMES)
     label = re.sub(r"\d+", "0", "".join(f".{n}" for n in sorted(marks.split())))
-    return tag + label, main, aside, outside
+    return tag + label, main and not aside and not named, aside, named, outside
 
 
 def blocks(html: str) -> tuple[list[Block], list[str]]:
-    """The blocks of a page in order, and the path of every element."""
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, main, aside
+    """The blocks of a page in order, and the path of every element.
+
+    Names that would set an element aside do not count where it holds ``main``, or where no article stands outside of
+    such elements and it holds one.
+    """
+    stack: list[tuple[str, str, bool, int]] = []  # tag, path, main, number of the element
     out: list[Block] = []
+    owner: list[int] = []  # of each block
     paths: list[str] = []
+    above_of, aside_of, named_of = [-1], [False], [False]  # of each element; 0 is the page
+    mains: list[int] = []
+    articles: list[int] = []
     held: list[str] = []
     linked, links, at, end = 0, 0, 0, len(html)
 
@@ -73,8 +110,9 @@ def blocks(html: str) -> tuple[list[Block], list[str]]:
         if held:
             text = " ".join("".join(held).split())
             if text:
-                _, path, main, aside = stack[-1] if stack else ("", "", False, False)
-                out.append(Block(path, text, main, aside, linked))
+                _, path, main, element = stack[-1] if stack else ("", "", False, 0)
+                out.append(Block(path, text, main, False, linked))
+                owner.append(element)
             held, linked = [], 0
 
     def add(text: str) -> None:
@@ -135,14 +173,46 @@ def blocks(html: str) -> tuple[list[Block], list[str]]:
                         break
         if tag in VOID:
             continue
-        label, main, aside, outside = _kind(tag, attributes)
-        above = stack[-1] if stack else ("", "", False, False)
-        main = main or above[2]
-        aside = above[3] or aside or (outside and not main)
+        above = stack[-1] if stack else ("", "", False, 0)
+        label, article, aside, named, outside = _kind(tag, attributes, above[2])
+        main = article or above[2]
+        element = len(above_of)
+        above_of.append(above[3])
+        aside_of.append(aside)
+        named_of.append(named or (outside and not main))
+        if article and not above[2]:
+            (articles if tag == "article" else mains).append(element)
         path = f"{above[1]}/{label}" if tag in BLOCK else above[1]
         if tag in BLOCK:
             paths.append(path)
-        stack.append((tag, path, main, aside))
+        stack.append((tag, path, main, element))
         links += tag == "a"
     flush()
+    _spare(above_of, aside_of, named_of, mains, articles)
+    for element in range(1, len(above_of)):
+        aside_of[element] = aside_of[element] or named_of[element] or aside_of[above_of[element]]
+    for block, element in zip(out, owner):
+        block.aside = aside_of[element]
     return out, paths
+
+
+def _spare(above_of: list[int], aside_of: list[bool], named_of: list[bool], mains: list[int], articles: list[int]) -> None:
+    """Takes back names of elements that hold the page's article."""
+
+    def over(element: int) -> list[int]:
+        out = []
+        while (element := above_of[element]) > 0:
+            out.append(element)
+        return out
+
+    for element in mains:
+        for e in over(element):
+            named_of[e] = False
+    if not any(named_of):
+        return
+    free = [e for e in mains + articles if not any(aside_of[a] or named_of[a] for a in over(e))]
+    for element in [] if free else articles:
+        if not any(aside_of[a] for a in over(element)):
+            for e in over(element):
+                named_of[e] = False
+            break

@@ -64,3 +64,19 @@ def test_empty_table_and_extra_columns(spark):
     assert extract.extracted(spark.createDataFrame([], PAGES)).count() == 0
     more = spark.createDataFrame(pages(5), PAGES).withColumns({"host": F.lit(1), "text": F.lit("t"), "frame": F.lit(2)})
     assert extract.extracted(more).columns == ["page_id", "url", "text", "n_chars"]
+
+
+def test_names_mark_whole_and_not_around_the_article():
+    body = "<h1>T</h1><p>one</p>"
+    for html in (
+        f"<body class='single no-sidebar'><article>{body}</article>", f"<body class='sidebar'><article>{body}</article>",
+        f"<div class='content has-sidebar'><article>{body}</article></div>", f"<article class='post comments-open'>{body}</article>",
+        f"<div class='content has-sidebar'>{body}</div>", f"<div class='modal'><main class='search'>{body}</main></div>",
+        f"<div class='widget'><article>{body}</article></div>", f"<form id=aspnetForm><main>{body}</main></form>",
+        f"<div class=related><article>no</article></div><article>{body}<article class=comment>no</article></article>",
+        f"<article>{body}</article><div id=comments><article class=comment>no</article></div>",
+    ):
+        assert text_of(html) == ["T", "one"], html
+    inside = "<h2 id='related-work'>a</h2><section id='search'>b</section><p id='notice-3'>c</p><div id='menu'>d</div>"
+    assert text_of(f"<article>{inside}<div id=comment-7>no</div><div class=share>no</div></article>") == ["a", "b", "c", "d"]
+    assert text_of(f"<div>{inside}<div class='siteFooter'>no</div><div id=sidebar>no</div><div class=ad-1>no</div></div>") == ["a", "b", "c"]
