@@ -80,3 +80,34 @@ def test_names_mark_whole_and_not_around_the_article():
     inside = "<h2 id='related-work'>a</h2><section id='search'>b</section><p id='notice-3'>c</p><div id='menu'>d</div>"
     assert text_of(f"<article>{inside}<div id=comment-7>no</div><div class=share>no</div></article>") == ["a", "b", "c", "d"]
     assert text_of(f"<div>{inside}<div class='siteFooter'>no</div><div id=sidebar>no</div><div class=ad-1>no</div></div>") == ["a", "b", "c"]
+
+
+def listed(i, n=40):
+    """A page without article markup: title outside of the body's element, headings, lists, tables and long paragraphs."""
+    from tests.llm.small import prose
+
+    parts = "".join(f"<h2>Heading {i} {k}</h2><p>{prose(100 * i + k, n)}</p><p>{prose(100 * i + k + 50, n)}</p>" for k in range(4))
+    more = f"<ul><li>item a {i}</li><li>item b {i}</li></ul><table><tr><td>cell {i}</td></tr></table><blockquote>quote {i}</blockquote>"
+    return (
+        f"<body><div id=top><a href=/>Home</a></div><div id=all><h1>Title {i}</h1><div class=text>{parts}{more}</div>"
+        "<p>The same line under every article</p></div><div id=low><a href=/>About</a></div></body>"
+    )
+
+
+def test_headings_lists_and_title_stay_with_long_paragraphs(spark):
+    rows = [(i, f"http://h.example/{i}", listed(i)) for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in extract.extracted(spark.createDataFrame(rows, PAGES)).collect()}
+    for i in range(8):
+        want = extract.blocks(rows[i][2])[0]
+        assert got[i].split("\n") == [b.text for b in want if b.text not in ("Home", "About") and not b.text.startswith("The same")]
+        assert got[i].startswith(f"Title {i}\nHeading {i} 0\n") and f"item b {i}\ncell {i}\nquote {i}" in got[i]
+
+
+def test_copies_are_not_a_template(spark):
+    rows = [(i, f"http://h.example/{i}", listed(min(i, 6))) for i in range(20)]  # 14 copies of page 6
+    near = [(100 + i, f"http://n.example/{i}", listed(i if i < 6 else 6).replace("quote 6", f"quote {i}")) for i in range(16)]
+    got = {r["page_id"]: r["text"] for r in extract.extracted(spark.createDataFrame(rows + near, PAGES)).collect()}
+    for i in range(20):
+        assert got[i].startswith(f"Title {min(i, 6)}\nHeading") and "The same" not in got[i]
+    for i in range(16):
+        assert got[100 + i].startswith(f"Title {min(i, 6)}\nHeading") and got[100 + i].count("\n") > 12
