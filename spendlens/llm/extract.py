@@ -4,15 +4,16 @@ Tokens of a page are the paths of its elements and, for each block, its path wit
 pages' free texts (not aside, not mostly links); copies are one content. Tokens of a host that occur equally often in
 every content have one occurrence vector and form an equivalence class; a vector is compared by its number of contents
 and the exclusive or of hashes of content and count, so vectors are never gathered, and a class needs one row per
-(host, token), folded on the map side. A class is valid if it is on at least half of at least MIN_PAGES contents. Valid classes nest by their paths into the host's template:
+(host, token), folded on the map side. A class is valid for a page if it is on at least half of at least MIN_PAGES contents
+and the page shows all its texts in the order of the class. Valid classes nest by their paths into the host's template:
 elements are its frame, texts that repeat are its fixed text, and what is left of a page are its slots. The slot with the
 article is the smallest element, once on each of its pages and in a class on half of them, that holds all varying text
-without links. A path repeated within a page and a single
+without links; where markup names articles with varying text, all of that. A path repeated within a page and a single
 paragraph, heading or cell are never the slot.
 
 A page gives the blocks of the article's slot; menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments are left out by their markup wherever they stand, fixed text only outside of a named
-article. Where markup names the article, that is the slot. A page of
+article. Within the slot, markup that names the article has the last word, also on a page without the slot. A page of
 which fixed text is more than three quarters is a copy and keeps it. Hosts of fewer contents than MIN_PAGES have no
 template: there the page's own markup decides.
 
@@ -125,8 +126,12 @@ def varying(frame: list[dict], fixed: list[dict]) -> list[dict]:
 
 
 def slot_of(frame: list[dict]) -> str:
-    """The smallest container that holds all varying text: one element of a class on half of the contents, once each."""
+    """The smallest container that holds all varying text: one element of a class on half of the contents, once each.
+
+    Where some of the text is in named articles, it is the container of these.
+    """
     holders = [f for f in frame if f["chars"] > 0]
+    holders = [f for f in holders if f["named"]] or holders
     if not holders:
         return ""
     parts = [f["path"].split("/") for f in holders]
@@ -139,13 +144,29 @@ def slot_of(frame: list[dict]) -> str:
     return "/".join(shared)
 
 
+def _shown(found: list[Block], fixed: list[dict]) -> set[int]:
+    """The fixed texts whose class the page shows whole and in its order."""
+    place: dict[int, int] = {}
+    for i, b in enumerate(found):
+        place.setdefault(_token(b.path, b.text), i)
+    classes: dict[int, list[dict]] = {}
+    for f in fixed:
+        classes.setdefault(f["kind"], []).append(f)
+    out: set[int] = set()
+    for tokens in classes.values():
+        at = [place.get(f["token"], -1) for f in sorted(tokens, key=lambda f: (f["place"], f["token"]))]
+        if min(at) >= 0 and all(x < y for x, y in zip(at, at[1:])):
+            out.update(f["token"] for f in tokens)
+    return out
+
+
 def article(found: list[Block], frame: list[dict], fixed: set[int]) -> list[str]:
     """The blocks of the article's slot."""
     left = [b for b in found if not b.aside]
-    if any(b.main for b in left):
-        return [b.text for b in left if b.main]
     slot = slot_of(frame)
     inside = [b for b in left if b.path == slot or b.path.startswith(slot + "/")] or left
+    if any(b.main for b in inside):  # the check by markup: what it names is the article, repeated or not
+        return [b.text for b in inside if b.main]
     free = [b for b in inside if _is_free(b)]
     kept = [b for b in free if _token(b.path, b.text) not in fixed]
     if COPIED * sum(len(b.text) for b in free) > sum(len(b.text) for b in kept):
@@ -161,7 +182,7 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         texts = []
         for html, frame, fixed in zip(*(batch.column(n).to_pylist() for n in ("html", "frame", "fixed"))):
             found = blocks(html or "")[0]
-            texts.append("\n".join(article(found, varying(frame or [], fixed or []), {f["token"] for f in fixed or []})))
+            texts.append("\n".join(article(found, varying(frame or [], fixed or []), _shown(found, fixed or []))))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"],

@@ -111,3 +111,25 @@ def test_copies_are_not_a_template(spark):
         assert got[i].startswith(f"Title {min(i, 6)}\nHeading") and "The same" not in got[i]
     for i in range(16):
         assert got[100 + i].startswith(f"Title {min(i, 6)}\nHeading") and got[100 + i].count("\n") > 12
+
+
+def test_template_chooses_the_slot_where_articles_are_named(spark):
+    def page(i):
+        teaser = "<article><p>Read our offer of the year, the same on all pages</p></article>"
+        return f"<body><div id=offer>{teaser}</div><div id=x><h1>Title {i}</h1><p>Words {'v' * (i + 1)} of page {i}</p></div></body>"
+
+    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(8)]
+    rows += [(50 + i, f"http://a.example/{i}", f"<body><p>By {i}</p><article><h1>T {i}</h1><p>{'w ' * i}e</p></article></body>") for i in range(8)]
+    df = spark.createDataFrame(rows, PAGES)
+    got = {r["page_id"]: r["text"] for r in extract.extracted(df).collect()}
+    assert all(got[i] == f"Title {i}\nWords {'v' * (i + 1)} of page {i}" for i in range(8))
+    assert all(got[50 + i] == f"T {i}\n{'w ' * i}e" for i in range(8))
+    slots = {r["host"]: extract.slot_of(extract.varying(*([x.asDict() for x in r[n]] for n in ("frame", "fixed")))) for r in extract.templates(df).collect()}
+    assert slots == {"h.example": "/body/div.x", "a.example": "/body/article"}
+
+
+def test_a_class_is_fixed_only_whole_and_in_order():
+    lines = [f"<p>line {k}</p>" for k in range(3)]
+    fixed = [{"token": extract._token("/body/p", f"line {k}"), "kind": 1, "place": k / 3, "path": "/body/p", "chars": 6} for k in range(3)]
+    for shown, want in ((lines, 3), (lines[::-1], 0), (lines[:2], 0)):
+        assert len(extract._shown(blocks("<body>" + "".join(shown))[0], fixed)) == want
