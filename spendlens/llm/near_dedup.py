@@ -6,7 +6,12 @@ neighbours. A region of a tree is a run of documents with a common prefix: it st
 where more than REGION documents share that prefix (adaptive depth). Within a region all pairs whose signatures
 agree well enough are candidates. A region that is too large is also cut into parts of its order, each beside the
 region's hubs: the documents nearest to the most frequent values, as the text is that all others are copies of. Two documents at the threshold of 0.75 share a prefix of two in some tree with probability 1 - (1 - 0.75^2)^16
-= 0.999998.
+= 0.999998. A run of up to REGION documents is never cut between tasks. Parts and hubs only link the greater part of a larger
+run early: afterwards the documents of all larger runs are joined on the prefixes of their sets. In one order of all
+shingles, two sets at the threshold share one of their first n - ceil(0.75 n) + 1, so a pair of different components is
+either excluded by that bound or becomes a candidate; shingles that a sample finds common come last in the order, which
+keeps shared templates out of the prefixes. Documents of one shingle are set side by side in pairs of blocks, but for
+blocks of one component.
 
 Equal word sequences are folded before the forest. Candidates that a region's own spanning forest needs are
 confirmed on the full sets. Afterwards all remaining candidates between different components are confirmed as well: the
@@ -20,6 +25,7 @@ are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +43,8 @@ MIN_DEPTH = 2
 REGION = 2048
 RANGE_ROWS = 200_000  # of an order in one task
 HUBS = 32  # most central documents of a larger region, set beside every part of it
+BLOCK = 1024  # documents of one shingle side by side in one task, twice
+SAMPLED, COMMON = 20_000, 200_000  # documents to find common shingles in; the most common ones
 BITMAP_WORDS = 1 << 17  # of 64 bits
 CLOSE = 0.6  # share of equal minima from which a pair is a candidate: four standard errors below 0.75
 
@@ -185,16 +193,92 @@ def _active_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     )
 
 
-def forest(reps: DataFrame, partitions: int) -> DataFrame:
+def _in_trees(reps: DataFrame, *columns: str) -> DataFrame:
+    """Each document in each tree with its path there and the prefix that all of a run have in common."""
+    trees = reps.select("doc", "keys", *columns, F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    path = F.expr(f"substring(keys, tree * {2 * LEVELS} + 1, {2 * LEVELS})")
+    return trees.select(F.col("tree").cast("byte").alias("tree"), path.alias("path"), F.substring(path, 1, 2 * MIN_DEPTH).alias("prefix"), "doc", *columns)
+
+
+def large_runs(reps: DataFrame) -> DataFrame:
+    """tree and prefix of the runs of more than REGION documents."""
+    return _in_trees(reps).groupBy("tree", "prefix").count().where(F.col("count") > REGION).select("tree", "prefix")
+
+
+def forest(reps: DataFrame, partitions: int, large: DataFrame) -> DataFrame:
     """Documents that have a candidate in some region: region, place in its order, doc, signature.
 
-    Each tree's order is cut into ranges of equal size, by the minima and then by document, so no prefix is too
-    common for a task. A region that a cut divides is found whole in other trees, whose cuts differ.
+    Each tree's order is cut into ranges of equal size, by the minima and in large runs also by document, so no prefix
+    is too common for a task and other runs stay whole. Large runs are looked at again by their prefixes.
     """
-    trees = reps.select("doc", "keys", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    path = F.expr(f"substring(keys, tree * {2 * LEVELS} + 1, {2 * LEVELS})")
-    rows = trees.select(F.col("tree").cast("byte"), path.alias("path"), "doc", "signature")
-    return rows.repartitionByRange(partitions, "tree", "path", "doc").mapInArrow(_active_batches, ACTIVE)
+    marked = _in_trees(reps, "signature").join(F.broadcast(large.withColumn("large", F.lit(True))), ["tree", "prefix"], "left")
+    rows = marked.select("tree", "prefix", "path", "doc", "signature", F.when(F.col("large"), F.struct("path", "doc")).alias("within"))
+    rows = rows.repartitionByRange(partitions, "tree", "prefix", "within").select("tree", "path", "doc", "signature")
+    return rows.mapInArrow(_active_batches, ACTIVE)
+
+
+def _prefixes(common_shingles: np.ndarray | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of each document (all of them without ``common_shingles``, or those of its prefix).
+
+    ``common_shingles`` is sorted by value with the rank of each; uncommon ones come first, by value.
+    """
+    for batch in batches:
+        ids, values = batch.column(0).to_numpy(), common.texts(batch.column(1))
+        for a, b in common.slices(values):
+            runs, at, _ = _sets(values[a:b])
+            doc, out = [], []
+            for i in range(b - a):
+                own = runs[at[i] : at[i + 1]]
+                if common_shingles is not None:
+                    rank = np.zeros(len(own), dtype=np.int64)
+                    if len(common_shingles):
+                        place = np.minimum(np.searchsorted(common_shingles["shingle"], own), len(common_shingles) - 1)
+                        rank = np.where(common_shingles["shingle"][place] == own, common_shingles["rank"][place], 0)
+                    least = -(-NUMERATOR * len(own) // DENOMINATOR)
+                    own = own[np.lexsort((own, rank))][: len(own) - least + 1]
+                doc.append(np.full(len(own), ids[a + i]))
+                out.append(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(doc), pa.int64()), pa.array(np.concatenate(out).view(np.int64))], names=["doc", "shingle"]
+            )
+
+
+def _common_shingles(texts: DataFrame, n: int) -> np.ndarray:
+    """The most common shingles of a sample, with their counts as ranks. Which they are decides the work, not the result."""
+    some = texts.where(F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(-(-n // SAMPLED))) == 0)
+    counts = common.through_arrow(some, partial(_prefixes, None), "doc long, shingle long").groupBy("shingle").count().where("count > 2")
+    rows = counts.orderBy(F.desc("count"), "shingle").limit(COMMON).collect()
+    out = np.array([(r[0] % 2**64, r[1]) for r in rows], dtype=[("shingle", np.uint64), ("rank", np.int64)])
+    return np.sort(out, order="shingle")
+
+
+def side_by_side(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Regions (region, doc, signature, component) in which any two similar ``members`` of different components meet."""
+    members = common.kept(members)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(members.select("doc"), "doc", "left_semi")
+    texts = common.kept(texts)
+    found = partial(_prefixes, _common_shingles(texts, members.count()))
+    postings = common.kept(common.through_arrow(texts, found, "doc long, shingle long").distinct())
+    postings = postings.join(members.select("doc", "component"), "doc")
+    mixed = postings.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    postings = common.kept(postings.join(mixed.where("least < most").select("shingle"), "shingle", "left_semi"))
+    sizes = postings.groupBy("shingle", "component").agg(F.count("*").alias("n"))
+    heavy = F.col("n") > BLOCK
+    light = sizes.where(~heavy).groupBy("shingle").agg(F.sum("n").alias("total"))
+    of = sizes.join(light, "shingle", "left")
+    # a large component has blocks of its own, the others share some
+    part = F.when(heavy, F.struct(F.col("component").alias("own"), F.ceil(F.col("n") / BLOCK).alias("blocks"))).otherwise(
+        F.struct(F.lit(None).cast("long").alias("own"), F.ceil(F.col("total") / BLOCK).alias("blocks"))
+    )
+    of = common.kept(of.select("shingle", "component", part.alias("part")))
+    parts = of.groupBy("shingle").agg(F.collect_set("part").alias("parts"))
+    every = F.flatten(F.transform("parts", lambda p: F.transform(F.sequence(F.lit(1).cast("long"), p["blocks"]), lambda k: F.struct(p["own"].alias("own"), k.alias("k")))))
+    here = F.struct(F.col("part.own").alias("own"), (F.pmod(F.xxhash64("doc"), F.col("part.blocks")) + 1).alias("k"))
+    rows = postings.join(of, ["shingle", "component"]).join(parts.select("shingle", every.alias("blocks")), "shingle")
+    rows = rows.select("shingle", "doc", "component", here.alias("here"), "blocks")
+    rows = rows.select("*", F.explode("blocks").alias("other")).where("here.own IS NULL OR other.own IS NULL OR here.own <> other.own")
+    region = F.xxhash64("shingle", F.least("here", "other"), F.greatest("here", "other"))
+    return rows.select(region.alias("region"), "doc").distinct().join(members, "doc").select("region", "doc", "signature", "component")
 
 
 PAIRS = "a long, b long"
@@ -354,12 +438,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = some.groupBy("seq_a", "seq_b").agg(
         F.min("doc_id").alias("doc"), F.any_value("keys").alias("keys"), F.any_value("signature").alias("signature")
     )
-    active = common.kept(forest(classes, partitions))
+    classes = common.kept(classes)
+    large = common.kept(large_runs(classes))
+    active = common.kept(forest(classes, partitions, large))
     pairs = common.kept(_regionwise(active, partitions).mapInArrow(_spanning_batches, PAIRS).distinct())
     links = common.kept(confirmed(pairs, docs))
     parts = components(links)
     named = active.join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left")
     named = named.select("region", "doc", "signature", F.coalesce("component", "doc").alias("component"))
+    if not large.isEmpty():
+        crowd = _in_trees(classes).join(F.broadcast(large), ["tree", "prefix"], "left_semi").select("doc").distinct()
+        crowd = classes.join(crowd, "doc", "left_semi").join(parts.withColumnRenamed("node", "doc"), "doc", "left")
+        crowd = crowd.select("doc", "signature", F.coalesce("component", "doc").alias("component"))
+        named = named.union(side_by_side(crowd, docs))
     named = _regionwise(named, partitions)
     opened = common.kept(named.mapInArrow(_open_batches, f"{ACTIVE}, component long"))
     if not opened.isEmpty():

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from spendlens.llm import near_dedup
 from spendlens.llm.components import components
 from tests.llm.small import as_dict, documents, prose, with_clash
@@ -90,3 +92,42 @@ def test_components_of_chains_and_stars(spark):
     got = {r[0]: r[1] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(40)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("region", [near_dedup.REGION, 16])
+def test_near_copies_among_texts_of_one_template(spark, monkeypatch, region):
+    """Pairs just above the threshold and a chain, among texts just below it, in runs that many partitions cut."""
+    monkeypatch.setattr(near_dedup, "REGION", region)
+    template = " ".join(f"t{i}" for i in range(84))
+    texts = [f"{template} {prose(k, 25, 10**6)}".split() for k in range(150)]
+    texts += [texts[k][:95] + prose(10_000 + k, 14, 10**6).split() for k in range(40)]
+    last = texts[100]
+    for k in range(20):
+        last = last[: 80 + k] + [f"v{k}"] + last[81 + k :]
+        texts.append(last)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "160")
+    try:
+        got = as_dict(near_dedup.near_duplicates(documents(spark, rows)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = {d: c for d, (_, c) in brute(rows).items()}
+    assert len(set(want.values())) == 150
+    assert {d: r["component_id"] for d, r in got.items()} == want
+
+
+def test_prefixes_bring_all_similar_pairs_together(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 5)
+    base = prose(1, 120)
+    rows = [(i, edited(base, i % 9, i)) for i in range(60)] + [(100 + i, prose(i, 50)) for i in range(10)]
+    sets = {d: shingles(t) for d, t in rows}
+    members = spark.createDataFrame([(d, b"x", d if d % 4 else 0) for d, _ in rows], "doc long, signature binary, component long")
+    regions = {}
+    for r in near_dedup.side_by_side(members, documents(spark, rows)).collect():
+        regions.setdefault(r["region"], set()).add(r["doc"])
+    met = {(a, b) for found in regions.values() for a in found for b in found}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and (a % 4 or b % 4):
+                assert (a, b) in met
