@@ -13,6 +13,7 @@ from spendlens.session import apply_settings
 
 # close to the natural shares, so that few documents go
 MIX_POWERS = {"source": 0.9, "lang": 0.9, "topic": 1.0}
+MIX_SHARE = 0.8  # of the tokens stay, however rare the rarest source is
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn so that sources and languages come closer to each other."""
     apply_settings(spark)
-    return mixing.keep_drawn(docs, MIX_POWERS)
+    return mixing.keep_drawn(docs, MIX_POWERS, share=MIX_SHARE)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

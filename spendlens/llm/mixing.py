@@ -88,14 +88,41 @@ def uniform(seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(2**52)
 
 
-def sampled(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, powers: Mapping[str, float] = POWERS, seed: int = SEED) -> DataFrame:
-    """The rows with _n, _topic, _factor, _probability and _drawn beside their own columns."""
+def scale_to(cells: DataFrame, share: float) -> DataFrame:
+    """One row with the ``scale`` for which the tokens times min(1, scale * _factor) are ``share`` of all tokens.
+
+    Cells (_n tokens, _factor) with the largest factors reach 1 first. If all cells that can be drawn hold less than
+    the share, they are drawn whole.
+    """
+    by_factor = cells.groupBy("_factor").agg(F.sum("_n").cast("double").alias("_n"))  # at most one row for each cell
+    order = Window.orderBy(F.desc("_factor")).rowsBetween(Window.unboundedPreceding, -1)
+    full = F.coalesce(F.sum("_n").over(order), F.lit(0.0))
+    rest = F.sum(F.col("_n") * F.col("_factor")).over(Window.orderBy(F.desc("_factor")).rowsBetween(0, Window.unboundedFollowing))
+    wanted = F.lit(share) * F.sum("_n").over(Window.partitionBy())
+    steps = by_factor.select("_factor", (wanted - full).alias("missing"), rest.alias("rest")).where("_factor > 0")
+    fits = steps.select(F.when(F.col("missing") <= F.col("rest") / F.col("_factor"), F.col("missing") / F.col("rest")).alias("scale"), "_factor")
+    first = F.max_by("scale", F.when(F.col("scale").isNotNull(), F.col("_factor")))
+    return fits.agg(F.coalesce(first, 1 / F.min("_factor")).alias("scale"))
+
+
+def sampled(
+    docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, powers: Mapping[str, float] = POWERS, seed: int = SEED, share: float | None = None
+) -> DataFrame:
+    """The rows with _n, _topic, _factor, _probability and _drawn beside their own columns.
+
+    Without ``share`` the largest probability is 1; with it the expected tokens are that share of all.
+    """
     rows = described(docs)
     keys = [f"_{d}" for d in DIMENSIONS]
     cells = common.kept(rows.groupBy(*keys).agg(F.sum("_n").alias("_n")))
     factors = common.kept(rake(cells, targets, powers))
-    top = factors.agg(F.max("_factor").alias("top"))
-    scaled = factors.select(*keys, "_factor", (F.col("_factor") / top.scalar()).alias("_probability"))
+    if share is None:
+        top = factors.agg(F.max("_factor").alias("top"))
+        probability = F.col("_factor") / top.scalar()
+    else:
+        scale = scale_to(cells.join(factors, keys), share)
+        probability = F.least(F.lit(1.0), F.col("_factor") * scale.scalar())
+    scaled = factors.select(*keys, "_factor", probability.alias("_probability"))
     joined = rows.join(scaled, keys, "left").fillna(0.0, ["_factor", "_probability"])
     return joined.withColumn("_drawn", uniform(seed) < F.col("_probability"))
 
@@ -108,9 +135,9 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_drawn(docs: DataFrame, powers: Mapping[str, float] = POWERS, seed: int = SEED) -> DataFrame:
+def keep_drawn(docs: DataFrame, powers: Mapping[str, float] = POWERS, seed: int = SEED, share: float | None = None) -> DataFrame:
     """The drawn rows with their own columns."""
-    return sampled(docs, powers=powers, seed=seed).where("_drawn").select(*docs.columns)
+    return sampled(docs, powers=powers, seed=seed, share=share).where("_drawn").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

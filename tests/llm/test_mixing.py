@@ -63,3 +63,13 @@ def test_no_python_in_the_plan(spark):
     plan = mixing.report(table(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
     assert as_dict(mixing.report(table(spark, 30)))[0]["topic"] == "licence"
+
+
+def test_share_of_tokens_whatever_the_rarest_source(spark):
+    rows = [(i, prose(i, 40), "en" if i % 2 else "fr", "a" if i % 3 else "b") for i in range(2000)] + [(9000, prose(1, 30), None, "rare")]
+    docs = documents(spark, rows)
+    powers = {"source": 0.9, "lang": 0.9, "topic": 1.0}
+    for share in (0.1, 0.8, 1.0):
+        got = mixing.sampled(docs, powers=powers, share=share).agg(F.sum(F.col("_n") * F.col("_probability")) / F.sum("_n"), F.max("_probability")).first()
+        assert got[0] == pytest.approx(share, abs=1e-9) and got[1] <= 1
+    assert 0.75 < mixing.keep_drawn(docs, powers, share=0.8).count() / len(rows) < 0.85
