@@ -14,6 +14,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),  # long texts: rows alone bound no batch
 }
 
 
