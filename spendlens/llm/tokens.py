@@ -17,7 +17,7 @@ import regex
 from tokenizers import Tokenizer
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-PIECES = 600_000  # remembered in each of two generations
+PIECES = 250_000  # remembered in each of two generations
 
 # runs of white space, or any but a space or line end, join what stands beside them
 _UNUSUAL = re.compile(r"\s\s|[^\S \n]|[\x00\x1c-\x1f\x85]|<\|")
