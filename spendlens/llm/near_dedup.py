@@ -41,7 +41,7 @@ NUMERATOR, DENOMINATOR = 75, 100  # similarity of at least 75 / 100
 TREES, LEVELS = 16, 8
 MIN_DEPTH = 2
 REGION = 2048
-RANGE_ROWS = 200_000  # of an order in one task
+RANGE_ROWS = 50_000  # of an order in one task
 HUBS = 32  # most central documents of a larger region, set beside every part of it
 BLOCK = 1024  # documents of one shingle side by side in one task, twice
 SAMPLED, COMMON = 20_000, 200_000  # documents to find common shingles in; the most common ones
