@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from spendlens.llm import decontaminate, extract, language, licences, mixing, near_dedup, simhash, token_counts, token_output, toxicity
+from spendlens.llm import (
+    decontaminate, extract, fill_middle, language, licences, mixing, near_dedup, neighbours, resampling, simhash, token_counts, token_output, toxicity,
+)
 
 QUERIES = {
     "op10_token_counts": token_counts.query,
@@ -15,6 +17,9 @@ QUERIES = {
     "op2_decontamination": decontaminate.query,
     "op8_token_output": token_output.query,
     "op9_minhash_near_dedup": near_dedup.query,
+    "op11_resampling": resampling.query,
+    "op12_nearest_neighbours": neighbours.query,
+    "op13_fill_in_middle": fill_middle.query,
 }
 
 ORACLE_SQL = {
@@ -22,4 +27,5 @@ ORACLE_SQL = {
     "op4_mixing": mixing.sql(),
     "op2_decontamination": decontaminate.SQL,
     "op9_minhash_near_dedup": near_dedup.SQL,
+    "op13_fill_in_middle": fill_middle.SQL,
 }
