@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.functions.columns import first_asc
-from spendlens.operators.documents import Embedder, TrigramEmbedder
+from spendlens.operators.documents import Embedder, TrigramEmbedder, embed
+from spendlens.operators.knn_join import knn_join
 from spendlens.operators.lookup import top_payees
 
 TOP = 10
@@ -55,11 +56,28 @@ def ask(store: DataFrame, question: str, embedder: Embedder | None = None, k: in
     """Nearest documents to a question; refuses a store made by another embedder."""
     embedder = embedder or TrigramEmbedder()
     query = [float(x) for x in embedder([question])[0].astype("float32")]
+    return nearest(_made_by(store, embedder), query, "doc_id", k)
+
+
+def ask_many(store: DataFrame, questions: DataFrame, embedder: Embedder | None = None, k: int = TOP) -> DataFrame:
+    """Nearest documents to every question of a table (``question_id``, ``question``): one exact join by pivots.
+
+    Gives question_id, rank, the columns of the hits without their vectors, and their distance; squared, as ``ask`` does.
+    """
+    embedder = embedder or TrigramEmbedder()
+    asked = embed(questions.select("question_id", "question"), embedder, "question")
+    hits = knn_join(_made_by(store, embedder), asked, "doc_id", "question_id", k)
+    texts = store.drop("embedding", "embedder").join(hits, "doc_id")
+    return texts.withColumn("distance", F.col("distance") * F.col("distance"))
+
+
+def _made_by(store: DataFrame, embedder: Embedder) -> DataFrame:
+    """The store; its vectors are an error where another embedder made them."""
     message = F.concat(F.lit(f"the question is embedded with {embedder.name}, the store with "), F.col("embedder"))
     checked = F.when(F.col("embedder") == embedder.name, F.col("embedding")).otherwise(
         F.raise_error(message).cast("array<float>")
     )
-    return nearest(store.withColumn("embedding", checked), query, "doc_id", k)
+    return store.withColumn("embedding", checked)
 
 
 def context(hits: DataFrame, id_column: str, text_column: str, order: Sequence[str], k: int = TOP) -> DataFrame:

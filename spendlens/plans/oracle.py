@@ -453,12 +453,25 @@ def oracle_sql() -> dict[str, str]:
                 payee, amount, 'trigram-{DIM}' AS embedder
             FROM store s JOIN vectors v ON s.document = v.document""",
         "knn_top10": f"WITH {HITS} SELECT vec_id, label, round(distance, 6) AS distance FROM hits",
+        "knn_questions": f"""SELECT question_id, CAST(rank AS INT) AS rank, vec_id, round(distance, 6) AS distance FROM (
+            SELECT q.vec_id AS question_id, e.vec_id, sqrt({_distance("e.embedding", "q.embedding")}) AS distance,
+                row_number() OVER (PARTITION BY q.vec_id ORDER BY {_distance("e.embedding", "q.embedding")}, e.vec_id) AS rank
+            FROM embeddings e JOIN embeddings q ON e.vec_id <> q.vec_id) WHERE rank <= 10""",
         "knn_context": f"""WITH {HITS}
             SELECT array_to_string(list_sort(list(DISTINCT label)), ',') AS ids,
                 string_agg('- vector ' || vec_id, chr(10) ORDER BY distance, vec_id) AS context FROM hits""",
         "retrieved_top_payees": f"WITH {HITS} {_top_payees('SELECT vec_id FROM hits')}",
         "ask_documents": f"""WITH {ANSWER}
             SELECT doc_id, project_id, document, round(distance, 6) AS distance FROM answers""",
+        "ask_questions": f"""WITH {STORE}, questions AS (SELECT DISTINCT outline AS document FROM fx_overview),
+            {_vectors("store", "doc_vectors")}, {_vectors("questions", "question_vectors")},
+            texts AS (
+                SELECT q.document AS question_id, v.document, sqrt({_distance("v.embedding", "q.embedding")}) AS distance
+                FROM doc_vectors v, question_vectors q),
+            near AS (SELECT * FROM texts QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY distance, document) <= 400)
+            SELECT question_id, CAST(row_number() OVER (PARTITION BY question_id ORDER BY distance, doc_id) AS INT) AS rank,
+                doc_id, project_id, round(distance * distance, 6) AS distance
+            FROM near JOIN store s USING (document) QUALIFY rank <= 10""",
         "ask_top_payees": f"WITH {ANSWER} {_top_payees('SELECT project_id FROM answers')}",
         "audit_sample_ministry": _selection({"ministry": "MACHINERY", "sample_size": 100}),
         "audit_sample_top": _selection({"sort_by": "amount", "top_n": 100}),

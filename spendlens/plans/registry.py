@@ -10,6 +10,7 @@ from pyspark.sql.types import NumericType, StructField, StructType
 
 from spendlens.functions.columns import money_sum
 from spendlens.operators import audit, balance, documents, dossier, flows, lookup, quality, reconcile, retrieval
+from spendlens.operators.knn_join import knn_join
 from spendlens.plans.fixtures import VIEWS, load
 from spendlens.plans.sql_report import run_sql
 from spendlens.session import apply_settings
@@ -102,6 +103,12 @@ def _nearest(embeddings: DataFrame) -> DataFrame:
     return _hits(embeddings).select("vec_id", "label", F.round("distance", 6).alias("distance"))
 
 
+def _questions(embeddings: DataFrame) -> DataFrame:
+    """Every vector asks for its nearest others."""
+    found = knn_join(embeddings, embeddings.withColumnRenamed("vec_id", "question_id"), "vec_id", "question_id", skip_own=True)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
 def _context(embeddings: DataFrame) -> DataFrame:
     named = _hits(embeddings).withColumn("note", F.concat(F.lit("vector "), F.col("vec_id").cast("string")))
     found = retrieval.context(named, "label", "note", ["distance", "vec_id"])
@@ -148,6 +155,13 @@ def _answer(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame
     return hits.select("doc_id", "project_id", "document", F.round("distance", 6).alias("distance"))
 
 
+def _answers(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
+    """The outlines of all projects as questions."""
+    questions = overview.select(F.col("outline").alias("question_id"), F.col("outline").alias("question")).distinct()
+    hits = retrieval.ask_many(_store(detail, org, overview), questions)
+    return hits.select("question_id", "rank", "doc_id", "project_id", F.round("distance", 6).alias("distance"))
+
+
 def _answer_payees(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
     hits = retrieval.ask(_store(detail, org, overview), QUESTION)
     return retrieval.retrieved_top_payees(detail, hits)
@@ -300,9 +314,11 @@ def queries() -> dict[str, Query]:
         "embed_documents": _on(_embedded, *texts),
         "vector_store_rows": _on(_store_rows, *texts),
         "knn_top10": _on(_nearest, "embeddings"),
+        "knn_questions": _on(_questions, "embeddings"),
         "knn_context": _on(_context, "embeddings"),
         "retrieved_top_payees": _on(_retrieved_payees, "embeddings", "fx_spend_detail"),
         "ask_documents": _on(_answer, *texts),
+        "ask_questions": _on(_answers, *texts),
         "ask_top_payees": _on(_answer_payees, *texts),
         # audit and reports
         "audit_sample_ministry": _on(
