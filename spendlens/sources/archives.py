@@ -1,37 +1,33 @@
 """ZIP archives of CSV sheets to Parquet tables.
 
-The file list is the unit of work: each archive is opened, decoded and parsed
-by one task, in a stream, so no file is held in memory as a whole. The parsed
-rows are written once as text cells; types are inferred and tables are written
-from there. A file that cannot be read becomes an error row.
+Each archive is unzipped by one task, in a stream, into blocks; the blocks of
+all archives are parsed in parallel (see ``blocks``). The parsed rows are
+written once as text cells; types are inferred and tables are written from
+there. A file that cannot be read becomes an error row. All tables of a run are
+one build, which readers see when it is complete (see ``published``).
 """
 
 from __future__ import annotations
 
-import codecs
 import hashlib
-import zipfile
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from urllib.parse import quote
 
-import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.functions import fixed_values as fv
 from spendlens.functions.columns import to_number
+from spendlens.sources import blocks, published
 from spendlens.sources.catalog import table_catalog
 from spendlens.sources.inference import typed_columns
 
-ENCODINGS = ("utf-8", "shift_jis")
-ROWS_PER_BATCH = 10_000
 ROWS_PER_FILE = 250_000
 TABLES_AT_ONCE = 8
-DECODE_BYTES = 1 << 20
-CELLS = "path string, header array<string>, cells array<string>, error string"
+# blocks are written one by one, not gathered by the hundred before Parquet looks at their size
+BLOCK_FILES = {"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 1, "parquet.block.size.row.check.min": 1}
 
 
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,26 +36,32 @@ def list_archives(spark: SparkSession, folder: str) -> DataFrame:
     return files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
 
-def read_archives(archives: DataFrame) -> DataFrame:
+def read_archives(archives: DataFrame, scratch: str | None = None) -> DataFrame:
     """Header and cells of every CSV row of every archive, as text.
 
     One row per CSV row; an archive without rows gives one row without cells,
-    a broken one a row with an error. The file scan already packs archives into
-    tasks by their size, so they are not shuffled.
+    a broken one a row with an error. With a folder ``scratch`` the unzipped
+    blocks are written there and read back, else archives are unzipped twice.
     """
-    return archives.select("path").mapInPandas(_parse_batches, CELLS)
+    unzipped = blocks.unzipped(archives, _open)
+    if scratch:
+        unzipped.write.mode("overwrite").options(**BLOCK_FILES).parquet(scratch)
+        unzipped = archives.sparkSession.read.schema(blocks.BLOCKS).parquet(scratch)
+    return blocks.parsed(unzipped)
 
 
 def ingest(spark: SparkSession, folder: str, target: str, split_archive: str = fv.SPLIT_ARCHIVE) -> DataFrame:
-    """Rebuild all tables under ``target`` from the archives in ``folder``.
+    """Rebuild all tables from the archives in ``folder`` and publish them below ``target``.
 
-    Writes one Parquet table per archive, the summary and detail tables of the
-    payment sheet, the catalog ``table_index`` and the list ``ingest_errors`` of
-    archives left out. Returns the catalog.
+    A build holds one Parquet table per archive, the summary and detail tables
+    of the payment sheet, the catalog ``table_index`` and the list
+    ``ingest_errors`` of archives left out. Rows and missing values are counted
+    while the tables are written and stand in the manifest. Returns the catalog.
     """
     target = target.rstrip("/")
+    build = published.new_build(target)
     archives = list_archives(spark, folder)
-    staged = _staged_cells(archives, f"{target}/_cells")
+    staged = _staged_cells(archives, f"{build}/_cells", f"{build}/_blocks")
     # one row per archive: header, first error
     outcome = staged.groupBy("path").agg(
         F.first("header", ignorenulls=True).alias("header"), F.max("error").alias("error")
@@ -69,8 +71,8 @@ def ingest(spark: SparkSession, folder: str, target: str, split_archive: str = f
     # of archives that claim the same table the first by name is taken
     owners = named.groupBy("table_name").agg(F.min("file_name").alias("file_name"))
     catalog = named.join(owners, ["table_name", "file_name"], "left_semi")
-    catalog.write.mode("overwrite").parquet(f"{target}/table_index")
-    stored = spark.read.parquet(f"{target}/table_index")
+    catalog.write.parquet(f"{build}/table_index")
+    stored = spark.read.parquet(f"{build}/table_index")
 
     failed = outcome.where(F.col("error").isNotNull()).select("path", "error")
     # a derived table counts like an archive of its own
@@ -78,38 +80,40 @@ def ingest(spark: SparkSession, folder: str, target: str, split_archive: str = f
     shadowed = readable.join(lost, "file_name").select(
         "path", F.concat(F.lit("another archive has the same table name: "), "table_name").alias("error")
     )
-    failed.unionByName(shadowed).write.mode("overwrite").parquet(f"{target}/ingest_errors")
+    failed.unionByName(shadowed).write.parquet(f"{build}/ingest_errors")
 
     # one job per table, as every sheet has columns of its own; a few run side by side
     sheets = stored.where(F.col("part") == "all").join(readable, "file_name")
 
-    def write_table(row: Row) -> None:
+    def write_table(row: Row) -> tuple[str, dict]:
         cells = staged.where(F.col("archive") == _archive_key(row["path"])).where(F.col("cells").isNotNull())
         table = _by_project(typed_columns(cells, row["header"]))
-        table.write.mode("overwrite").parquet(f"{target}/{row['table_name']}")
+        return row["table_name"], _written(table, f"{build}/{row['table_name']}")
 
     with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-        list(pool.map(write_table, sheets.select("path", "header", "table_name").toLocalIterator()))
+        counts = dict(pool.map(write_table, sheets.select("path", "header", "table_name").toLocalIterator()))
     for row in stored.where(F.col("part") != "all").toLocalIterator():
-        _write_part(spark, target, row["table_name"], row["part"])
-    _drop_leftovers(spark, target, {row["table_name"] for row in stored.select("table_name").toLocalIterator()})
+        counts[row["table_name"]] = _write_part(spark, build, row["table_name"], row["part"])
+    published.drop_folder(spark, f"{build}/_cells")
+    published.drop_folder(spark, f"{build}/_blocks")
+    published.publish(spark, target, build, {"counts": counts})
+    published.tidy(spark, target)
     return stored
 
 
-def _drop_leftovers(spark: SparkSession, target: str, tables: set[str]) -> None:
-    """Remove the staged cells, and tables of archives that are no longer there."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(target)
-    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in store.listStatus(root):
-        name = status.getPath().getName()
-        if name == "_cells" or (name.startswith(fv.TABLE_PREFIX) and name not in tables):
-            store.delete(status.getPath(), True)
+def _written(table: DataFrame, path: str) -> dict:
+    """Write a table; its number of rows and of missing values per column, counted on the way."""
+    seen = Observation()
+    nulls = [F.count_if(F.col("`" + c.replace("`", "``") + "`").isNull()).alias(f"n{i}") for i, c in enumerate(table.columns)]
+    table.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls).write.parquet(path)
+    found = seen.get
+    return {"rows": found["rows"], "nulls": {c: found[f"n{i}"] for i, c in enumerate(table.columns)}}
 
 
-def _staged_cells(archives: DataFrame, path: str) -> DataFrame:
+def _staged_cells(archives: DataFrame, path: str, scratch: str) -> DataFrame:
     """The parsed archives as a written table, one folder per archive."""
-    cells = read_archives(archives).withColumn("archive", F.concat(F.lit("a"), F.md5("path")))
-    writer = cells.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+    cells = read_archives(archives, scratch).withColumn("archive", F.concat(F.lit("a"), F.md5("path")))
+    writer = cells.write.option("maxRecordsPerFile", ROWS_PER_FILE)
     writer.partitionBy("archive").parquet(path)
     return archives.sparkSession.read.parquet(path)
 
@@ -118,14 +122,13 @@ def _archive_key(path: str) -> str:
     return "a" + hashlib.md5(path.encode()).hexdigest()
 
 
-def _write_part(spark: SparkSession, target: str, table_name: str, part: str) -> None:
+def _write_part(spark: SparkSession, build: str, table_name: str, part: str) -> dict:
     suffix = fv.SUMMARY_TABLE_SUFFIX if part == "summary" else fv.DETAIL_TABLE_SUFFIX
-    whole = spark.read.parquet(f"{target}/{table_name.removesuffix(suffix)}")
+    whole = spark.read.parquet(f"{build}/{table_name.removesuffix(suffix)}")
     amount = next(c for c, short in fv.SPEND_COLUMNS.items() if short == "amount")
     rows = whole.withColumn(amount, to_number(F.col(f"`{amount}`")))
     missing = F.col(f"`{amount}`").isNull()
-    kept = _by_project(rows.where(missing if part == "summary" else ~missing))
-    kept.write.mode("overwrite").parquet(f"{target}/{table_name}")
+    return _written(_by_project(rows.where(missing if part == "summary" else ~missing)), f"{build}/{table_name}")
 
 
 def _by_project(table: DataFrame) -> DataFrame:
@@ -134,57 +137,6 @@ def _by_project(table: DataFrame) -> DataFrame:
     return table.sortWithinPartitions(f"`{project}`") if project in table.columns else table
 
 
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path in batch["path"]:
-            try:
-                yield from _parse_archive(path)
-            except Exception as error:  # the other archives go on
-                yield _rows(path, None, [None], f"{type(error).__name__}: {error}")
-
-
-def _parse_archive(path: str) -> Iterator[pd.DataFrame]:
-    with _open(path) as raw, zipfile.ZipFile(raw) as archive:
-        member = archive.namelist()[0]
-        encoding = _encoding(archive, member)
-        with archive.open(member) as data:
-            seen = False
-            for part in pd.read_csv(data, encoding=encoding, dtype=str, chunksize=ROWS_PER_BATCH):
-                header = [str(c) for c in part.columns]
-                cells = part.astype(object).where(part.notna(), None).values.tolist()
-                yield _rows(path, header, cells or [None], None)
-                seen = True
-            if not seen:
-                raise ValueError("no rows")
-
-
-def _encoding(archive: zipfile.ZipFile, member: str) -> str:
-    """The first encoding that reads the whole member."""
-    for encoding in ENCODINGS:
-        decoder = codecs.getincrementaldecoder(encoding)()
-        try:
-            with archive.open(member) as data:
-                while block := data.read(DECODE_BYTES):
-                    decoder.decode(block)
-                decoder.decode(b"", final=True)
-            return encoding
-        except UnicodeDecodeError:
-            continue
-    raise ValueError(f"not readable as {' or '.join(ENCODINGS)}")
-
-
-def _rows(path: str, header: list[str] | None, cells: list, error: str | None) -> pd.DataFrame:
-    """Rows of one batch; the header stands in the first row only."""
-    return pd.DataFrame(
-        {
-            "path": [path] * len(cells),
-            "header": [header] + [None] * (len(cells) - 1),
-            "cells": cells,
-            "error": [error] * len(cells),
-        }
-    )
-
-
 @contextmanager
 def _open(path: str):
     """A seekable file on local disk or on any store Arrow can reach."""

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 
 from spendlens.functions import fixed_values as fv
 from spendlens.operators.skew import numbered
+from spendlens.sources import published
 from spendlens.sources.inference import as_text, inferred_types, union_all
 
 # --- fixed values: type names of the schema document --------------------------
@@ -99,8 +100,8 @@ def table_catalog(archives: DataFrame, split_archive: str = fv.SPLIT_ARCHIVE) ->
 
 
 def register_views(spark: SparkSession, target: str) -> list[str]:
-    """Temp views under their human names over the written tables; returns the names."""
-    target = target.rstrip("/")
+    """Temp views under their human names over the tables of the current build; returns the names."""
+    target = published.current(spark, target)
     names = []
     catalog = spark.read.parquet(f"{target}/table_index").orderBy("view_name")
     for row in catalog.select("table_name", "view_name").toLocalIterator():
@@ -154,8 +155,16 @@ def row_counts(views: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def stored_counts(spark: SparkSession, target: str) -> DataFrame:
+    """(table_name, column_name, row_count, null_count) of the current build, as counted when it was written."""
+    counts = published.manifest(spark, target).get("counts", {})
+    rows = [(table, c, n["rows"], nulls) for table, n in sorted(counts.items()) for c, nulls in n["nulls"].items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, row_count bigint, null_count bigint")
+
+
 def verify(spark: SparkSession, catalog: DataFrame, target: str) -> DataFrame:
-    """Row counts of all cataloged tables; a table that cannot be read has status MISSING."""
+    """Row counts of all cataloged tables of the current build; a table that cannot be read has status MISSING."""
+    target = published.current(spark, target)
     schema = "view_name string, row_count bigint, status string"
     parts = []
     for row in catalog.orderBy("view_name").toLocalIterator():

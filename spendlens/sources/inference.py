@@ -69,7 +69,7 @@ def typed_columns(cells: DataFrame, header: Sequence[str]) -> DataFrame:
 
 
 def _convert(name: str, kind: str) -> Column:
-    text = F.col(f"`{name}`")
+    text = F.col("`" + name.replace("`", "``") + "`")
     if kind == "BIGINT":
         return F.trim(text).try_cast("bigint")
     if kind == "DOUBLE":

@@ -9,7 +9,7 @@ import pytest
 from spendlens.functions import fixed_values as fv
 from spendlens.operators import balance, documents, dossier, flows, lookup, quality, reconcile
 from spendlens.plans.fixtures import load
-from spendlens.sources import archives, catalog
+from spendlens.sources import archives, catalog, published
 from tests.helpers import tuples
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -31,7 +31,7 @@ def worlds(spark, tmp_path_factory):
         with zipfile.ZipFile(folder / f"{number}_XX_2024_{view}.zip", "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr("sheet.csv", sheet.to_csv(index=False))
     archives.ingest(spark, str(folder), target)
-    assert spark.read.parquet(f"{target}/ingest_errors").count() == 0
+    assert spark.read.parquet(f"{published.current(spark, target)}/ingest_errors").count() == 0
     catalog.register_views(spark, target)
     names = [*SHEETS.values(), "spend_summary", "spend_detail"]
     ingested = {name: catalog.sheet(spark, name) for name in names}

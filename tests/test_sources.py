@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spendlens.functions import fixed_values as fv
 from spendlens.operators import balance
 from spendlens.plans.sql_report import run_sql, run_sql_file
-from spendlens.sources import archives, catalog, inference, sinks
+from spendlens.sources import archives, catalog, inference, published, sinks
 from tests.helpers import tuples
 
 SPEND_CSV = """予算事業ID,事業名,府省庁,支出先ブロック番号,ブロックの合計支出額,支出先名,法人番号,契約概要,金額
@@ -63,13 +63,13 @@ def test_catalog_of_archives(ingested):
 
 def test_archives_left_out_are_listed(spark, ingested):
     _, target = ingested
-    errors = {p.split("/")[-1][:6]: e for p, e in tuples(spark.read.parquet(f"{target}/ingest_errors"), "path", "error")}
+    errors = {p.split("/")[-1][:6]: e for p, e in tuples(spark.read.parquet(f"{published.current(spark, target)}/ingest_errors"), "path", "error")}
     assert set(errors) == {"9-1_XX", "9-2_XX", "9-4_XX", "1-2_YY"}
     assert "BadZipFile" in errors["9-2_XX"] and "shift_jis" in errors["9-4_XX"] and "same table" in errors["1-2_YY"]
 
 
 def test_types_and_cells(spark, ingested):
-    _, target = ingested
+    target = published.current(spark, ingested[1])
     spend = spark.read.parquet(f"{target}/tbl_5_1")
     kinds = dict(spend.dtypes)
     assert (kinds["予算事業ID"], kinds["法人番号"], kinds["金額"], kinds["契約概要"]) == ("bigint", "double", "string", "string")
@@ -82,7 +82,7 @@ def test_types_and_cells(spark, ingested):
 
 
 def test_split_tables_hold_every_row_once(spark, ingested):
-    _, target = ingested
+    target = published.current(spark, ingested[1])
     summary, detail = (spark.read.parquet(f"{target}/tbl_5_1_{p}") for p in ("summary", "details"))
     assert sorted(tuples(detail, "金額")) == [(5.0,), (90.0,)]
     assert summary.count() == 2 and summary.where(F.col("金額").isNotNull()).count() == 0
