@@ -32,31 +32,33 @@ def expand(df: DataFrame, copies: str = COPIES, index: str | None = None, spread
     """``copies`` rows for each row, optionally with their number from 0.
 
     Works chunk by chunk so that no array grows with the number of copies. With
-    ``spread`` the chunks of rows that have more than one go to different tasks;
-    all other rows are unfolded where they are.
+    ``spread`` one shuffle of the chunks deals those of a row to different tasks.
     """
-    if spread:
-        few = expand(df.where(F.col(copies) <= CHUNK), copies, index)
-        return few.unionByName(_expand(df.where(F.col(copies) > CHUNK), copies, index, spread=True))
-    return _expand(df, copies, index, spread=False)
-
-
-def _expand(df: DataFrame, copies: str, index: str | None, spread: bool) -> DataFrame:
-    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / F.lit(CHUNK)))
-    out = df.where(F.col(copies) > 0).withColumn("_chunk", F.explode(chunks))
+    out = _chunks(df, copies)
     if spread:
         plain = [c for c, kind in df.dtypes if not kind.startswith(("array", "map", "struct"))]
         out = out.repartition(*plain, "_chunk")
+    return _copies(out, copies, index)
+
+
+def _chunks(df: DataFrame, copies: str) -> DataFrame:
+    """One row per chunk of copies."""
+    last = F.floor((F.col(copies) - 1) / F.lit(CHUNK))
+    return df.where(F.col(copies) > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+
+
+def _copies(chunks: DataFrame, copies: str, index: str | None) -> DataFrame:
     first = F.col("_chunk") * F.lit(CHUNK)
     last = F.least(first + F.lit(CHUNK), F.col(copies)) - 1
-    out = out.withColumn("_copy", F.explode(F.sequence(first, last))).drop("_chunk", copies)
+    out = chunks.withColumn("_copy", F.explode(F.sequence(first, last))).drop("_chunk", copies)
     return out.withColumnRenamed("_copy", index) if index else out.drop("_copy")
 
 
 def expand_sorted(df: DataFrame, order: Sequence[Column], copies: str = COPIES) -> DataFrame:
-    """``expand`` in a global order. The copy number is the last sort key, so the
-    sort can cut a long run of copies into several partitions."""
-    return expand(df, copies, index="_no", spread=True).orderBy(*order, "_no").drop("_no")
+    """``expand`` in a global order. Chunks are sorted, not copies: their number is
+    the last sort key, so the sort can cut a long run of copies into several
+    partitions, and copies are unfolded where they then stand."""
+    return _copies(_chunks(df, copies).orderBy(*order, "_chunk"), copies, None)
 
 
 def spread_join(

@@ -1,6 +1,7 @@
 """Plans: no products of tables, filters and columns reach the scans, Python only where it must be."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from spendlens.operators import balance, lookup
 from spendlens.plans import registry
@@ -8,7 +9,7 @@ from spendlens.plans.fixtures import load
 from tests.conftest import SF_DIR
 
 QUERIES = registry.queries()
-PYTHON = {"embed_documents", "vector_store_rows", "ask_documents", "ask_top_payees"}
+PYTHON = {"embed_documents", "vector_store_rows", "ask_documents", "ask_questions", "ask_top_payees", "knn_questions"}
 
 
 def plan(df):
@@ -47,3 +48,23 @@ def test_negative_parts_reach_the_scan(spark, tmp_path):
 def test_top_k_keeps_no_total_order(spark):
     text = plan(balance.rate_gap_top(*load(spark, SF_DIR, "fx_budget", "fx_spend")))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def test_unfolding_plans_its_input_once(spark):
+    """Each source below an expand is scanned once, and a sorted one is shuffled for the sort only."""
+    from spendlens.operators.skew import COPIES, expand, expand_sorted
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    folded = spark.range(10).select("id", F.lit(3).cast("long").alias(COPIES)).toDF("id", COPIES)
+    assert plan(expand(folded, spread=True)).count("Range (0, 10") == 1
+    sorted_rows = plan(expand_sorted(folded, [F.col("id").desc()]))
+    assert sorted_rows.count("Range (0, 10") == 1 and sorted_rows.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("name, table, most", [("rag_documents", "lineitem", 1), ("keyword_projects", "orders", 1), ("execution_rates", "orders", 1)])
+def test_headline_queries_scan_their_large_table_once(spark, name, table, most):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    key = {"lineitem": "l_linenumber", "orders": "o_totalprice"}[table]
+    assert sum(line.count(key) > 0 for line in plan.splitlines() if "Relation" in line) <= most
