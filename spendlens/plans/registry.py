@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +16,7 @@ from spendlens.operators.knn_join import knn_join
 from spendlens.plans.fixtures import VIEWS, load
 from spendlens.plans.sql_report import run_sql
 from spendlens.session import apply_settings
-from spendlens.sources import catalog
+from spendlens.sources import catalog, embedding_store, published
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +30,8 @@ SPLIT_ARCHIVE = "red_widget.zip"
 VOLUME, RATE_CUT = 40_000_000.0, 10.0
 MIN_FLOW = 50_000.0
 SEED = 7
+TEXTS = ("fx_spend_detail", "fx_org", "fx_overview")
+STORE_TABLES = ("lineitem", "orders", "customer", "supplier", "part")  # below these views
 QUESTION = "red widget contracts of an ECONOMY project"
 SCENARIOS = [
     {
@@ -130,13 +134,36 @@ def _embedded(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFra
     return documents.embed(distinct).select("document", _vector_text().alias("vector"), "embedder")
 
 
-def _store(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
-    return documents.vector_store_rows(documents.folded_documents(detail, org, overview))
+def store_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector store of a folder's tables: built and published once, then read as long as the tables stay the same.
+
+    Vectors come from a store of their own, shared by all folders.
+    """
+    apply_settings(spark)
+    tables = {t: published.state_of(spark, f"{sf_dir}/{t}.parquet") for t in STORE_TABLES}
+    key = hashlib.md5(json.dumps([sf_dir, tables]).encode()).hexdigest()
+    place = published.scratch(spark, f"store-{key}")
+    if not published.is_published(spark, place):
+        kept = embedding_store.kept_vectors(published.scratch(spark, "vectors"))
+        folded = documents.folded_documents(*load(spark, sf_dir, *TEXTS))
+        build = published.new_build(place)
+        documents.vector_store_rows(folded, embedded=kept).write.parquet(build)
+        published.publish(spark, place, build)
+    return spark.read.parquet(published.current(spark, place))
+
+
+def _from_store(function: Callable[..., DataFrame], *inputs: str) -> Query:
+    """A query that applies a function to the stored vectors and views."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(store_of(spark, sf_dir), *load(spark, sf_dir, *inputs))
+
+    return query
 
 
-def _store_rows(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
+def _store_rows(store: DataFrame) -> DataFrame:
     """Store rows with the whole vector as text."""
-    return _store(detail, org, overview).withColumn("vector", _vector_text()).drop("embedding")
+    return store.withColumn("vector", _vector_text()).drop("embedding")
 
 
 def _schema_document(views: dict[str, DataFrame]) -> DataFrame:
@@ -150,21 +177,20 @@ def _prompts(overview: DataFrame) -> DataFrame:
     return overview.select("project_id", audit.audit_prompt().alias("prompt"))
 
 
-def _answer(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
-    hits = retrieval.ask(_store(detail, org, overview), QUESTION)
+def _answer(store: DataFrame) -> DataFrame:
+    hits = retrieval.ask(store, QUESTION)
     return hits.select("doc_id", "project_id", "document", F.round("distance", 6).alias("distance"))
 
 
-def _answers(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
+def _answers(store: DataFrame, overview: DataFrame) -> DataFrame:
     """The outlines of all projects as questions."""
     questions = overview.select(F.col("outline").alias("question_id"), F.col("outline").alias("question")).distinct()
-    hits = retrieval.ask_many(_store(detail, org, overview), questions)
+    hits = retrieval.ask_many(store, questions)
     return hits.select("question_id", "rank", "doc_id", "project_id", F.round("distance", 6).alias("distance"))
 
 
-def _answer_payees(detail: DataFrame, org: DataFrame, overview: DataFrame) -> DataFrame:
-    hits = retrieval.ask(_store(detail, org, overview), QUESTION)
-    return retrieval.retrieved_top_payees(detail, hits)
+def _answer_payees(store: DataFrame, detail: DataFrame) -> DataFrame:
+    return retrieval.retrieved_top_payees(detail, retrieval.ask(store, QUESTION))
 
 
 def _over_views(function: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
@@ -244,7 +270,6 @@ def _parsed(events: DataFrame) -> DataFrame:
 def queries() -> dict[str, Query]:
     words = {"name_words": NAME_WORDS, "purpose_words": PURPOSE_WORDS}
     balances = ("fx_budget", "fx_spend")
-    texts = ("fx_spend_detail", "fx_org", "fx_overview")
     return {
         # tables and catalog
         "scan_limit": _on(lookup.scan_limit, "fx_spend"),
@@ -310,16 +335,16 @@ def queries() -> dict[str, Query]:
         "fund_flow_edges": _on(flows.fund_flow_edges, "fx_spend_detail", min_value=MIN_FLOW),
         "agent_flow": _on(flows.agent_flow, "fx_budget", "fx_spend", "fx_block_edges"),
         # documents, vectors, retrieval
-        "rag_documents": _on(documents.rag_documents, *texts),
-        "embed_documents": _on(_embedded, *texts),
-        "vector_store_rows": _on(_store_rows, *texts),
+        "rag_documents": _on(documents.rag_documents, *TEXTS),
+        "embed_documents": _on(_embedded, *TEXTS),
+        "vector_store_rows": _from_store(_store_rows),
         "knn_top10": _on(_nearest, "embeddings"),
         "knn_questions": _on(_questions, "embeddings"),
         "knn_context": _on(_context, "embeddings"),
         "retrieved_top_payees": _on(_retrieved_payees, "embeddings", "fx_spend_detail"),
-        "ask_documents": _on(_answer, *texts),
-        "ask_questions": _on(_answers, *texts),
-        "ask_top_payees": _on(_answer_payees, *texts),
+        "ask_documents": _from_store(_answer),
+        "ask_questions": _from_store(_answers, "fx_overview"),
+        "ask_top_payees": _from_store(_answer_payees, "fx_spend_detail"),
         # audit and reports
         "audit_sample_ministry": _on(
             audit.audit_selection, "fx_spend_detail", ministry="MACHINERY", sample_size=100, seed=SEED

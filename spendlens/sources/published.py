@@ -9,8 +9,10 @@ readers that still use it.
 from __future__ import annotations
 
 import json
+import tempfile
 import time
 import uuid
+from functools import lru_cache
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -96,6 +98,42 @@ def current(spark: SparkSession, root: str) -> str:
     return f"{root.rstrip('/')}/builds/{manifest(spark, root)['build']}"
 
 
+def every(spark: SparkSession, root: str) -> list[str]:
+    """The folders of all published builds, for tables that grow by builds instead of being replaced."""
+    root = root.rstrip("/")
+    store = _Store(spark, root)
+    return [f"{root}/builds/{json.loads(store.read(f'{root}/published/{name}'))['build']}" for name in _manifests(store, root)]
+
+
+def is_published(spark: SparkSession, root: str) -> bool:
+    return bool(_manifests(_Store(spark, root), root.rstrip("/")))
+
+
+def state_of(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names and times of the files of a table, one file or a folder: changes when the table does."""
+    store = _Store(spark, path)
+    return sorted(store.names(path).items())
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder for tables that a session keeps for itself, below spark.checkpoint.dir.
+
+    Only a local session without that setting gets a folder of its own.
+    """
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = _local_folder()
+    return f"{folder.rstrip('/')}/{context.applicationId}/{name}"
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="kept-")
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     _Store(spark, folder).delete(folder)
 
