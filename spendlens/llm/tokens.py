@@ -51,6 +51,9 @@ class Encoder:
 
     def _piece(self, key: str) -> bytes:
         """Ids of a remembered piece: a line end or a null character in front stands for itself or for nothing."""
+        if key.isalpha() and (key.isascii() or _PLAIN.fullmatch(key)):  # a word behind a space: the pattern cuts nothing
+            shown = (" " + key).encode().decode("latin-1").translate(self.letters)
+            return array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
         text = key if key[0] == "\n" else key[1:] if key[0] == "\x00" else " " + key
         if not _PLAIN.fullmatch(text):
             return self.whole(text)
