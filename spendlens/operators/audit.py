@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
+from dataclasses import dataclass
 from typing import Any, Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 from pyspark.sql.types import StringType, StructField, StructType
 
 from spendlens.functions.columns import first_asc, first_desc
-from spendlens.operators.lookup import sample_rows
-from spendlens.operators.skew import collapse
+from spendlens.operators.lookup import sample_key, sample_rows
+from spendlens.operators.skew import COPIES, collapse, expand
 
 SORT_COLUMNS = ("amount", "bid_rate")
 AUDIT_COLUMNS = ("project_name", "outline", "amount", "ministry")
@@ -115,21 +116,66 @@ def audit_score(selection: DataFrame, scorer: Scorer | None = None) -> DataFrame
     return scored.orderBy(*first_asc("score", *selection.columns))
 
 
+@dataclass(frozen=True)
+class _Step:
+    """What ``audit_selection`` takes, for one step of a scenario."""
+
+    ministry: str | None = None
+    sort_by: str | None = None
+    top_n: int | None = None
+    sample_size: int = 100
+    seed: int = 0
+
+    @property
+    def rows(self) -> int:
+        return self.top_n or self.sample_size
+
+    def takes(self) -> Column:
+        return F.lit(True) if self.ministry is None else F.coalesce(F.col("ministry") == F.lit(self.ministry), F.lit(False))
+
+    def order(self, rows: DataFrame) -> tuple[Column, Column]:
+        """The value to sort by, largest first, and the random key, smallest first; one of them is null."""
+        if not self.top_n:
+            return F.lit(None).cast("double"), sample_key(rows, AUDIT_COLUMNS, "_no", self.seed)
+        by = F.col(self.sort_by).cast("double") if self.sort_by in SORT_COLUMNS else F.lit(None).cast("double")
+        return by, F.lit(None).cast("string")
+
+
+
 def scenario_report(detail: DataFrame, scenarios: Sequence[dict[str, Any]]) -> DataFrame:
     """The selections of all steps of all scenarios, tagged with scenario and step.
 
     A scenario is {"scenario_name", "steps": [{"description", "params"}]};
-    ``params`` are those of ``audit_selection``.
+    ``params`` are those of ``audit_selection``. All steps share one pass: every
+    row is tested against each of them, every task keeps the first rows of each
+    step, and one shuffle of these few rows decides.
     """
-    frames = []
-    for scenario in scenarios:
-        for step in scenario.get("steps", []):
-            chosen = audit_selection(detail, **step.get("params", {}))
-            frames.append(
-                chosen.select(
-                    F.lit(scenario["scenario_name"]).alias("scenario"),
-                    F.lit(step["description"]).alias("step"),
-                    *AUDIT_COLUMNS,
-                )
-            )
-    return reduce(DataFrame.unionByName, frames)
+    steps = [
+        (scenario["scenario_name"], step["description"], _Step(**step.get("params", {})))
+        for scenario in scenarios
+        for step in scenario.get("steps", [])
+    ]
+    usable = detail.where(F.col("project_name").isNotNull() & F.col("outline").isNotNull())
+    if not steps:
+        return usable.limit(0).select(F.lit("").alias("scenario"), F.lit("").alias("step"), *AUDIT_COLUMNS)
+    if all(step.ministry is not None for *_, step in steps):
+        usable = usable.where(F.col("ministry").isin(sorted({step.ministry for *_, step in steps})))
+    more = [c for c in SORT_COLUMNS if c not in AUDIT_COLUMNS and any(step.top_n and step.sort_by == c for *_, step in steps)]
+    folded = collapse(usable, [*AUDIT_COLUMNS, *more])
+    before = F.lit(0).cast("long")
+    if more:  # copies are numbered over all rows that are equal in what a sample shows
+        others = Window.partitionBy(*AUDIT_COLUMNS).orderBy(*more).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum(COPIES).over(others), before)
+    rows = expand(folded.withColumn("_before", before), index="_no", spread=True).withColumn("_no", F.col("_no") + F.col("_before"))
+    tests = []
+    for number, (_, _, step) in enumerate(steps):
+        by, key = step.order(rows)
+        tests.append(F.when(step.takes(), F.struct(F.lit(number).alias("number"), by.alias("by"), key.alias("key"))))
+    asked = rows.withColumn("_asked", F.explode(F.filter(F.array(*tests), lambda t: t.isNotNull()))).select("*", "_asked.*")
+    order = [F.desc_nulls_last("by"), F.asc_nulls_last("key"), *first_asc(*AUDIT_COLUMNS)]
+    place = F.row_number().over(Window.partitionBy("number").orderBy(*order))
+    most = max(step.rows for *_, step in steps)
+    first = asked.withColumn("place", place).where(F.col("place") <= most)
+    names = F.array(*[F.struct(F.lit(a).alias("scenario"), F.lit(b).alias("step"), F.lit(step.rows).alias("rows")) for a, b, step in steps])
+    named = first.withColumn("_step", F.get(names, F.col("number"))).where("place <= _step.rows")
+    return named.select("_step.scenario", "_step.step", *AUDIT_COLUMNS)

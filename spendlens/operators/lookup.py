@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.functions import fixed_values as fv
@@ -128,6 +128,11 @@ def contracts_with_names(detail: DataFrame, org: DataFrame) -> DataFrame:
     )
 
 
+def sample_key(df: DataFrame, columns: Sequence[str], number: str, seed: int) -> Column:
+    """A row's key in a random sample, from its values and the number of the copy."""
+    return F.md5(identity_text(df, columns, extra=[F.col(number), F.lit(seed)]))
+
+
 def sample_rows(folded: DataFrame, n: int, seed: int) -> DataFrame:
     """n random rows of a folded table, the same for every partitioning.
 
@@ -135,7 +140,7 @@ def sample_rows(folded: DataFrame, n: int, seed: int) -> DataFrame:
     """
     columns = [c for c in folded.columns if c != COPIES]
     drawn = expand(folded, index="_no", spread=True)
-    key = F.md5(identity_text(drawn, columns, extra=[F.col("_no"), F.lit(seed)]))
+    key = sample_key(drawn, columns, "_no", seed)
     return drawn.withColumn("_key", key).orderBy("_key", *first_asc(*columns)).limit(n).select(*columns)
 
 

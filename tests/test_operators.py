@@ -434,3 +434,31 @@ def test_keyword_queries_start_no_job_while_they_are_built(spark):
     lines = budget(spark, [(1, "road", 5.0)])
     lookup.keyword_projects(overview(spark, [(1, "road", "m", "p", "o")]), org(spark, [(1, "road", "m", 0)]), lines, ["road"], [])
     assert spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs() == before
+
+
+def test_scenario_steps_share_one_pass(spark):
+    """The rows of every step as ``audit_selection`` gives them, from one scan, with copies and a sort column that is not shown."""
+    rows = []
+    for i in range(400):
+        rows.append({
+            "project_id": i % 9, "project_name": None if i % 31 == 0 else f"p{i % 9}", "ministry": ["m", "n", None][i % 3], "payee": "x",
+            "outline": f"o{i % 5}", "amount": float(i % 7) if i % 11 else None, "bid_rate": float(i % 13),
+        })
+    rows += [rows[1]] * 60
+    detail = spend(spark, rows)
+    params = [
+        {"ministry": "m", "sample_size": 20, "seed": 3}, {"sample_size": 15}, {"sort_by": "amount", "top_n": 30},
+        {"sort_by": "bid_rate", "top_n": 10, "ministry": "n"}, {"sort_by": "payee", "top_n": 5}, {"ministry": "none"}, {},
+    ]
+    steps = [{"description": str(i), "params": p} for i, p in enumerate(params)]
+    report = audit.scenario_report(detail, [{"scenario_name": "a", "steps": steps[:4]}, {"scenario_name": "b", "steps": steps[4:]}])
+    got = {}
+    for scenario, step, *row in tuples(report):
+        got.setdefault((scenario, int(step)), []).append(tuple(row))
+    for i, p in enumerate(params):
+        want = tuples(audit.audit_selection(detail, **p))
+        assert sorted(map(str, got.get(("a" if i < 4 else "b", i), []))) == sorted(map(str, want)), p
+    plan = audit.scenario_report(detail, [{"scenario_name": "a", "steps": steps}])._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("LogicalRDD") == 1
+    assert plan.executedPlan().toString().count("WindowGroupLimit") == 2  # per task, and over all
+    assert audit.scenario_report(detail, [{"scenario_name": "none"}]).collect() == []
