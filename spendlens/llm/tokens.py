@@ -20,7 +20,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = 250_000  # remembered in each of two generations
 
 # runs of white space, or any but a space or line end, join what stands beside them
-_UNUSUAL = re.compile(r"\s\s|[^\S \n]|[\x00\x1c-\x1f\x85]|<\|")
+_RUNS = ("  ", " \n", "\n ", "\n\n", "<|")
+_OTHER_SPACE = re.compile("[\x00\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _PLAIN = re.compile(r"[\n\x20-\x7e¡-ſ]+")
 
 
@@ -66,18 +67,23 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if text[0] in " \n" or text[-1] in " \n" or _UNUSUAL.search(text):
+        if text[0] in " \n" or text[-1] in " \n" or any(run in text for run in _RUNS) or _OTHER_SPACE.search(text):
             return self.whole(text)
         pieces = text.replace("\n", " \n").split(" ")
         pieces[0] = "\x00" + pieces[0]
-        young = self.young
-        for key in set(pieces).difference(young):
+        ids = list(map(self.young.get, pieces))
+        if None in ids:
+            ids = [self._remembered(key) if found is None else found for key, found in zip(pieces, ids)]
+        if len(self.young) > PIECES:
+            self.old, self.young = self.young, {}
+        return b"".join(ids)
+
+    def _remembered(self, key: str) -> bytes:
+        found = self.young.get(key)
+        if found is None:
             found = self.old.get(key)
-            young[key] = self._piece(key) if found is None else found
-        ids = b"".join(map(young.__getitem__, pieces))
-        if len(young) > PIECES:
-            self.old, self.young = young, {}
-        return ids
+            self.young[key] = found = self._piece(key) if found is None else found
+        return found
 
 
 @lru_cache(maxsize=2)
