@@ -1,7 +1,9 @@
 """SimHash fingerprints and the search for close ones.
 
-The terms of a text are its runs of three words, and of four bytes in texts of fewer than FEW_WORDS words; a term's weight is one plus the logarithm of its count. Every term's
-hash votes with its weight on each of the BITS bits, and a bit is set where the votes are positive. Likeness of two
+The terms of a text are its runs of three words, and its runs of four bytes; a term's weight is one plus the logarithm
+of its count. Runs of bytes help texts of few words, where runs of words are too few to compare: their weight fades with
+every word and is gone at FEW_WORDS words, so texts of like length have like terms. Every term's hash votes with its
+weight on each of the BITS bits, and a bit is set where the votes are positive. Likeness of two
 fingerprints is the cosine that their share of different bits estimates, and 0 from a right angle on.
 
 Neighbours within a Hamming radius come from permuted block tables: the bits are cut into ``radius + keys`` blocks, and
@@ -31,7 +33,7 @@ from spendlens.session import apply_settings
 
 BITS = 128
 TERM_WORDS = 3
-FEW_WORDS = 12
+FEW_WORDS = 32
 RADIUS, KEYS = 3, 2
 BUCKET = 128  # ids in one bucket of the order
 
@@ -43,10 +45,10 @@ def fingerprints(values: list[bytes]) -> np.ndarray:
     terms, at = common.shingles(words, starts, TERM_WORDS)
     for i, value in enumerate(values):
         if at[i] < at[i + 1]:
-            own = terms[at[i] : at[i + 1]]
-            if starts[i + 1] - starts[i] < FEW_WORDS:  # too few terms to compare: runs of four bytes as well
-                own = np.concatenate([own, _byte_terms(value)])
-            out[i] = _vote(own)
+            votes, n_words = _votes(terms[at[i] : at[i + 1]]), int(starts[i + 1] - starts[i])
+            if n_words < FEW_WORDS:
+                votes += (1 - n_words / FEW_WORDS) * _votes(_byte_terms(value))
+            out[i] = np.packbits(votes > 0)
     return out
 
 
@@ -55,7 +57,7 @@ def _byte_terms(value: bytes) -> np.ndarray:
     return common.mix(sum(raw[k : len(raw) - 3 + k] << np.uint64(8 * k) for k in range(4)) + np.uint64(1) if len(raw) > 3 else raw[:0])
 
 
-def _vote(terms: np.ndarray) -> np.ndarray:
+def _votes(terms: np.ndarray) -> np.ndarray:
     distinct, counts = np.unique(terms, return_counts=True)
     weights = (1 + np.log(counts)).astype(np.float32)
     votes = np.zeros(BITS, dtype=np.float64)
@@ -65,7 +67,7 @@ def _vote(terms: np.ndarray) -> np.ndarray:
         bits = np.unpackbits(np.stack(halves, axis=1).view(np.uint8), axis=1)
         weight = weights[start : start + 65_536]
         votes += 2.0 * (weight @ bits.astype(np.float32)) - float(weight.sum(dtype=np.float64))
-    return np.packbits(votes > 0)
+    return votes
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

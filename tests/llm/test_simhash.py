@@ -77,3 +77,13 @@ def test_cases(spark):
     assert one["edited_sha256"] == hashlib.sha256(b"abc dab").hexdigest()
     rows = simhash.compared(documents(spark, [(3, "abc"), (3, "abc"), (None, "zz"), (-4, None)])).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in rows) == [(False, -4), (False, 3), (False, 3), (True, 0)]
+
+
+def test_one_word_more_is_a_small_step():
+    """Texts of every length are like themselves with one word more; no length is a border."""
+    steps = []
+    for n in range(6, 40):
+        texts = [prose(100 * n + i, n) for i in range(20)]
+        a, b = (simhash.fingerprints([t.encode() for t in x]) for x in (texts, [f"{t} more" for t in texts]))
+        steps.append(np.mean([simhash.likeness(x, y) for x, y in zip(a, b)]))
+    assert min(steps) > 0.8
