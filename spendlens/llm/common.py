@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -70,6 +70,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def set_apart(docs: DataFrame, used: list[str]) -> tuple[DataFrame, list[Column]]:
+    """The rows with all columns but the ``used`` ones under names no operator uses, and the columns as they were."""
+    names = {c: c if c in used else f"given {i}" for i, c in enumerate(docs.columns)}
+
+    def quoted(name: str) -> Column:
+        return F.col("`" + name.replace("`", "``") + "`")
+
+    return docs.select(*[quoted(c).alias(n) for c, n in names.items()]), [quoted(n).alias(c) for c, n in names.items()]
+
+
 def through_arrow(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str
 ) -> DataFrame:

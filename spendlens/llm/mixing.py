@@ -137,7 +137,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep_drawn(docs: DataFrame, powers: Mapping[str, float] = POWERS, seed: int = SEED, share: float | None = None) -> DataFrame:
     """The drawn rows with their own columns."""
-    return sampled(docs, powers=powers, seed=seed, share=share).where("_drawn").select(*docs.columns)
+    rows, given = common.set_apart(docs, ["doc_id", "text", "source", "lang"])
+    return sampled(rows, powers=powers, seed=seed, share=share).where("_drawn").select(*given)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

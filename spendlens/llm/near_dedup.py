@@ -469,9 +469,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that stay: one row of each group of near-duplicates, and rows without doc_id."""
-    kept_ids = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    stay = docs.where("doc_id IS NOT NULL").join(kept_ids, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return stay.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    rows, given = common.set_apart(docs, ["doc_id", "text"])
+    stay = near_duplicates(rows).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    one = rows.where("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.unionByName(rows.where("doc_id IS NULL")).select(*given)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

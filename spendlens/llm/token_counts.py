@@ -155,7 +155,7 @@ def maintained(docs: DataFrame, folder: str) -> DataFrame:
     Of equal texts the smallest doc_id stays, with all its rows; rows without doc_id stay. The second batch is sent
     twice, as after a lost reply.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.select("doc_id", "source", "lang", "text")
     rollup = Rollup(spark, folder)
     counts = common.kept(counted(docs))
     rollup.commit("1-all", inserts(counts))

@@ -312,7 +312,8 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, learn_docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that are not predicted toxic, with their own columns."""
-    return scored(docs, learn(learn_docs, labels)).where(F.col("_score") < THRESHOLD).drop("_score")
+    rows, given = common.set_apart(docs, ["text"])
+    return scored(rows, learn(learn_docs, labels)).where(F.col("_score") < THRESHOLD).select(*given)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ def with_clash(docs):
     """Extra columns whose names operators may use inside."""
     from pyspark.sql import functions as F
 
-    for name in ("doc", "component", "words", "score", "_score", "_n", "host", "key", "bucket", "row", "signature"):
+    for name in ("doc", "component", "words", "score", "_score", "_n", "host", "key", "bucket", "row", "signature", "_kept", "_factor", "_topic", "_gone", "_drawn", "given 0", "a.b"):
         docs = docs.withColumn(name, F.lit("x"))
     return docs
 

@@ -6,6 +6,7 @@ import corpus_pipeline
 from spendlens.llm import common, queries
 from tests.conftest import SF_DIR
 from tests.llm.test_decontaminate import brute as contaminated
+from tests.llm.small import with_clash
 from tests.llm.test_near_dedup import brute as duplicates
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -46,3 +47,11 @@ def test_stages_of_an_empty_table(spark, folder):
 
 def test_queries_are_registered():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
+
+
+def test_stages_keep_columns_whatever_their_names(spark, folder):
+    docs = with_clash(common.read(spark, folder, "documents"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = common.kept(stage(spark, docs, folder))
+        assert out.columns == docs.columns, name
+        assert out.count() and out.where("_score = 'x' AND _kept = 'x' AND _factor = 'x' AND _n = 'x' AND `a.b` = 'x'").count() == out.count()
