@@ -445,6 +445,26 @@ def oracle_sql() -> dict[str, str]:
                 JOIN blocks k ON t.project_id = k.project_id AND t.payee = k.payee
                 LEFT JOIN roles r ON k.project_id = r.project_id AND k.block_no = r.block_no
                 LEFT JOIN edges e ON k.project_id = e.project_id AND k.block_no = e.src_block""",
+        "onward_flow": f"""
+            WITH ends AS (SELECT DISTINCT project_id, block_no, substr(block_no, 1, 1) AS kind FROM fx_spend),
+            edges AS (
+                SELECT project_id, src_block, dst_block FROM fx_block_edges WHERE src_block IS NOT NULL
+                UNION SELECT a.project_id, a.block_no, b.block_no FROM ends a JOIN ends b ON a.project_id = b.project_id
+                    AND (a.kind = 'N' AND b.kind = 'R' OR a.kind = 'R' AND b.kind = 'N' AND a.project_id % 7 = 0)),
+            paid AS (SELECT project_id, block_no, {_sum("amount")} AS paid FROM fx_spend WHERE amount > 0 GROUP BY ALL),
+            weights AS (
+                SELECT e.project_id, src_block, dst_block, coalesce(paid, 0) AS p, sum(coalesce(paid, 0)) OVER w AS total, count(*) OVER w AS n
+                FROM edges e LEFT JOIN paid p ON e.project_id = p.project_id AND e.dst_block = p.block_no
+                WINDOW w AS (PARTITION BY e.project_id, src_block)),
+            origins AS (SELECT project_id, block_no AS origin, {_sum("amount")} AS spend FROM fx_spend
+                WHERE amount IS NOT NULL GROUP BY ALL),
+            walk AS (WITH RECURSIVE w AS (
+                SELECT project_id, origin, origin AS block_no, 0 AS hops, CAST(1 AS DOUBLE) AS share FROM origins
+                UNION ALL SELECT w.project_id, w.origin, e.dst_block, w.hops + 1,
+                    w.share * CASE WHEN total > 0 THEN p / total ELSE 1.0 / n END
+                FROM w JOIN weights e ON w.project_id = e.project_id AND w.block_no = e.src_block WHERE w.hops < 4) SELECT * FROM w)
+            SELECT project_id, origin, block_no, hops, round(sum(share), 6) AS share, round(sum(share) * any_value(spend), 2) AS amount
+            FROM walk JOIN origins USING (project_id, origin) GROUP BY project_id, origin, block_no, hops""",
         "rag_documents": f"WITH {DOCUMENTS} SELECT * FROM documents_of",
         "embed_documents": f"""WITH {DOCUMENTS}, {_vectors("documents_of", "vectors")}
             SELECT document, {VECTOR_TEXT} AS vector, 'trigram-{DIM}' AS embedder FROM vectors""",

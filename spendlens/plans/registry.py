@@ -107,6 +107,16 @@ def _nearest(embeddings: DataFrame) -> DataFrame:
     return _hits(embeddings).select("vec_id", "label", F.round("distance", 6).alias("distance"))
 
 
+def _onward(spend: DataFrame, block_edges: DataFrame) -> DataFrame:
+    """Flow over the given edges, and from N to R blocks, in every seventh project also back: paths of many hops, and cycles."""
+    blocks = spend.select("project_id", "block_no").distinct()
+    ends = blocks.withColumn("kind", F.substring("block_no", 1, 1))
+    pairs = ends.alias("a").join(ends.alias("b"), "project_id").where("(a.kind = 'N' AND b.kind = 'R') OR (a.kind = 'R' AND b.kind = 'N' AND project_id % 7 = 0)")
+    more = pairs.select("project_id", F.col("b.block_no").alias("dst_block"), F.col("a.block_no").alias("src_block"))
+    found = flows.onward_flow(spend, block_edges.select("project_id", "dst_block", "src_block").union(more))
+    return found.withColumn("share", F.round("share", 6)).withColumn("amount", F.round("amount", 2))
+
+
 def _questions(embeddings: DataFrame) -> DataFrame:
     """Every vector asks for its nearest others."""
     found = knn_join(embeddings, embeddings.withColumnRenamed("vec_id", "question_id"), "vec_id", "question_id", skip_own=True)
@@ -334,6 +344,7 @@ def queries() -> dict[str, Query]:
         "dossier_flatten": _over_views(_flatten),
         "fund_flow_edges": _on(flows.fund_flow_edges, "fx_spend_detail", min_value=MIN_FLOW),
         "agent_flow": _on(flows.agent_flow, "fx_budget", "fx_spend", "fx_block_edges"),
+        "onward_flow": _on(_onward, "fx_spend", "fx_block_edges"),
         # documents, vectors, retrieval
         "rag_documents": _on(documents.rag_documents, *TEXTS),
         "embed_documents": _on(_embedded, *TEXTS),

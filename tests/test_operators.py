@@ -462,3 +462,29 @@ def test_scenario_steps_share_one_pass(spark):
     assert plan.optimizedPlan().toString().count("LogicalRDD") == 1
     assert plan.executedPlan().toString().count("WindowGroupLimit") == 2  # per task, and over all
     assert audit.scenario_report(detail, [{"scenario_name": "none"}]).collect() == []
+
+
+def test_onward_flow_passes_shares_on(spark):
+    payments = spend(spark, [
+        {"project_id": 1, "block_no": b, "payee": "p", "amount": a} for b, a in [("A", 100.0), ("B", 30.0), ("C", 10.0), ("D", None)]
+    ])
+    edges = spark.createDataFrame(
+        [(1, "B", "A"), (1, "C", "A"), (1, "C", "A"), (1, "D", "B"), (1, "D", "C"), (1, "A", None), (2, "Y", "X")],
+        "project_id long, dst_block string, src_block string",
+    )
+    rows = {(o, b, h): (round(s, 6), a) for _, o, b, h, s, a in tuples(flows.onward_flow(payments, edges))}
+    assert {k: v for k, v in rows.items() if k[0] == "A"} == {
+        ("A", "A", 0): (1.0, 100.0), ("A", "B", 1): (0.75, 75.0), ("A", "C", 1): (0.25, 25.0), ("A", "D", 2): (1.0, 100.0),
+    }
+    assert rows[("B", "D", 1)] == (1.0, 30.0) and ("D", "D", 0) not in rows
+
+
+def test_onward_flow_ends_on_cycles(spark):
+    payments = spend(spark, [{"project_id": 1, "block_no": b, "payee": "p", "amount": 5.0} for b in "ABC"])
+    edges = spark.createDataFrame([(1, "B", "A"), (1, "A", "B"), (1, "C", "B"), (1, "C", "C")], "project_id long, dst_block string, src_block string")
+    found = tuples(flows.onward_flow(payments, edges, max_hops=6))
+    assert max(r[3] for r in found) == 6 and len(found) <= 7 * 9
+    for hop in range(7):  # nothing is lost or made
+        assert sum(r[4] for r in found if r[1] == "A" and r[3] == hop) == pytest.approx(1.0)
+    paths = {(r[1], r[2], r[3]): r[4] for r in found}
+    assert paths[("A", "A", 2)] == pytest.approx(0.5) and paths[("A", "A", 4)] == pytest.approx(0.25)
