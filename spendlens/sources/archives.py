@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from spendlens.functions import fixed_values as fv
 from spendlens.functions.columns import to_number
-from spendlens.sources import blocks, published
+from spendlens.sources import blocks, layout, published
 from spendlens.sources.catalog import table_catalog
 from spendlens.sources.inference import typed_columns
 
@@ -31,8 +31,8 @@ BLOCK_FILES = {"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min"
 
 
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, file_name) of every ZIP file in the folder; contents are not read."""
-    files = spark.read.format("binaryFile").load(folder.rstrip("/") + "/*.zip").select("path")
+    """(path, length, file_name) of every ZIP file in the folder; contents are not read."""
+    files = spark.read.format("binaryFile").load(folder.rstrip("/") + "/*.zip").select("path", "length")
     return files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
 
@@ -82,32 +82,37 @@ def ingest(spark: SparkSession, folder: str, target: str, split_archive: str = f
     )
     failed.unionByName(shadowed).write.parquet(f"{build}/ingest_errors")
 
+    # packed archives are about as long as Parquet files of their rows
+    buckets = layout.buckets_for(archives.agg(F.sum("length")).first()[0] or 0)
+
     # one job per table, as every sheet has columns of its own; a few run side by side
     sheets = stored.where(F.col("part") == "all").join(readable, "file_name")
 
     def write_table(row: Row) -> tuple[str, dict]:
         cells = staged.where(F.col("archive") == _archive_key(row["path"])).where(F.col("cells").isNotNull())
-        table = _by_project(typed_columns(cells, row["header"]))
-        return row["table_name"], _written(table, f"{build}/{row['table_name']}")
+        table = typed_columns(cells, row["header"])
+        return row["table_name"], _written(table, f"{build}/{row['table_name']}", buckets)
 
     with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-        counts = dict(pool.map(write_table, sheets.select("path", "header", "table_name").toLocalIterator()))
+        facts = dict(pool.map(write_table, sheets.select("path", "header", "table_name").toLocalIterator()))
     for row in stored.where(F.col("part") != "all").toLocalIterator():
-        counts[row["table_name"]] = _write_part(spark, build, row["table_name"], row["part"])
+        facts[row["table_name"]] = _write_part(spark, build, row["table_name"], row["part"], buckets)
     published.drop_folder(spark, f"{build}/_cells")
     published.drop_folder(spark, f"{build}/_blocks")
-    published.publish(spark, target, build, {"counts": counts})
+    published.publish(spark, target, build, {"tables": facts})
     published.tidy(spark, target)
     return stored
 
 
-def _written(table: DataFrame, path: str) -> dict:
-    """Write a table; its number of rows and of missing values per column, counted on the way."""
+def _written(table: DataFrame, path: str, buckets: int) -> dict:
+    """Write a table by project; its rows and missing values per column, counted on the way, and its layout."""
+    project = next(c for c, short in fv.PROJECT_COLUMNS.items() if short == "project_id")
+    placed = layout.layout_of(table, project, buckets)
     seen = Observation()
-    nulls = [F.count_if(F.col("`" + c.replace("`", "``") + "`").isNull()).alias(f"n{i}") for i, c in enumerate(table.columns)]
-    table.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls).write.parquet(path)
+    nulls = [F.count_if(F.col(layout.quoted(c)).isNull()).alias(f"n{i}") for i, c in enumerate(table.columns)]
+    layout.write(table, path, placed, lambda rows: rows.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls))
     found = seen.get
-    return {"rows": found["rows"], "nulls": {c: found[f"n{i}"] for i, c in enumerate(table.columns)}}
+    return {"rows": found["rows"], "nulls": {c: found[f"n{i}"] for i, c in enumerate(table.columns)}, "layout": placed.facts()}
 
 
 def _staged_cells(archives: DataFrame, path: str, scratch: str) -> DataFrame:
@@ -122,19 +127,13 @@ def _archive_key(path: str) -> str:
     return "a" + hashlib.md5(path.encode()).hexdigest()
 
 
-def _write_part(spark: SparkSession, build: str, table_name: str, part: str) -> dict:
+def _write_part(spark: SparkSession, build: str, table_name: str, part: str, buckets: int) -> dict:
     suffix = fv.SUMMARY_TABLE_SUFFIX if part == "summary" else fv.DETAIL_TABLE_SUFFIX
     whole = spark.read.parquet(f"{build}/{table_name.removesuffix(suffix)}")
     amount = next(c for c, short in fv.SPEND_COLUMNS.items() if short == "amount")
     rows = whole.withColumn(amount, to_number(F.col(f"`{amount}`")))
     missing = F.col(f"`{amount}`").isNull()
-    return _written(_by_project(rows.where(missing if part == "summary" else ~missing)), f"{build}/{table_name}")
-
-
-def _by_project(table: DataFrame) -> DataFrame:
-    """Sort each file by project, so that a lookup by id skips most row groups."""
-    project = next(c for c, short in fv.PROJECT_COLUMNS.items() if short == "project_id")
-    return table.sortWithinPartitions(f"`{project}`") if project in table.columns else table
+    return _written(rows.where(missing if part == "summary" else ~missing), f"{build}/{table_name}", buckets)
 
 
 @contextmanager

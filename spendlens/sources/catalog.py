@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 
 from spendlens.functions import fixed_values as fv
 from spendlens.operators.skew import numbered
-from spendlens.sources import published
+from spendlens.sources import layout, published
 from spendlens.sources.inference import as_text, inferred_types, union_all
 
 # --- fixed values: type names of the schema document --------------------------
@@ -101,6 +101,7 @@ def table_catalog(archives: DataFrame, split_archive: str = fv.SPLIT_ARCHIVE) ->
 
 def register_views(spark: SparkSession, target: str) -> list[str]:
     """Temp views under their human names over the tables of the current build; returns the names."""
+    tables = published.manifest(spark, target).get("tables", {})
     target = published.current(spark, target)
     names = []
     catalog = spark.read.parquet(f"{target}/table_index").orderBy("view_name")
@@ -108,7 +109,8 @@ def register_views(spark: SparkSession, target: str) -> list[str]:
         if row["view_name"] in names:
             raise ValueError(f"two tables have the view name {row['view_name']}")
         quoted = "`" + row["view_name"].replace("`", "``") + "`"
-        spark.read.parquet(f"{target}/{row['table_name']}").createOrReplaceTempView(quoted)
+        placed = tables.get(row["table_name"], {}).get("layout")
+        layout.read(spark, f"{target}/{row['table_name']}", placed).createOrReplaceTempView(quoted)
         names.append(row["view_name"])
     return names
 
@@ -157,7 +159,7 @@ def row_counts(views: Mapping[str, DataFrame]) -> DataFrame:
 
 def stored_counts(spark: SparkSession, target: str) -> DataFrame:
     """(table_name, column_name, row_count, null_count) of the current build, as counted when it was written."""
-    counts = published.manifest(spark, target).get("counts", {})
+    counts = published.manifest(spark, target).get("tables", {})
     rows = [(table, c, n["rows"], nulls) for table, n in sorted(counts.items()) for c, nulls in n["nulls"].items()]
     return spark.createDataFrame(rows, "table_name string, column_name string, row_count bigint, null_count bigint")
 

@@ -44,12 +44,12 @@ def quoted(name: str) -> str:
 
 
 def layout_of(table: DataFrame, column: str, buckets: int) -> Layout:
-    """Bucketed, unless one value is too frequent or the column is missing."""
+    """Bucketed, unless one value is too frequent, the column is missing, or there are no rows (buckets would have no file)."""
     if column not in table.columns:
         return Layout(None, buckets, False)
     counts = table.groupBy(F.col(quoted(column)).alias("k")).count()
     most, rows = counts.agg(F.max("count"), F.sum("count")).first()
-    return Layout(column, buckets, not rows or most <= max(1, LARGEST * rows / buckets))
+    return Layout(column, buckets, bool(rows) and most <= max(1, LARGEST * rows / buckets))
 
 
 def write(table: DataFrame, path: str, layout: Layout, observed: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:

@@ -25,10 +25,10 @@ def test_a_broken_rebuild_changes_nothing(spark, tmp_path, monkeypatch):
     put(folder, "1-1_XX_2024_one.zip", "a,b\n7,y\n")
     written = archives._written
 
-    def broken(table, path):
+    def broken(table, path, buckets):
         if path.endswith("tbl_2_1"):
             raise OSError("the store is gone")
-        return written(table, path)
+        return written(table, path, buckets)
 
     monkeypatch.setattr(archives, "_written", broken)
     with pytest.raises(OSError):
