@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from spendlens.functions.columns import first_desc, first_asc, money_sum, percent
+from spendlens.sources.published import stored
 
 MOST_HOPS = 4
 
@@ -87,15 +88,18 @@ def onward_flow(spend: DataFrame, block_edges: DataFrame, max_hops: int = MOST_H
 
     A frontier of (project, origin, block) moves along the edges and is summed after every hop, so it never holds more
     rows than pairs of blocks of a project, however many paths lead there. Cycles end with the last hop: money that
-    comes back to a block arrives there again.
+    comes back to a block arrives there again. Payments and edges are read once: weights, origins and each frontier are
+    written, small as they are, and read back.
     """
-    weights = edge_weights(spend, block_edges)
+    weights = stored(edge_weights(spend, block_edges), "weights")
     origins = spend.where(F.col("amount").isNotNull()).groupBy("project_id", F.col("block_no").alias("origin")).agg(money_sum("amount").alias("origin_spend"))
+    origins = stored(origins, "origins")
     frontier = origins.where("origin IS NOT NULL").select("project_id", "origin", F.col("origin").alias("block_no"), F.lit(1.0).alias("share"))
     reached = [frontier.withColumn("hops", F.lit(0))]
     for hop in range(1, max_hops + 1):
         moved = frontier.join(weights, ["project_id", "block_no"])
-        frontier = moved.groupBy("project_id", "origin", F.col("dst_block").alias("block_no")).agg(F.sum(F.col("share") * F.col("weight")).alias("share"))
+        summed = moved.groupBy("project_id", "origin", F.col("dst_block").alias("block_no")).agg(F.sum(F.col("share") * F.col("weight")).alias("share"))
+        frontier = stored(summed, "frontier")
         reached.append(frontier.withColumn("hops", F.lit(hop)))
     every = reduce(DataFrame.unionByName, reached).join(origins, ["project_id", "origin"])
     rows = every.select("project_id", "origin", "block_no", "hops", "share", (F.col("share") * F.col("origin_spend")).alias("amount"))

@@ -463,7 +463,8 @@ def oracle_sql() -> dict[str, str]:
                 UNION ALL SELECT w.project_id, w.origin, e.dst_block, w.hops + 1,
                     w.share * CASE WHEN total > 0 THEN p / total ELSE 1.0 / n END
                 FROM w JOIN weights e ON w.project_id = e.project_id AND w.block_no = e.src_block WHERE w.hops < 4) SELECT * FROM w)
-            SELECT project_id, origin, block_no, hops, round(sum(share), 6) AS share, round(sum(share) * any_value(spend), 2) AS amount
+            SELECT project_id, origin, block_no, hops, round(sum(share), 6) AS share, 
+                CASE WHEN round(sum(share) * any_value(spend), 2) = 0 THEN 0 ELSE round(sum(share) * any_value(spend), 2) END AS amount
             FROM walk JOIN origins USING (project_id, origin) GROUP BY project_id, origin, block_no, hops""",
         "rag_documents": f"WITH {DOCUMENTS} SELECT * FROM documents_of",
         "embed_documents": f"""WITH {DOCUMENTS}, {_vectors("documents_of", "vectors")}

@@ -114,7 +114,8 @@ def _onward(spend: DataFrame, block_edges: DataFrame) -> DataFrame:
     pairs = ends.alias("a").join(ends.alias("b"), "project_id").where("(a.kind = 'N' AND b.kind = 'R') OR (a.kind = 'R' AND b.kind = 'N' AND project_id % 7 = 0)")
     more = pairs.select("project_id", F.col("b.block_no").alias("dst_block"), F.col("a.block_no").alias("src_block"))
     found = flows.onward_flow(spend, block_edges.select("project_id", "dst_block", "src_block").union(more))
-    return found.withColumn("share", F.round("share", 6)).withColumn("amount", F.round("amount", 2))
+    amount = F.round("amount", 2)
+    return found.withColumn("share", F.round("share", 6)).withColumn("amount", F.when(amount == 0, 0.0).otherwise(amount))  # no -0.0
 
 
 def _questions(embeddings: DataFrame) -> DataFrame:

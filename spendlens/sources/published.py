@@ -15,7 +15,7 @@ import uuid
 from functools import lru_cache
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 KEPT = 2  # builds that stay, the current one among them
 ABANDONED_HOURS = 72  # after which a build that was never published goes
@@ -129,6 +129,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{context.applicationId}/{name}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table of the session, written once: what follows reads it instead of making the rows again."""
+    place = f"{scratch(df.sparkSession, name)}-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="kept-")
