@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, StructField, StructType
 
 from spendlens.functions.columns import first_asc
 
@@ -69,6 +69,12 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
 
 
+def _plain(df: DataFrame, vector: str) -> Column:
+    """Vectors as they are shuffled: floats stay floats, half as wide, and become doubles where they are compared."""
+    numbers = df.schema[vector].dataType.elementType
+    return F.col(vector) if isinstance(numbers, FloatType) else F.col(vector).cast("array<double>")
+
+
 def spread_pivots(sample: np.ndarray, n: int) -> np.ndarray:
     """Up to n distinct vectors of the sample, each the farthest from those before."""
     chosen = [0]
@@ -185,9 +191,9 @@ def knn_join(
     Exact; equal distances are ordered by id. Both ids must be unique. Rows and questions without a vector take no part;
     a vector of another length is an error. With ``skip_own`` a row with the question's own id is no answer.
     """
-    rows = store.where(F.col(vector).isNotNull()).select(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
+    rows = store.where(F.col(vector).isNotNull()).select(F.col(id_column).alias("id"), _plain(store, vector).alias("vector"))
     asked = questions.where(F.col(vector).isNotNull()).select(
-        F.col(question_column).alias("question"), F.col(vector).cast("array<double>").alias("asked"), F.lit(float("inf")).alias("bound")
+        F.col(question_column).alias("question"), _plain(questions, vector).alias("asked"), F.lit(float("inf")).alias("bound")
     )
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow().column("vector").combine_chunks()
     if not len(sample):

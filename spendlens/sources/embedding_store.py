@@ -33,11 +33,16 @@ def add_texts(texts: DataFrame, folder: str, embedder: Embedder, text: str = "do
     plain = F.coalesce(F.col(text), F.lit(""))
     distinct = texts.select(plain.alias("text")).distinct().withColumn("text_md5", F.md5("text"))
     new = distinct.join(vectors(spark, folder, embedder).select("text_md5"), "text_md5", "left_anti")
+    new = published.stored(new, "new-texts")  # found once, whatever the number of batches
     batches = -(-new.count() // batch_texts)
+    if batches > 1:
+        # a batch is read from its own folder; its rows are dealt to several tasks by their md5
+        batch = F.pmod(F.xxhash64("text_md5"), F.lit(batches)).cast("int")
+        dealt = new.withColumn("batch", batch).repartition("batch", F.substring("text_md5", 1, 1))
+        new = published.stored(dealt, "new-texts", by="batch")
     embedded = 0
     for k in range(batches):
-        # a text's batch is a matter of its md5, so what an earlier run published stays out of this one
-        part = new.where(F.pmod(F.xxhash64("text_md5"), F.lit(batches)) == k)
+        part = new.where(F.col("batch") == k).drop("batch") if batches > 1 else new
         batch, seen = published.new_build(folder), Observation()
         rows = embed(part, embedder, "text").select("text_md5", "embedder", "embedding").observe(seen, F.count(F.lit(1)).alias("n"))
         rows.write.parquet(batch)

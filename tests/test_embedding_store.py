@@ -62,3 +62,19 @@ def test_store_is_built_once(spark, monkeypatch):
     assert "Python" not in plan and "lineitem" not in plan
     vector = np.array(again.select("embedding").first()[0])
     assert vector.shape == (64,) and again.where(F.size("embedding") != 64).isEmpty()
+
+
+def test_the_input_is_read_once_for_many_batches(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = table(spark, [f"text {i}" for i in range(60)])
+    texts = rows.mapInArrow(counted, rows.schema)
+    embedder = documents.TrigramEmbedder(16)
+    assert embedding_store.add_texts(texts, str(tmp_path), embedder, batch_texts=10) == 60
+    assert seen.value == 60
+    assert embedding_store.vectors(spark, str(tmp_path), embedder).count() == 60
