@@ -68,3 +68,11 @@ def test_headline_queries_scan_their_large_table_once(spark, name, table, most):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     key = {"lineitem": "l_linenumber", "orders": "o_totalprice"}[table]
     assert sum(line.count(key) > 0 for line in plan.splitlines() if "Relation" in line) <= most
+
+
+def test_vector_text_has_no_decimal_rounding(spark):
+    df = spark.sql("SELECT array(0.0000005D, -0.0000005D, 0.4999995D, 0.25D, -0.0000015D, 0D, 0.99999949D, cast(0.1f as double)) AS embedding")
+    plain = F.array_join(F.transform("embedding", lambda x: F.round(x * 1_000_000).cast("long").cast("string")), ",")
+    row = df.select(registry._vector_text().alias("new"), plain.alias("old")).first()
+    assert row["new"] == row["old"]
+    assert "round" not in df.select(registry._vector_text())._jdf.queryExecution().optimizedPlan().toString()
