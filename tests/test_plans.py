@@ -76,3 +76,9 @@ def test_vector_text_has_no_decimal_rounding(spark):
     row = df.select(registry._vector_text().alias("new"), plain.alias("old")).first()
     assert row["new"] == row["old"]
     assert "round" not in df.select(registry._vector_text())._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_documents_are_written_out_after_their_shuffle(spark):
+    text = plan(QUERIES["rag_documents"](spark, SF_DIR))
+    spread = next(line for line in text.splitlines() if "REPARTITION_BY_COL" in line)
+    assert "document" not in spread
