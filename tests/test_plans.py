@@ -82,3 +82,12 @@ def test_documents_are_written_out_after_their_shuffle(spark):
     text = plan(QUERIES["rag_documents"](spark, SF_DIR))
     spread = next(line for line in text.splitlines() if "REPARTITION_BY_COL" in line)
     assert "document" not in spread
+
+
+def test_payments_beside_budgets_are_shuffled_once_before_the_sort(spark, tmp_path):
+    budget, spend = (written(spark, tmp_path / n, df) for n, df in zip("bs", load(spark, SF_DIR, "fx_budget", "fx_spend")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles_of(balance.spend_vs_budget_rows(budget, spend)) == 3  # payments; budgets to sum, then to join
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
