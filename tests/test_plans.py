@@ -70,18 +70,31 @@ def test_headline_queries_scan_their_large_table_once(spark, name, table, most):
     assert sum(line.count(key) > 0 for line in plan.splitlines() if "Relation" in line) <= most
 
 
-def test_vector_text_has_no_decimal_rounding(spark):
-    df = spark.sql("SELECT array(0.0000005D, -0.0000005D, 0.4999995D, 0.25D, -0.0000015D, 0D, 0.99999949D, cast(0.1f as double)) AS embedding")
-    plain = F.array_join(F.transform("embedding", lambda x: F.round(x * 1_000_000).cast("long").cast("string")), ",")
-    row = df.select(registry._vector_text().alias("new"), plain.alias("old")).first()
-    assert row["new"] == row["old"]
-    assert "round" not in df.select(registry._vector_text())._jdf.queryExecution().optimizedPlan().toString()
+def shuffles_of(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
-def test_documents_are_written_out_after_their_shuffle(spark):
-    text = plan(QUERIES["rag_documents"](spark, SF_DIR))
-    spread = next(line for line in text.splitlines() if "REPARTITION_BY_COL" in line)
-    assert "document" not in spread
+def test_payments_are_joined_to_few_customers_by_way_of_their_orders(spark):
+    """Customers meet the orders, so no line item is shuffled by customer."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        [spend] = load(spark, SF_DIR, "fx_spend")
+        lines = plan(spend.select("project_id", "project_name", "payee", "amount")).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_customer = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(o_custkey" in line]
+    depth = len(lines[by_customer[0]]) - len(lines[by_customer[0]].lstrip(" :+-"))
+    below = []
+    for line in lines[by_customer[0] + 1 :]:
+        if len(line) - len(line.lstrip(" :+-")) <= depth:
+            break
+        below.append(line)
+    assert len(by_customer) == 1 and not any("l_orderkey" in line for line in below)
+
+
+@pytest.mark.parametrize("name", ["schema_rows", "schema_document", "project_dossier", "onward_flow"])
+def test_payments_are_joined_once(spark, name):
+    assert "l_extendedprice" not in QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_payments_beside_budgets_are_shuffled_once_before_the_sort(spark, tmp_path):
@@ -91,3 +104,17 @@ def test_payments_beside_budgets_are_shuffled_once_before_the_sort(spark, tmp_pa
         assert shuffles_of(balance.spend_vs_budget_rows(budget, spend)) == 3  # payments; budgets to sum, then to join
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_documents_are_written_out_after_their_shuffle(spark):
+    text = plan(QUERIES["rag_documents"](spark, SF_DIR))
+    spread = next(line for line in text.splitlines() if "REPARTITION_BY_COL" in line)
+    assert "document" not in spread
+
+
+def test_vector_text_has_no_decimal_rounding(spark):
+    df = spark.sql("SELECT array(0.0000005D, -0.0000005D, 0.4999995D, 0.25D, -0.0000015D, 0D, 0.99999949D, cast(0.1f as double)) AS embedding")
+    plain = F.array_join(F.transform("embedding", lambda x: F.round(x * 1_000_000).cast("long").cast("string")), ",")
+    row = df.select(registry._vector_text().alias("new"), plain.alias("old")).first()
+    assert row["new"] == row["old"]
+    assert "round" not in df.select(registry._vector_text())._jdf.queryExecution().optimizedPlan().toString()
