@@ -3,11 +3,13 @@
 Stored vectors belong to the nearest of some pivots; a cell is what belongs to one pivot, with the smallest and largest
 distance to it. A question first searches the cell of its own nearest pivot, which gives a bound on the distance of its
 k-th neighbour. Other cells are visited only where the triangle inequality, or the plane halfway between two pivots,
-allows something nearer than that bound; within a cell the same inequality drops rows by their distance to the pivot.
+allows something nearer than that bound.
 
-A cell is dealt in blocks of BLOCK rows and QUESTIONS questions, so a cell that holds a third of all rows, or that all
-questions ask for, is many tasks. Each block keeps k rows of a question; one aggregation merges them. What the driver
-holds is bounded: a sample to take pivots from, and four numbers for each pivot.
+Neighbouring small cells share a place, so that few copies of a question are shuffled where no cell can be left out. A
+place is dealt in blocks of BLOCK rows and QUESTIONS questions, so a cell that holds a third of all rows, or that all
+questions ask for, is many tasks. A block is searched by products of matrices in floats, with a margin for their
+rounding; what is left is measured in doubles. Each block keeps k rows of a question; one aggregation merges them. What
+the driver holds is bounded: a sample to take pivots from, and five numbers for each pivot.
 """
 
 from __future__ import annotations
@@ -23,10 +25,15 @@ from pyspark.sql import Window as W
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, StructField, StructType
 
 from spendlens.functions.columns import first_asc
+from spendlens.sources.published import stored
 
 PIVOTS, SAMPLE = 128, 4096
 PER_PIVOT = 32  # rows of the sample, at least
-BLOCK, QUESTIONS = 8192, 1024
+BLOCK, QUESTIONS = 32_768, 32_768
+COMPONENTS = 1 << 22  # of the vectors of a block, at most: wide vectors come in shorter blocks
+TILE, CHUNK = 256, 4096  # questions and rows of one product
+DENSE = 16  # times k rows of a chunk within the bound: the k-th of them becomes the bound
+PAIRS = 1 << 22  # components measured at once
 SLACK = 1e-9  # relative: rounding of a distance never drops a neighbour
 
 
@@ -110,8 +117,26 @@ def measured_cells(belonging: DataFrame, pivots: np.ndarray) -> Cells:
     return cells
 
 
-def visits(questions: DataFrame, cells: Cells, k: int, home: bool) -> DataFrame:
-    """The questions (question, asked, bound) once for each cell to search: their own, or all others needed."""
+def shared_places(cells: Cells, size: int) -> np.ndarray:
+    """The place of every cell: neighbouring cells share one of up to ``size`` rows, a larger cell has its own."""
+    places, place, filled = np.zeros(len(cells.pivots), np.int64), 0, 0
+    left = cells.rows > 0
+    at = int(np.argmax(left))
+    while left.any():
+        if filled and filled + cells.rows[at] > size:
+            place, filled = place + 1, 0
+        places[at], filled = place, filled + cells.rows[at]
+        left[at] = False
+        at = int(np.argmin(np.where(left, distances(cells.pivots[at], cells.pivots), np.inf)))
+    return places
+
+
+def visits(questions: DataFrame, cells: Cells, k: int, home: bool, places: np.ndarray | None = None) -> DataFrame:
+    """The questions (question, asked, bound) once for each cell to search: their own, or all others needed.
+
+    With ``places`` once for each place of such cells.
+    """
+    places = np.arange(len(cells.pivots)) if places is None else places
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,8 +146,8 @@ def visits(questions: DataFrame, cells: Cells, k: int, home: bool) -> DataFrame:
             for i, vector in enumerate(vectors):
                 limit = min(float(bounds[i]), cells.bound(vector, k))
                 nearest = np.where(cells.rows > 0, distances(vector, cells.pivots), np.inf)
-                own = int(np.argmin(nearest))
-                wanted = [own] if home else [c for c in cells.needed(vector, limit).tolist() if c != own]
+                own = int(places[np.argmin(nearest)])
+                wanted = [own] if home else [c for c in np.unique(places[cells.needed(vector, limit)]).tolist() if c != own]
                 place += [i] * len(wanted)
                 cell += wanted
                 limits += [limit] * len(wanted)
@@ -140,46 +165,142 @@ def _values(column: pa.ChunkedArray) -> np.ndarray:
     return np.asarray(column.to_pylist()) if not pa.types.is_integer(column.type) else column.to_numpy()
 
 
-def _searched(belonging: DataFrame, asking: DataFrame, cells: Cells, k: int, skip_own: bool) -> DataFrame:
-    """question, id, distance: of every block of a cell the k nearest rows of each question that asks for it."""
-    spark = belonging.sparkSession
-    sizes = spark.createDataFrame([(i, max(1, -(-int(n) // BLOCK))) for i, n in enumerate(cells.rows)], "cell int, blocks long")
-    parts = asking.groupBy("cell").agg(F.ceil(F.count("*") / QUESTIONS).alias("parts"))  # one row per pivot
-    shape = F.broadcast(sizes.join(F.broadcast(parts), "cell"))
+def _first_of_equals(vectors: np.ndarray, order: np.ndarray, n: int) -> np.ndarray:
+    """The rows in the given order, without those that n rows of the same vector come before."""
+    vectors = np.ascontiguousarray(vectors[order])
+    _, kind = np.unique(vectors.view(np.dtype((np.void, vectors.itemsize * vectors.shape[1])))[:, 0], return_inverse=True)
+    by_kind = np.argsort(kind, kind="stable")
+    sizes = np.bincount(kind)
+    place = np.arange(len(kind)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return order[np.sort(by_kind[place < n])]
+
+
+def _measured(questions: np.ndarray, vectors: np.ndarray, asked: np.ndarray, row: np.ndarray) -> np.ndarray:
+    step = max(1, PAIRS // vectors.shape[1])
+    parts = [distances(questions[asked[i : i + step]], vectors[row[i : i + step]]) for i in range(0, len(row), step)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
+class _Block:
+    """Rows of a block as floats around their mean, in units of the longest, with half of their squares beside them."""
+
+    def __init__(self, vectors: np.ndarray) -> None:
+        self.vectors, self.mean = vectors, vectors.mean(axis=0)
+        rows = vectors - self.mean
+        self.unit = float(np.sqrt((rows**2).sum(axis=1).max())) or 1.0
+        rows /= self.unit
+        self.floats = np.hstack([rows, -(rows**2).sum(axis=1)[:, None] / 2]).astype(np.float32)
+        self.raw = float(np.abs(vectors).max())
+
+    def near(self, questions: np.ndarray, limits: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of question and row: at least the k nearest rows of each question within its limit."""
+        asked = (questions - self.mean) / self.unit
+        length = np.sqrt((asked**2).sum(axis=1))
+        width = asked.shape[1] + 8
+        single, double = (float(np.finfo(t).eps) * width for t in (np.float32, np.float64))
+        raw = (np.abs(questions).max(axis=1) + self.raw) * width / self.unit
+        margin = single * (length + 1) + double * (raw * (length + 1) + length**2) + 1e-30
+        far = ~(length < 1e15)  # beyond floats: every row is measured
+        asked[far], margin[far] = 0, np.inf
+        floats = np.hstack([asked, np.ones((len(asked), 1))]).astype(np.float32)
+        # half of (length^2 - distance^2): larger is nearer
+        least = np.where(far, -np.inf, (length**2 - (limits / self.unit) ** 2) / 2 - margin)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for start in range(0, len(self.floats), CHUNK):
+            rows = self.floats[start : start + CHUNK]
+            nearness = floats @ rows.T
+            within = nearness >= _float_below(least)[:, None]
+            hits = np.flatnonzero(within)
+            if len(rows) > k and len(hits) > DENSE * k * len(floats):
+                least = np.maximum(least, _kth(nearness, k) - 2 * margin)
+                hits = np.flatnonzero(nearness >= _float_below(least)[:, None])
+            question, row = np.divmod(hits, len(rows))
+            found.append((question, row + start, nearness.ravel()[hits]))
+        question, row, nearness = (np.concatenate(c) for c in zip(*found))
+        # the k-th nearest of all chunks
+        order = np.lexsort((-nearness, question))
+        question, row, nearness = question[order], row[order], nearness[order]
+        first = np.searchsorted(question, np.arange(len(floats)))
+        last = np.minimum(first + k, np.append(first[1:], len(question))) - 1
+        enough = last - first == k - 1
+        least[enough] = np.maximum(least[enough], nearness[last[enough]] - 2 * margin[enough])
+        keep = nearness >= least[question]
+        return question[keep], row[keep]
+
+
+def _float_below(numbers: np.ndarray) -> np.ndarray:
+    return np.nextafter(np.clip(numbers, -1e38, 1e38).astype(np.float32), np.float32(-np.inf))
+
+
+def _kth(nearness: np.ndarray, k: int) -> np.ndarray:
+    at = nearness.shape[1] - k
+    return np.partition(nearness, at, axis=1)[:, at].astype(np.float64)
+
+
+def nearest_in_block(
+    vectors: np.ndarray, ids: np.ndarray, questions: np.ndarray, names: np.ndarray, bounds: np.ndarray, k: int, skip_own: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of questions and rows, and their distances: the k nearest rows of every question within its bound."""
+    rank = np.empty(len(ids), np.int64)
+    rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    more = k + skip_own  # own rows are dropped after the search
+    rows = _first_of_equals(vectors, np.argsort(rank), more)
+    rows = rows[np.isfinite(vectors[rows]).all(axis=1)]
+    finite = np.flatnonzero(np.isfinite(questions).all(axis=1))
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    if not len(rows):
+        return found[0]
+    block = _Block(vectors[rows])
+    limits = bounds * (1 + SLACK) + SLACK
+    for start in range(0, len(finite), TILE):
+        tile = finite[start : start + TILE]
+        asked, row = block.near(questions[tile], limits[tile], more)
+        asked, row = tile[asked], rows[row]
+        if skip_own:
+            others = names[asked] != ids[row]
+            asked, row = asked[others], row[others]
+        d = _measured(questions, vectors, asked, row)
+        order = np.lexsort((rank[row], d, asked))  # ties go to the smallest ids
+        asked, row, d = asked[order], row[order], d[order]
+        place = np.arange(len(asked)) - np.searchsorted(asked, asked)
+        found.append((asked[place < k], row[place < k], d[place < k]))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _block_rows(width: int, rows: int) -> int:
+    return max(1, min(rows, COMPONENTS // width))
+
+
+def _searched(belonging: DataFrame, asking: DataFrame, cells: Cells, places: np.ndarray, k: int, skip_own: bool) -> DataFrame:
+    """question, id, distance: of every block of a place the k nearest rows of each question that asks for it."""
+    spark, width = belonging.sparkSession, cells.pivots.shape[1]
+    blocks = -(-np.bincount(places, weights=cells.rows).astype(np.int64) // _block_rows(width, BLOCK))
+    shapes = [(cell, int(place), max(1, int(blocks[place]))) for cell, place in enumerate(places)]
+    sizes = spark.createDataFrame(shapes, "cell int, place int, blocks long")
+    asking = asking.withColumnRenamed("cell", "place")
+    parts = asking.groupBy("place").agg(F.ceil(F.count("*") / _block_rows(width, QUESTIONS)).alias("parts"))  # one row per place
+    shape = sizes.join(F.broadcast(parts), "place")
     numbers = lambda name: F.explode(F.sequence(F.lit(0).cast("long"), F.col(name) - 1))
-    rows = belonging.join(shape, "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    rows = rows.select("cell", "block", numbers("parts").alias("part"), "id", "vector", "radius")
-    asked = asking.join(shape, "cell").withColumn("part", F.pmod(F.xxhash64("question"), F.col("parts")))
-    asked = asked.select("cell", numbers("blocks").alias("block"), "part", "question", "asked", "bound")
+    rows = belonging.join(F.broadcast(shape), "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    rows = rows.select("place", "block", numbers("parts").alias("part"), "id", "vector")
+    asked = asking.join(F.broadcast(shape.drop("cell").distinct()), "place").withColumn("part", F.pmod(F.xxhash64("question"), F.col("parts")))
+    asked = asked.select("place", numbers("blocks").alias("block"), "part", "question", "asked", "bound")
     names = ["question", "id", "distance"]
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[list] = [[], [], []]
+        question, row, d = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         if left.num_rows and right.num_rows:
-            pivot = cells.pivots[left.column("cell")[0].as_py()]
-            vectors = _matrix(left.column("vector").combine_chunks(), len(pivot))
-            ids, radius = _values(left.column("id")), left.column("radius").to_numpy()
-            questions = _matrix(right.column("asked").combine_chunks(), len(pivot))
-            for name, vector, bound in zip(right.column("question").to_pylist(), questions, right.column("bound").to_numpy()):
-                limit = bound * (1 + SLACK) + SLACK
-                near = np.flatnonzero(np.abs(radius - distances(vector, pivot[None])[0]) <= limit)
-                if skip_own:
-                    near = near[ids[near] != name]
-                d = distances(vector, vectors[near])
-                if len(d) > k:  # ties at the k-th distance go to the smallest ids
-                    some = d <= np.partition(d, k - 1)[k - 1]
-                    near, d = near[some], d[some]
-                order = np.lexsort((ids[near], d))[:k]
-                found[0] += [name] * len(order)
-                found[1] += ids[near[order]].tolist()
-                found[2] += d[order].tolist()
-        kinds = [right.schema.field("question").type, left.schema.field("id").type, pa.float64()]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(found, kinds)], names=names)
+            vectors = _matrix(left.column("vector").combine_chunks(), width)
+            questions = _matrix(right.column("asked").combine_chunks(), width)
+            bounds = right.column("bound").to_numpy()
+            question, row, d = nearest_in_block(vectors, _values(left.column("id")), questions, _values(right.column("question")), bounds, k, skip_own)
+        columns = [right.column("question").take(pa.array(question)), left.column("id").take(pa.array(row)), pa.array(d, pa.float64())]
+        return pa.Table.from_arrays(columns, names=names)
 
     schema = StructType(
         [StructField("question", asking.schema["question"].dataType), StructField("id", belonging.schema["id"].dataType), StructField("distance", DoubleType())]
     )
-    key = ["cell", "block", "part"]
+    key = ["place", "block", "part"]
     return rows.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(search, schema)
 
 
@@ -202,11 +323,14 @@ def knn_join(
     pivots = spread_pivots(_matrix(sample, len(sample[0])), min(PIVOTS, -(-len(sample) // PER_PIVOT)))
     belonging = _belonging(rows, pivots)
     cells = measured_cells(belonging, pivots)
-    first = _searched(belonging, visits(asked, cells, k + skip_own, home=True), cells, k, skip_own)
-    # the k-th distance found at home, where the home cell has that many
+    places = shared_places(cells, _block_rows(pivots.shape[1], BLOCK))
     nth = W.partitionBy("question").orderBy("distance", "id")
-    kth = first.withColumn("place", F.row_number().over(nth)).where(F.col("place") == k).select("question", F.col("distance").alias("bound"))
+    ranked = lambda found: found.withColumn("rank", F.row_number().over(nth)).where(F.col("rank") <= k)
+    found = _searched(belonging, visits(asked, cells, k + skip_own, True, places), cells, places, k, skip_own)
+    first = stored(ranked(found), "nearest")
+    # the k-th distance found at home, where the home place has that many
+    kth = first.where(F.col("rank") == k).select("question", F.col("distance").alias("bound"))
     bounded = asked.drop("bound").join(kth, "question", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    more = _searched(belonging, visits(bounded, cells, k + skip_own, home=False), cells, k, skip_own)
-    ranked = first.union(more).withColumn("rank", F.row_number().over(nth)).where(F.col("rank") <= k)
-    return ranked.select("question", "rank", "id", "distance").toDF(question_column, "rank", id_column, "distance").orderBy(*first_asc(question_column, "rank"))
+    more = _searched(belonging, visits(bounded, cells, k + skip_own, False, places), cells, places, k, skip_own)
+    nearest = ranked(first.drop("rank").union(more)).select("question", "rank", "id", "distance")
+    return nearest.toDF(question_column, "rank", id_column, "distance").orderBy(*first_asc(question_column, "rank"))
