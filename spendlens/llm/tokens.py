@@ -1,7 +1,8 @@
 """Token ids of whole texts, by a public tokenizer and with a bounded memory of pieces seen before.
 
-The tokenizer never joins text across a single space or line end between two visible characters, so a text is the
-sequence of its pieces, and each distinct piece is encoded once per worker. Texts with other white space, or with the
+The tokenizer never joins text across a single space or line end between two visible characters, nor a letter or digit
+with a sign behind it, so a text is the sequence of its pieces, and each distinct piece is encoded once per worker: a
+word once, whatever signs follow it. Texts with other white space, or with the
 name of a special token, are encoded whole.
 """
 
@@ -23,6 +24,8 @@ PIECES = 400_000  # remembered in each of two generations
 _RUNS = ("  ", " \n", "\n ", "\n\n", "<|")
 _OTHER_SPACE = re.compile("[\x00\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _PLAIN = re.compile(r"[\n\x20-\x7e¡-ſ]+")
+# a sign behind a letter or digit; the sign comes first, since a search for it is quick
+_SIGN = re.compile(r"[!-/:-@\[-`{-~](?<=[0-9A-Za-zÀ-ÖØ-öø-ſ].)")
 
 
 def _byte_letters() -> list[str]:
@@ -69,7 +72,7 @@ class Encoder:
             return b""
         if text[0] in " \n" or text[-1] in " \n" or any(run in text for run in _RUNS) or _OTHER_SPACE.search(text):
             return self.whole(text)
-        pieces = text.replace("\n", " \n").split(" ")
+        pieces = _SIGN.sub(" \x00\\g<0>", text.replace("\n", " \n")).split(" ")
         pieces[0] = "\x00" + pieces[0]
         ids = list(map(self.young.get, pieces))
         if None in ids:
