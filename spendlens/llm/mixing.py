@@ -4,7 +4,7 @@ Token counts are summed per cell of source, language and topic. Raking scales th
 three margins has its target shares; a document's sampling probability is the ratio of its cell's raked tokens to its
 natural ones, scaled so that the largest is 1 or to a given share of the tokens. A document is drawn by a hash of its
 id, so a re-run draws the same ones. Everything is DataFrame functions; cells are far fewer than documents, and each
-sweep is three windows over them.
+sweep is three windows over them. Every PLAN_SWEEPS sweeps the cells are written and read again.
 
 Targets are natural shares raised to a power and normalised again (1 keeps them, 0 makes them equal), or tables of
 (value, share). A value without a share in a given table has the target 0; shares need not add up to 1.
@@ -27,6 +27,7 @@ from spendlens.session import apply_settings
 DIMENSIONS = ("source", "lang", "topic")
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.8}
 SWEEPS = 10
+PLAN_SWEEPS = 2  # of one plan
 SEED = 11
 SHORT = 20  # words below which a text is a note
 
@@ -74,8 +75,8 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame] | None = None, power
             rows = rows.withColumn(f"_t_{name}", F.col(f"_t_{name}") / natural.agg(F.sum(f"_t_{name}")).scalar())
     rows = rows.withColumn("_weight", F.col("_share"))
     for k in range(sweeps):
-        if k and k % SWEEPS == 0:
-            rows = common.kept(rows)  # plans stay short
+        if k % PLAN_SWEEPS == 0:
+            rows = common.kept(rows)  # while a plan runs, the driver holds the metrics of every task of all its stages
         for name in DIMENSIONS:
             margin = F.sum("_weight").over(Window.partitionBy(f"_{name}"))
             rows = rows.withColumn("_weight", F.when(margin > 0, F.col("_weight") * F.col(f"_t_{name}") / margin).otherwise(0.0))

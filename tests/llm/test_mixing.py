@@ -73,3 +73,9 @@ def test_share_of_tokens_whatever_the_rarest_source(spark):
         got = mixing.sampled(docs, powers=powers, share=share).agg(F.sum(F.col("_n") * F.col("_probability")) / F.sum("_n"), F.max("_probability")).first()
         assert got[0] == pytest.approx(share, abs=1e-9) and got[1] <= 1
     assert 0.75 < mixing.keep_drawn(docs, powers, share=0.8).count() / len(rows) < 0.85
+
+
+def test_a_plan_holds_few_sweeps(spark):
+    cells = mixing.described(table(spark, 60)).groupBy("_source", "_lang", "_topic").agg(F.sum("_n").alias("_n"))
+    plan = mixing.rake(cells)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Window [") == 3 * mixing.PLAN_SWEEPS
