@@ -18,7 +18,7 @@ import regex
 from tokenizers import Tokenizer
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-PIECES = 400_000  # remembered in each of two generations
+PIECES = 250_000  # remembered in each of two generations; two workers of an executor hold four
 
 # runs of white space, or any but a space or line end, join what stands beside them
 _RUNS = ("  ", " \n", "\n ", "\n\n", "<|")

@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from spendlens.llm import common, token_file, token_output
-from spendlens.llm.tokens import VOCABULARY, encoder
+from spendlens.llm.tokens import VOCABULARY, Encoder, encoder
 from tests.llm.small import documents, prose, with_clash
 
 TEXTS = [
@@ -91,3 +91,10 @@ def test_files_hold_ranges_in_order(spark):
             ids += [d for d, _ in token_file.Reader(source).documents()]
     assert ids == list(range(200))
     assert sum(f["n_docs"] for f in files) == 200
+
+
+def test_a_worker_remembers_so_many_pieces():
+    e = Encoder(VOCABULARY)
+    for i in range(600):
+        e.encode(" ".join(f"w{j}" for j in range(1000 * i, 1000 * i + 1000)))
+    assert len(e.young) + len(e.old) <= 501_000
