@@ -1,0 +1,49 @@
+"""What the build of the vector store shuffles and writes: documents once, and no text or vector before it is written."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from spendlens.operators import documents, skew
+from spendlens.plans import registry
+from spendlens.plans.fixtures import load
+from tests.conftest import SF_DIR
+from tests.helpers import org, overview, spend, tuples
+
+
+def folded(spark):
+    payments = [{"project_id": i % 4, "outline": f"repair of roads {i % 5}", "payee": f"p{i % 3}", "amount": float(i % 2)} for i in range(90)]
+    payments += [{"project_id": 1, "outline": "one contract", "payee": "p", "amount": None}] * 11
+    orgs = org(spark, [(i, f"project {i}", "M", no) for i in range(4) for no in range(1 + i % 2)])
+    return documents.folded_documents(spend(spark, payments), orgs, overview(spark, [(0, "project 0", "M", "", "x"), (1, "project 1", "M", None, "y")]))
+
+
+@pytest.mark.parametrize("chunk", [3, 100_000])
+def test_unfolded_store_has_the_same_rows(spark, tmp_path, monkeypatch, chunk):
+    monkeypatch.setattr(skew, "CHUNK", chunk)
+    plain = documents.vector_store_rows(folded(spark))
+    distinct = documents.vector_store_rows(folded(spark), written=documents.document_text(), unfold=False)
+    distinct.write.parquet(str(tmp_path / "store"))
+    store = documents.unfolded_store(spark.read.parquet(str(tmp_path / "store")))
+    assert store.columns == plain.columns and store.schema.simpleString() == plain.schema.simpleString()
+    assert Counter(map(str, tuples(store))) == Counter(map(str, tuples(plain)))
+    assert distinct.count() == folded(spark).count() < store.count()
+
+
+def test_no_document_is_shuffled_for_the_store(spark):
+    built = documents.vector_store_rows(documents.folded_documents(*load(spark, SF_DIR, *registry.TEXTS)), written=documents.document_text(), unfold=False)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    nodes = built._jdf.queryExecution().explainString(mode).split("\n\n")
+    dealt = [node for node in nodes if "REPARTITION_BY_COL" in node]
+    assert len(dealt) == 1  # vectors and texts stay where they are made
+    carried = next(line for line in dealt[0].splitlines() if line.startswith("Input"))
+    assert "payee#" in carried and "document#" not in carried and "_md5#" not in carried
+
+
+def test_the_registered_store_holds_documents_once(spark):
+    rows = registry.store_of(spark, SF_DIR)
+    files = spark.read.parquet(*rows.inputFiles())
+    want = documents.folded_documents(*load(spark, SF_DIR, *registry.TEXTS))
+    assert files.count() == want.count()
+    assert rows.count() == want.agg(F.sum("copies")).first()[0]
