@@ -10,6 +10,9 @@ place is dealt in blocks of BLOCK rows and QUESTIONS questions, so a cell that h
 questions ask for, is many tasks. A block is searched by products of matrices in floats, with a margin for their
 rounding; what is left is measured in doubles. Each block keeps k rows of a question; one aggregation merges them. What
 the driver holds is bounded: a sample to take pivots from, and five numbers for each pivot.
+
+Up to FEW questions are not worth a shuffle of the rows: every task searches its own rows for all of them and keeps k
+for each.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, StructField, StructType
 
 from spendlens.functions.columns import first_asc
@@ -30,6 +34,7 @@ from spendlens.sources.published import stored
 PIVOTS, SAMPLE = 128, 4096
 PER_PIVOT = 32  # rows of the sample, at least
 BLOCK, QUESTIONS = 32_768, 32_768
+FEW = 4096  # questions that go to the rows, of which there are SAMPLE at least
 COMPONENTS = 1 << 22  # of the vectors of a block, at most: wide vectors come in shorter blocks
 TILE, CHUNK = 256, 4096  # questions and rows of one product
 DENSE = 16  # times k rows of a chunk within the bound: the k-th of them becomes the bound
@@ -304,6 +309,40 @@ def _searched(belonging: DataFrame, asking: DataFrame, cells: Cells, places: np.
     return rows.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(search, schema)
 
 
+def _searched_in_place(rows: DataFrame, questions: pa.Table, kind: StructField, k: int, skip_own: bool) -> DataFrame:
+    """question, id, distance: of the rows of every task the k nearest to each question."""
+    asked = questions.column("asked").combine_chunks()
+    width = len(asked[0])
+    matrix, names = _matrix(asked, width), _values(questions.column("question"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        bounds = np.full(len(matrix), np.inf)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = _values(batch.column("id"))
+            question, row, d = nearest_in_block(_matrix(batch.column("vector"), width), ids, matrix, names, bounds, k, skip_own)
+            found = (question, ids[row], d)
+            if best:
+                found = tuple(np.concatenate(c) for c in zip(best, found))
+            order = np.lexsort((np.unique(found[1], return_inverse=True)[1], found[2], found[0]))
+            question = found[0][order]
+            order = order[np.arange(len(order)) - np.searchsorted(question, question) < k]
+            best = tuple(c[order] for c in found)
+            last = np.searchsorted(best[0], np.arange(len(matrix)), side="right") - 1
+            full = np.bincount(best[0], minlength=len(matrix)) == k
+            bounds[full] = best[2][last[full]]
+        if best:
+            columns = [questions.column("question").take(pa.array(best[0])).combine_chunks(), pa.array(best[1].tolist(), id_type), pa.array(best[2], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["question", "id", "distance"])
+
+    field = rows.schema["id"]
+    id_type = to_arrow_type(field.dataType)
+    schema = StructType([StructField("question", kind.dataType), StructField("id", field.dataType), StructField("distance", DoubleType())])
+    return rows.mapInArrow(search, schema)
+
+
 def knn_join(
     store: DataFrame, questions: DataFrame, id_column: str, question_column: str, k: int = 10, vector: str = "embedding", skip_own: bool = False
 ) -> DataFrame:
@@ -320,17 +359,21 @@ def knn_join(
     if not len(sample):
         empty = asked.select("question", F.lit(None).cast("int").alias("rank"), F.lit(None).cast(rows.schema["id"].dataType).alias("id"))
         return empty.where("false").withColumn("distance", F.lit(0.0)).toDF(question_column, "rank", id_column, "distance")
+    nth = W.partitionBy("question").orderBy("distance", "id")
+    ranked = lambda found: found.withColumn("rank", F.row_number().over(nth)).where(F.col("rank") <= k)
+    named = lambda found: found.select("question", "rank", "id", "distance").toDF(question_column, "rank", id_column, "distance")
+    most = min(FEW, COMPONENTS // max(1, len(sample[0])))
+    few = asked.select("question", "asked").limit(most + 1).toArrow() if len(sample) == SAMPLE else None
+    if few is not None and 0 < few.num_rows <= most:
+        return named(ranked(_searched_in_place(rows, few, asked.schema["question"], k, skip_own))).orderBy(*first_asc(question_column, "rank"))
     pivots = spread_pivots(_matrix(sample, len(sample[0])), min(PIVOTS, -(-len(sample) // PER_PIVOT)))
     belonging = _belonging(rows, pivots)
     cells = measured_cells(belonging, pivots)
     places = shared_places(cells, _block_rows(pivots.shape[1], BLOCK))
-    nth = W.partitionBy("question").orderBy("distance", "id")
-    ranked = lambda found: found.withColumn("rank", F.row_number().over(nth)).where(F.col("rank") <= k)
     found = _searched(belonging, visits(asked, cells, k + skip_own, True, places), cells, places, k, skip_own)
     first = stored(ranked(found), "nearest")
     # the k-th distance found at home, where the home place has that many
     kth = first.where(F.col("rank") == k).select("question", F.col("distance").alias("bound"))
     bounded = asked.drop("bound").join(kth, "question", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
     more = _searched(belonging, visits(bounded, cells, k + skip_own, False, places), cells, places, k, skip_own)
-    nearest = ranked(first.drop("rank").union(more)).select("question", "rank", "id", "distance")
-    return nearest.toDF(question_column, "rank", id_column, "distance").orderBy(*first_asc(question_column, "rank"))
+    return named(ranked(first.drop("rank").union(more))).orderBy(*first_asc(question_column, "rank"))

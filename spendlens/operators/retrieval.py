@@ -11,6 +11,7 @@ from spendlens.functions.columns import first_asc
 from spendlens.operators.documents import Embedder, TrigramEmbedder, embed
 from spendlens.operators.knn_join import knn_join
 from spendlens.operators.lookup import top_payees
+from spendlens.sources import published
 
 TOP = 10
 
@@ -66,7 +67,8 @@ def ask_many(store: DataFrame, questions: DataFrame, embedder: Embedder | None =
     """
     embedder = embedder or TrigramEmbedder()
     asked = embed(questions.select("question_id", "question"), embedder, "question")
-    hits = knn_join(_made_by(store, embedder), asked, "doc_id", "question_id", k)
+    # written first, so that few hits are known as few before the store's texts meet them
+    hits = published.stored(knn_join(_made_by(store, embedder), asked, "doc_id", "question_id", k), "hits")
     texts = store.drop("embedding", "embedder").join(hits, "doc_id")
     return texts.withColumn("distance", F.col("distance") * F.col("distance"))
 
