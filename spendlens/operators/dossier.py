@@ -13,37 +13,51 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql.types import StructType
 
 from spendlens.functions import fixed_values as fv
 from spendlens.operators.skew import COPIES, collapse, numbered, spread_join
 
 PAGE_RECORDS = 1000
+HOT_RECORDS = 200_000  # of a view of one project are numbered in one task, at most
 NUMBER_DIGITS = 2  # a view of a project is numbered in up to 16**2 parts
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def project_records(
-    views: Mapping[str, DataFrame], project_id: int | None = None, id_column: str = "project_id"
-) -> DataFrame:
-    """(project_id, view_name, record, copies): one row per distinct record of a view, with all its columns.
-
-    Views without the id column are left out.
-    """
-    parts = []
+def _keyed(views: Mapping[str, DataFrame], project_id: int | None, id_column: str) -> dict[str, DataFrame]:
+    """The rows of each view that belong to projects, with the project as a long in ``_project``."""
+    parts = {}
     for name in sorted(views):
         view = views[name]
         if id_column not in view.columns:
             continue
         key = F.col(f"`{id_column}`")
         rows = view.where(key.isNotNull() if project_id is None else key == F.lit(project_id))
-        record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in view.columns]), KEEP_NULLS)
-        parts.append(
-            rows.select(key.cast("long").alias("project_id"), F.lit(name).alias("view_name"), record.alias("record"))
-        )
+        parts[name] = rows.withColumn("_project", key.cast("long"))
     if not parts:
         raise ValueError(f"no view has the column {id_column}")
-    return collapse(reduce(DataFrame.unionByName, parts), ["project_id", "view_name", "record"])
+    return parts
+
+
+def _records(name: str, rows: DataFrame) -> DataFrame:
+    columns = [F.col(f"`{c}`") for c in rows.columns if c != "_project"]
+    record = F.to_json(F.struct(*columns), KEEP_NULLS)
+    return rows.select(F.col("_project").alias("project_id"), F.lit(name).alias("view_name"), record.alias("record"))
+
+
+def _folded(views: Mapping[str, DataFrame]) -> DataFrame:
+    return collapse(reduce(DataFrame.unionByName, [_records(*v) for v in views.items()]), ["project_id", "view_name", "record"])
+
+
+def project_records(
+    views: Mapping[str, DataFrame], project_id: int | None = None, id_column: str = "project_id"
+) -> DataFrame:
+    """(project_id, view_name, record, copies): one row per distinct record of a view, with all its columns.
+
+    Views without the id column are left out.
+    """
+    return _folded(_keyed(views, project_id, id_column))
 
 
 def project_dossier(
@@ -52,16 +66,52 @@ def project_dossier(
     page_records: int = PAGE_RECORDS,
     project_id: int | None = None,
     id_column: str = "project_id",
+    parts: int | None = None,
 ) -> DataFrame:
     """(project_id, project_name, ministry, view_name, page, records), pages counted from 0 without gaps.
 
     Every record has a number within its view and project, fixed by its md5; the
-    number divided by ``page_records`` is its page. Copies follow each other and
-    are unfolded inside their pages.
+    number divided by ``page_records`` is its page. Copies follow each other.
+
+    The columns of a view are shuffled once by project, in ``parts`` parts, and
+    written out and numbered where they then are; a view that is stored in as
+    many buckets of the project is not shuffled. Projects with more than
+    HOT_RECORDS records in a view are dealt by record instead.
     """
     if page_records < 2:
         raise ValueError("a page holds two records or more")
-    records = project_records(views, project_id, id_column)
+    rows = _keyed(views, project_id, id_column)
+    parts = parts or int(org.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = [view.groupBy("_project").agg(F.count(F.lit(1)).alias("_n")) for view in rows.values()]
+    # at most one project for every HOT_RECORDS rows
+    hot = F.broadcast(reduce(DataFrame.unionByName, counts).where(F.col("_n") > HOT_RECORDS).select("_project"))
+    lead = first_org(org.repartition(parts, "project_id")).hint("shuffle_hash")
+    pages = []
+    for name, view in rows.items():
+        here = _records(name, view.join(hot, "_project", "left_anti").repartition(parts, "_project"))
+        pages.append(_titled(_pages_in_place(here, page_records).join(lead, "project_id", "left")))
+    large = _folded({name: view.join(hot, "_project", "left_semi").select(*view.columns) for name, view in rows.items()})
+    pages.append(_titled(spread_join(_dealt_pages(large, page_records), first_org(org), ["project_id"], "left")))
+    return reduce(DataFrame.unionByName, pages)
+
+
+def _titled(pages: DataFrame) -> DataFrame:
+    name = F.coalesce("project_name", F.lit(fv.UNKNOWN_PROJECT)).alias("project_name")
+    return pages.select("project_id", name, "ministry", "view_name", "page", "records")
+
+
+def _pages_in_place(records: DataFrame, page_records: int) -> DataFrame:
+    """Pages of one view's records, all of a project in one part."""
+    nth = F.row_number().over(W.partitionBy("project_id").orderBy("_md5", "record")) - 1
+    placed = records.withColumn("_md5", F.md5("record")).withColumn("_no", nth)
+    page = F.floor(F.col("_no") / F.lit(page_records).cast("long")).alias("page")
+    listed = F.array_sort(F.collect_list(F.struct("_no", "record")))
+    pages = placed.groupBy("project_id", "view_name", page).agg(listed.alias("_records"))
+    return pages.select("project_id", "view_name", "page", F.col("_records.record").alias("records"))
+
+
+def _dealt_pages(records: DataFrame, page_records: int) -> DataFrame:
+    """Pages of folded records, which are numbered in buckets; copies are unfolded inside their pages."""
     placed = numbered(
         records, ["project_id", "view_name"], ["record"], "_first", weight=COPIES, digits=NUMBER_DIGITS
     )
@@ -73,15 +123,7 @@ def project_dossier(
     one = F.struct(start.alias("number"), "record", (end - start + 1).cast("int").alias("times"))
     pages = cut.groupBy("project_id", "view_name", "page").agg(F.array_sort(F.collect_list(one)).alias("_records"))
     unfolded = F.flatten(F.transform("_records", lambda r: F.array_repeat(r["record"], r["times"])))
-    listed = pages.select("project_id", "view_name", "page", unfolded.alias("records"))
-    return spread_join(listed, first_org(org), ["project_id"], "left").select(
-        "project_id",
-        F.coalesce("project_name", F.lit(fv.UNKNOWN_PROJECT)).alias("project_name"),
-        "ministry",
-        "view_name",
-        "page",
-        "records",
-    )
+    return pages.select("project_id", "view_name", "page", unfolded.alias("records"))
 
 
 def first_org(org: DataFrame) -> DataFrame:
