@@ -82,19 +82,25 @@ def project_dossier(
         raise ValueError("a page holds two records or more")
     rows = _keyed(views, project_id, id_column)
     parts = parts or int(org.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = [view.groupBy("_project").agg(F.count(F.lit(1)).alias("_n")) for view in rows.values()]
-    # at most one project for every HOT_RECORDS rows
-    hot = F.broadcast(reduce(DataFrame.unionByName, counts).where(F.col("_n") > HOT_RECORDS).select("_project"))
+    hot = _hot_projects(rows)
     lead = first_org(org.repartition(parts, "project_id")).hint("shuffle_hash")
     pages = []
     for name, view in rows.items():
-        here = _records(name, view.join(hot, "_project", "left_anti").repartition(parts, "_project"))
+        here = _records(name, view.where(~F.col("_project").isin(hot)).repartition(parts, "_project"))
         pages.append(_titled(_pages_in_place(here, page_records).join(lead, "project_id", "left")))
-    large = _folded({name: view.join(hot, "_project", "left_semi").select(*view.columns) for name, view in rows.items()})
-    pages.append(_titled(spread_join(_dealt_pages(large, page_records), first_org(org), ["project_id"], "left")))
+    if hot:
+        large = _folded({name: view.where(F.col("_project").isin(hot)) for name, view in rows.items()})
+        pages.append(_titled(spread_join(_dealt_pages(large, page_records), first_org(org), ["project_id"], "left")))
     return reduce(DataFrame.unionByName, pages)
 
 
+def _hot_projects(rows: Mapping[str, DataFrame]) -> list[int]:
+    """Projects with many records in a view: at most one for every HOT_RECORDS rows, counted before the plan is made."""
+    counts = [view.groupBy("_project").agg(F.count(F.lit(1)).alias("_n")) for view in rows.values()]
+    large = reduce(DataFrame.unionByName, counts).where(F.col("_n") > HOT_RECORDS)
+    return [row["_project"] for row in large.select("_project").distinct().collect()]
+
+
 def _titled(pages: DataFrame) -> DataFrame:
     name = F.coalesce("project_name", F.lit(fv.UNKNOWN_PROJECT)).alias("project_name")
     return pages.select("project_id", name, "ministry", "view_name", "page", "records")
