@@ -365,7 +365,8 @@ def knn_join(
     most = min(FEW, COMPONENTS // max(1, len(sample[0])))
     few = asked.select("question", "asked").limit(most + 1).toArrow() if len(sample) == SAMPLE else None
     if few is not None and 0 < few.num_rows <= most:
-        return named(ranked(_searched_in_place(rows, few, asked.schema["question"], k, skip_own))).orderBy(*first_asc(question_column, "rank"))
+        found = named(ranked(_searched_in_place(rows, few, asked.schema["question"], k, skip_own)))
+        return F.broadcast(found.orderBy(*first_asc(question_column, "rank")))  # at most k * FEW rows
     pivots = spread_pivots(_matrix(sample, len(sample[0])), min(PIVOTS, -(-len(sample) // PER_PIVOT)))
     belonging = _belonging(rows, pivots)
     cells = measured_cells(belonging, pivots)

@@ -39,3 +39,15 @@ def test_few_questions_with_text_ids(spark):
     for i, question in enumerate(questions):
         one = [(r["doc_id"], pytest.approx(r["distance"])) for r in retrieval.ask(store, question, k=4).collect()]
         assert [(r["doc_id"], r["distance"]) for r in got.where(F.col("question_id") == i).orderBy("rank").collect()] == one
+    assert "BroadcastHashJoin" in plan(got) and "SortMergeJoin" not in plan(got)  # the texts stay where they are
+
+
+def test_texts_meet_hits_without_a_shuffle_where_nothing_else_is_broadcast(spark):
+    store = documents.embed(spark.range(5000).selectExpr("concat('doc_', id) AS doc_id", "concat('text ', id % 900) AS document"))
+    asked = spark.createDataFrame([(0, "text 7")], "question_id long, question string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = retrieval.ask_many(store, asked)
+        assert "BroadcastHashJoin" in plan(got) and got.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
